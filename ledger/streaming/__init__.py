@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+Every pipeline of the reference is a scheduled batch: the daily ETL recomputes a
+lookback window and upserts it (which is how late usage records are absorbed), and the
+alert check keeps its de-duplication state in the ``alert_history`` table.  There is no
+watermark, event-time window or streaming state to rebuild, so this package stays empty
+by design; ``ledger.plans.jobs`` holds the batch entry points.
+"""
