@@ -208,7 +208,7 @@ def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("alert_id"),
         F.to_date("o_orderdate").alias("alert_date"),
         pct.cast("int").alias("threshold_pct"),
-        (F.col("o_totalprice") / 1000).cast("decimal(20,2)").alias("amount_at_alert"),
+        (F.floor("o_totalprice").cast("bigint") % 1000).cast("decimal(20,2)").alias("amount_at_alert"),
         (pct * 3).cast("decimal(20,2)").alias("threshold_amount"),
         F.lit(300).cast("decimal(20,2)").alias("daily_threshold"),
         F.lit("ops@example.com").alias("recipients"),
