@@ -110,19 +110,23 @@ def update_where(df: DataFrame, cond: Column, assignments: Mapping[str, Column])
     )
 
 
-def append_with_id(existing: DataFrame, new: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFrame:
-    """Append ``new`` with ids ``max(existing id) + 1, + 2, ...`` in ``order_by`` order.
+def with_new_ids(existing: DataFrame, new: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFrame:
+    """``new`` with ids ``max(existing id) + 1, + 2, ...`` in ``order_by`` order.
 
-    The id of a new row is its dense position in ``new``; the window runs over ``new``
-    only, which callers keep bounded (one row per alert tier), while ``max(id)`` over the
-    existing table is a distributed aggregate joined back as a one-row frame.
+    The window runs over ``new`` only, which callers keep bounded (one row per alert
+    tier); ``max(id)`` over the existing table is a distributed aggregate whose single
+    row is broadcast back.
     """
     base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("__base"))
     w = Window.orderBy(*order_by)
-    numbered = new.crossJoin(F.broadcast(base)).withColumn(
+    return new.crossJoin(F.broadcast(base)).withColumn(
         id_col, (F.col("__base") + F.row_number().over(w)).cast("long")
     ).drop("__base")
-    return existing.unionByName(numbered.select(*existing.columns))
+
+
+def append_with_id(existing: DataFrame, new: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFrame:
+    """``existing`` plus ``new`` numbered after it (an identity column on append)."""
+    return existing.unionByName(with_new_ids(existing, new, id_col, order_by).select(*existing.columns))
 
 
 # ----------------------------------------------------------------------- persistence
@@ -137,37 +141,49 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    w = df.write.mode("overwrite")
+    """Overwrite ``path``; a partitioned write is first rebalanced on the partition column.
+
+    ``REBALANCE`` lets AQE aim at one file per partition value, split a skewed value over
+    several tasks and merge small ones — without it every task writes a file for every
+    date it holds (tasks x dates small files).
+    """
     if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
+        df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  partition_col: str | None, staging_root: str, null_safe: bool = False) -> None:
     """Persist ``upsert(existing, source)`` into the Parquet table at ``path``.
 
-    * The target is never read and overwritten by one plan: the merged rows are first
-      written to a staging snapshot under ``staging_root`` (shared storage), then copied
-      over the target from there.  A lost executor only retries tasks; a failed run
-      leaves the target as it was.
+    * The source batch is computed once and staged under ``staging_root`` (shared
+      storage); the key check, the partition list and the merge all read the staged copy.
+    * The target is never read and overwritten by one plan: the merged rows are written
+      to a second staging snapshot, then copied over the target from there.  A lost
+      executor only retries tasks; a failed run leaves the target as it was.
     * For a partitioned table only partitions present in the source are read and
       rewritten (dynamic partition overwrite); the semi join on the partition column
       lets dynamic partition pruning skip every other partition of the target.
     """
+    root = f"{staging_root.rstrip('/')}/upsert-{uuid.uuid4().hex}"
+    source.write.parquet(f"{root}/source")
+    src = spark.read.parquet(f"{root}/source")
     if not table_exists(spark, path):
-        assert_unique_keys(source, keys, None, null_safe)
-        write_snapshot(source, path, partition_col)
+        assert_unique_keys(src, keys, None, null_safe)
+        write_snapshot(src, path, partition_col)
         return
     target = spark.read.parquet(path)
-    src = source.select(*target.columns)
+    src = src.select(*target.columns)
+    assert_unique_keys(src, keys, target, null_safe)
     if partition_col:
         touched = src.select(partition_col).distinct()
         target = target.join(touched, partition_col, "left_semi").select(*target.columns)
-    merged = upsert(target, src, keys, null_safe=null_safe)
-    stage = f"{staging_root.rstrip('/')}/stage-{uuid.uuid4().hex}"
-    write_snapshot(merged, stage, partition_col)
-    staged = spark.read.parquet(stage).select(*target.columns)
+    merged = upsert(target, src, keys, null_safe=null_safe, check=False)
+    write_snapshot(merged, f"{root}/merged", partition_col)
+    staged = spark.read.parquet(f"{root}/merged").select(*target.columns)
+    if partition_col:
+        staged = staged.hint("rebalance", partition_col)
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if partition_col else "static")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledger.functions.expressions import csv_ints, display_time, severity
-from ledger.operators.upsert import append_with_id, update_where, upsert_columns
+from ledger.operators.upsert import update_where, upsert_columns, with_new_ids
 from ledger.sources.schemas import ALERT_CONFIG, ALERT_CONFIG_KEYS, ALERT_HISTORY, conform
 
 
@@ -124,14 +124,22 @@ def new_alerts(crossed: DataFrame, history: DataFrame, cloud: str = "GCP") -> Da
     )
 
 
-def alert_history_append(history: DataFrame, new: DataFrame, sent_at: Column | None = None,
-                         status: str = "SENT") -> DataFrame:
-    """Append the new alerts with ids continuing after the history's largest id."""
+def numbered_alerts(history: DataFrame, new: DataFrame, sent_at: Column | None = None,
+                    status: str = "SENT") -> DataFrame:
+    """The new alerts as history rows, ids continuing after the history's largest id."""
     rows = new.withColumn("sent_at", sent_at if sent_at is not None else F.current_timestamp()).withColumn(
         "status", F.lit(status)
     )
+    numbered = with_new_ids(history, conform(rows, ALERT_HISTORY).drop("alert_id"), "alert_id",
+                            ["alert_date", "threshold_pct"])
+    return conform(numbered, ALERT_HISTORY)
+
+
+def alert_history_append(history: DataFrame, new: DataFrame, sent_at: Column | None = None,
+                         status: str = "SENT") -> DataFrame:
+    """The history with the new alerts appended (ids after the largest existing id)."""
     hist = conform(history, ALERT_HISTORY)
-    return append_with_id(hist, conform(rows, ALERT_HISTORY), "alert_id", ["alert_date", "threshold_pct"])
+    return hist.unionByName(numbered_alerts(hist, new, sent_at, status))
 
 
 def alert_gate(new: DataFrame, cost: DataFrame) -> DataFrame:

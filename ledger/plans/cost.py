@@ -12,11 +12,30 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledger.functions.expressions import is_photon, product_category
+from ledger.functions.expressions import hours_between, is_photon, product_category
 from ledger.params import RunParams
 from ledger.sources.schemas import DAILY_COST_SUMMARY, SKU_DAILY_DETAILS, conform
 
 
+ROLLUP_KEYS = ["usage_date", "sku_name", "billing_origin_product", "cloud", "workspace_id", "is_serverless",
+               "cluster_id"]
+
+
+def usage_rollup(priced: DataFrame) -> DataFrame:
+    """One aggregation of priced usage at the finest grain either gold table needs.
+
+    Both ``daily_cost_summary`` and ``cluster_usage`` re-aggregate this exactly (decimal
+    sums and maxima are associative), so the raw usage is scanned, priced and shuffled
+    once per run.  Columns keep the names of ``priced`` so either consumer accepts it.
+    """
+    return priced.groupBy(*ROLLUP_KEYS).agg(
+        F.sum("usage_quantity").alias("usage_quantity"),
+        F.max("unit_price").alias("unit_price"),
+        F.sum(hours_between("usage_start_time", "usage_end_time")).alias("billed_hours"),
+        F.sum(F.col("usage_quantity") * F.col("unit_price")).alias("exact_cost"),
+    )
+
+
 def daily_cost_summary(priced: DataFrame, loaded_at=None) -> DataFrame:
     """``SUM(qty) * MAX(price)`` per group (T3: the highest price of the day covers the
     whole group — kept; ``priced.exact_cost`` holds the exact per-row cost).

@@ -15,7 +15,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledger.functions.expressions import display_time, in_month
+from ledger.functions.expressions import display_time, in_month, month_start
+
+PARTITION_COL = "usage_month"
+
+
+def _month(df: DataFrame, date_col: str, label: str | None, as_of: dt.date, offset: int = 0) -> DataFrame:
+    """Rows of the selected month.  On a stored table partitioned by ``usage_month`` the
+    same bound is also applied to the partition column (implied by the date range, so
+    the result is unchanged) and the scan reads one month's partition only."""
+    out = df.where(in_month(date_col, label, as_of, offset))
+    if PARTITION_COL in df.columns:
+        ms = month_start(label, as_of)
+        out = out.where(F.col(PARTITION_COL) == (F.add_months(ms, offset) if offset else ms))
+    return out
 
 
 def month_picker(summary: DataFrame, as_of: dt.date, days: int = 365) -> DataFrame:
@@ -44,14 +57,14 @@ def month_bounds_frame(labels: DataFrame, as_of: dt.date, label_col: str = "mont
 
 def cost_counters(summary: DataFrame, month: str | None, as_of: dt.date) -> DataFrame:
     """Month total, average per day with usage, peak day, % change vs previous month."""
-    cur = summary.where(in_month("usage_date", month, as_of))
+    cur = _month(summary, "usage_date", month, as_of)
     daily = cur.groupBy("usage_date").agg(F.sum("total_cost_usd").alias("daily_cost"))
     agg = daily.agg(
         F.sum("daily_cost").alias("month_total"),
         F.count_distinct("usage_date").alias("days_with_usage"),
         F.max("daily_cost").alias("peak_day_cost"),
     )
-    prev = summary.where(in_month("usage_date", month, as_of, offset=-1)).agg(
+    prev = _month(summary, "usage_date", month, as_of, -1).agg(
         F.sum("total_cost_usd").alias("prev_total")
     )
     mt, pt = F.col("month_total"), F.col("prev_total")
@@ -65,7 +78,7 @@ def cost_counters(summary: DataFrame, month: str | None, as_of: dt.date) -> Data
 
 def daily_cost_trend(summary: DataFrame, month: str | None, as_of: dt.date) -> DataFrame:
     return (
-        summary.where(in_month("usage_date", month, as_of))
+        _month(summary, "usage_date", month, as_of)
         .groupBy("usage_date", "billing_origin_product")
         .agg(F.sum("total_cost_usd").alias("daily_cost"), F.sum("total_dbus").alias("daily_dbus"))
         .orderBy("usage_date", "billing_origin_product")
@@ -75,7 +88,7 @@ def daily_cost_trend(summary: DataFrame, month: str | None, as_of: dt.date) -> D
 def top_skus(summary: DataFrame, month: str | None, as_of: dt.date, n: int = 20) -> DataFrame:
     """Top ``n`` (sku, product) by month cost; ties broken by name for a stable cut."""
     return (
-        summary.where(in_month("usage_date", month, as_of))
+        _month(summary, "usage_date", month, as_of)
         .groupBy("sku_name", "billing_origin_product")
         .agg(F.sum("total_cost_usd").alias("total_cost"), F.sum("total_dbus").alias("total_dbus"))
         .orderBy(
@@ -91,7 +104,7 @@ def sku_details(details: DataFrame, month: str | None, as_of: dt.date, skus: Seq
                 categories: Sequence[str] | None = None) -> DataFrame:
     """Detail rows of the month, optionally narrowed to picked SKUs / categories
     (no pick = all rows)."""
-    d = details.where(in_month("usage_date", month, as_of))
+    d = _month(details, "usage_date", month, as_of)
     if skus:
         d = d.where(F.col("sku_name").isin(list(skus)))
     if categories:
@@ -112,7 +125,7 @@ def sku_details(details: DataFrame, month: str | None, as_of: dt.date, skus: Seq
 
 def vm_estimates(vm: DataFrame, month: str | None, as_of: dt.date) -> DataFrame:
     return (
-        vm.where(in_month("usage_date", month, as_of))
+        _month(vm, "usage_date", month, as_of)
         .select(
             "usage_date",
             "cluster_id",
@@ -133,7 +146,7 @@ def vm_estimates(vm: DataFrame, month: str | None, as_of: dt.date) -> DataFrame:
 
 
 def vm_cost_counters(vm: DataFrame, month: str | None, as_of: dt.date) -> DataFrame:
-    cur = vm.where(in_month("usage_date", month, as_of))
+    cur = _month(vm, "usage_date", month, as_of)
     vm_sum = F.sum("estimated_vm_cost_usd")
     return cur.agg(
         F.round(vm_sum, 2).alias("month_vm_cost"),
@@ -145,7 +158,7 @@ def vm_cost_counters(vm: DataFrame, month: str | None, as_of: dt.date) -> DataFr
 
 def vm_daily_trend(vm: DataFrame, month: str | None, as_of: dt.date) -> DataFrame:
     return (
-        vm.where(in_month("usage_date", month, as_of))
+        _month(vm, "usage_date", month, as_of)
         .groupBy("usage_date")
         .agg(
             F.round(F.sum("dbu_cost_usd"), 2).alias("dbu_cost"),
@@ -161,7 +174,7 @@ def vm_by_node_type(vm: DataFrame, month: str | None, as_of: dt.date, n: int = 2
     driver type (T24).  One scan with ``explode(array(worker, driver))`` instead of a
     UNION ALL of two scans."""
     return (
-        vm.where(in_month("usage_date", month, as_of))
+        _month(vm, "usage_date", month, as_of)
         .select(
             F.explode(F.array("worker_node_type", "driver_node_type")).alias("node_type"), "estimated_vm_cost_usd"
         )
@@ -200,7 +213,7 @@ def alert_config_view(config: DataFrame, tz: str = "Asia/Kolkata") -> DataFrame:
 def alert_history_month(history: DataFrame, month: str | None, as_of: dt.date, n: int = 100,
                         tz: str = "Asia/Kolkata") -> DataFrame:
     return (
-        history.where(in_month("alert_date", month, as_of))
+        _month(history, "alert_date", month, as_of)
         .orderBy(F.col("sent_at").desc_nulls_last(), F.col("alert_id").desc_nulls_last())
         .limit(n)
         .select(
@@ -218,7 +231,7 @@ def alert_history_month(history: DataFrame, month: str | None, as_of: dt.date, n
 
 def threshold_gauge(summary: DataFrame, config: DataFrame, month: str | None, as_of: dt.date) -> DataFrame:
     """Month spend, the active threshold and average daily spend as % of it."""
-    spend = summary.where(in_month("usage_date", month, as_of)).agg(
+    spend = _month(summary, "usage_date", month, as_of).agg(
         F.coalesce(F.sum("total_cost_usd"), F.lit(0)).alias("month_spend"),
         F.count_distinct("usage_date").alias("days_in_month"),
     )

@@ -21,14 +21,20 @@ from ledger.sources.schemas import DAILY_COST_WITH_VM_ESTIMATE, conform
 def cluster_usage(priced: DataFrame) -> DataFrame:
     """Clustered usage aggregated per (date, cluster, sku); billed hours are whole
     seconds / 3600 rounded per record to 6 places, then summed.  Partial aggregation
-    map-side bounds what a hot cluster sends through the shuffle."""
+    map-side bounds what a hot cluster sends through the shuffle.
+
+    Accepts priced usage rows or their ``usage_rollup`` (which carries ``billed_hours``
+    and ``exact_cost`` already summed)."""
+    rolled = "billed_hours" in priced.columns
+    hours = F.col("billed_hours") if rolled else hours_between("usage_start_time", "usage_end_time")
+    cost = F.col("exact_cost") if rolled else F.col("usage_quantity") * F.col("unit_price")
     return (
         priced.where(F.col("cluster_id").isNotNull())
         .groupBy("usage_date", "cluster_id", "sku_name")
         .agg(
             F.sum("usage_quantity").alias("total_dbus"),
-            F.sum(hours_between("usage_start_time", "usage_end_time")).alias("billing_hours"),
-            F.sum(F.col("usage_quantity") * F.col("unit_price")).alias("dbu_cost_usd"),
+            F.sum(hours).alias("billing_hours"),
+            F.sum(cost).alias("dbu_cost_usd"),
         )
     )
 

@@ -20,14 +20,20 @@ JOB_CONF = {
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ledger") -> SparkSession:
-    """A local session for tests and the bench; cluster jobs use their own builder + JOB_CONF."""
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ledger",
+                  checkpoint: str | None = None) -> SparkSession:
+    """A local session for tests and the bench; cluster jobs use their own builder + JOB_CONF.
+
+    ``spark.checkpoint.dir`` is a static setting: it is set here (to ``checkpoint`` or a
+    fresh scratch folder) only because a local session has no shared storage to name.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("LEDGER_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", checkpoint or tempfile.mkdtemp(prefix="ledger-ckpt-"))
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
@@ -45,17 +51,22 @@ def apply_job_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is read, never overridden.
-    Only when it is unset (local tests) do we create a scratch folder for it.
+    On a cluster this setting names shared storage and is only read; a cluster session
+    without it is an error (a machine-local folder would not survive an executor loss).
+    A local session without it (e.g. created by a test harness) gets a scratch folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="ledger-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name shared storage for ledger jobs")
+        configured = _LOCAL_FALLBACK.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="ledger-ckpt-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
+    return configured
