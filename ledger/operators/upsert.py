@@ -114,12 +114,12 @@ def with_new_ids(existing: DataFrame, new: DataFrame, id_col: str, order_by: Seq
     """``new`` with ids ``max(existing id) + 1, + 2, ...`` in ``order_by`` order.
 
     The window runs over ``new`` only, which callers keep bounded (one row per alert
-    tier); ``max(id)`` over the existing table is a distributed aggregate whose single
-    row is broadcast back.
+    tier); ``max(id)`` over the existing table is a distributed aggregate used as a
+    scalar subquery.
     """
-    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("__base"))
+    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long"))
     w = Window.orderBy(*order_by)
-    return new.crossJoin(F.broadcast(base)).withColumn(
+    return new.withColumn("__base", base.scalar()).withColumn(
         id_col, (F.col("__base") + F.row_number().over(w)).cast("long")
     ).drop("__base")
 

@@ -68,15 +68,15 @@ def alert_tiers(config: DataFrame) -> DataFrame:
 def today_cost(summary: DataFrame, as_of: dt.date, config: DataFrame) -> DataFrame:
     """``COALESCE(SUM(total_cost_usd), 0)`` for ``as_of`` joined to the active config.
 
-    Exactly one row per config row (a global aggregate is one row), so the cross join
-    is with a one-row broadcast.
+    The day's total is a global aggregate used as a scalar subquery: computed once,
+    attached to each config row without a join.
     """
     cost = summary.where(F.col("usage_date") == F.lit(as_of)).agg(
         F.coalesce(F.sum("total_cost_usd"), F.lit(0)).alias("today_cost")
     )
     thr = F.col("daily_threshold_dollars").cast("double")
     return (
-        config.crossJoin(F.broadcast(cost))
+        config.withColumn("today_cost", cost.scalar())
         .withColumn("usage_date", F.lit(as_of))
         .withColumn(
             "pct_consumed",
@@ -144,14 +144,12 @@ def alert_history_append(history: DataFrame, new: DataFrame, sent_at: Column | N
 
 def alert_gate(new: DataFrame, cost: DataFrame) -> DataFrame:
     """The job's gate values in one row: alerts fired, highest tier, cost, threshold."""
-    fired = new.agg(
-        F.count(F.lit(1)).alias("alerts_sent"), F.coalesce(F.max("threshold_pct"), F.lit(0)).alias("max_pct")
-    )
-    c = cost.select(
+    return cost.select(
         F.round(F.col("today_cost").cast("double"), 2).alias("today_cost"),
         F.round(F.col("daily_threshold_dollars").cast("double"), 2).alias("daily_threshold"),
+        new.agg(F.count(F.lit(1))).scalar().alias("alerts_sent"),
+        new.agg(F.coalesce(F.max("threshold_pct"), F.lit(0))).scalar().alias("max_pct"),
     )
-    return F.broadcast(c).crossJoin(F.broadcast(fired))
 
 
 def recent_alerts(history: DataFrame, n: int = 5, tz: str = "Asia/Kolkata") -> DataFrame:

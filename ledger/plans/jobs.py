@@ -34,7 +34,6 @@ from ledger.sources.schemas import (
     VM_REFERENCE_PRICES_KEYS,
     conform,
 )
-from ledger.sources.seed import seed_frame
 
 
 @dataclass(frozen=True)
@@ -69,7 +68,7 @@ def refresh_vm_prices(spark: SparkSession, src: Sources, wh: Warehouse, p: RunPa
             new_rows = live
     if new_rows is None:
         regions = spark.range(1).select(F.lit(p.region).alias("region"))
-        new_rows = pricing.seed_prices(seed_frame(spark), regions, now)
+        new_rows = pricing.seed_prices(regions, now)
     write_upsert(spark, path, conform(new_rows, VM_REFERENCE_PRICES), VM_REFERENCE_PRICES_KEYS, None,
                  checkpoint_dir(spark))
     table = spark.read.parquet(path)

@@ -21,7 +21,7 @@ from ledger.operators.temporal_join import scd2_left_join
 from ledger.operators.upsert import upsert
 from ledger.params import RunParams
 from ledger.sources.schemas import VM_REFERENCE_PRICES, VM_REFERENCE_PRICES_KEYS, conform
-from ledger.sources.seed import N1_GB_HOURLY, N1_VCPU_HOURLY, REGION_MARKUP
+from ledger.sources.seed import N1_GB_HOURLY, N1_VCPU_HOURLY, REGION_MARKUP, SEED_VM_PRICES
 
 PRICED_COLUMNS = [
     "usage_date",
@@ -98,18 +98,27 @@ def _markup(region_col) -> F.Column:
     return F.coalesce(F.element_at(m, region_col), F.lit(1.0))
 
 
-def seed_prices(seed: DataFrame, regions: DataFrame, loaded_at=None) -> DataFrame:
+def _seed_rows() -> F.Column:
+    return F.array(*[
+        F.struct(F.lit(n).alias("node_type_id"), F.lit(v).alias("vcpus"), F.lit(m).alias("memory_gb"),
+                 F.lit(p).alias("base_price"))
+        for n, v, m, p in SEED_VM_PRICES
+    ])
+
+
+def seed_prices(regions: DataFrame, loaded_at=None) -> DataFrame:
     """Seeded list prices for each region in ``regions`` (column ``region``).
 
     us-central1 prices times the region's markup, rounded to 6 places; the label says
-    whether a markup was applied.  ``seed`` is the 36-row literal: broadcast, bounded.
+    whether a markup was applied.  The 36 seed rows are generated per region with
+    ``inline`` — no join.
     """
-    r = regions.select("region").distinct()
+    r = regions.select("region").distinct().select("region", F.inline(_seed_rows()))
     mk = _markup(F.col("region"))
     label = F.when(mk == 1.0, F.format_string("GCP list price (seeded, %s)", F.col("region"))).otherwise(
         F.format_string("GCP list price (seeded us-central1, ~%sx markup for %s)", mk.cast("string"), F.col("region"))
     )
-    out = r.crossJoin(F.broadcast(seed)).select(
+    out = r.select(
         "node_type_id",
         F.col("node_type_id").alias("gcp_machine_type"),
         "vcpus",

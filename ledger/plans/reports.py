@@ -3,8 +3,8 @@
 Every report takes a month label such as ``'Jun 2000'``; a junk or missing label means
 the month of ``as_of``.  The bound is a foldable literal expression, so on a table
 partitioned by ``usage_date`` the month filter prunes partitions at planning time.
-Global aggregates produce exactly one row, which is what makes the one-row cross joins
-below safe to broadcast.
+Global aggregates produce exactly one row; they are combined as scalar subqueries
+(computed once, no join).
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def cost_counters(summary: DataFrame, month: str | None, as_of: dt.date) -> Data
         F.sum("total_cost_usd").alias("prev_total")
     )
     mt, pt = F.col("month_total"), F.col("prev_total")
-    return F.broadcast(agg).crossJoin(F.broadcast(prev)).select(
+    return agg.withColumn("prev_total", prev.scalar()).select(
         F.round(mt, 2).alias("month_total"),
         F.round(mt / F.nullif(F.col("days_with_usage"), F.lit(0)), 2).alias("avg_daily"),
         F.round(F.col("peak_day_cost"), 2).alias("peak_day"),
@@ -242,7 +242,8 @@ def threshold_gauge(summary: DataFrame, config: DataFrame, month: str | None, as
         .select(F.col("daily_threshold_dollars").alias("threshold"))
     )
     ms, th = F.col("month_spend"), F.col("threshold")
-    return F.broadcast(spend).crossJoin(F.broadcast(cfg)).select(
+    # FROM spend, cfg: no active config -> no row
+    return spend.where(cfg.exists()).withColumn("threshold", cfg.scalar()).select(
         F.round(ms, 2).alias("month_spend"),
         F.round(th, 2).alias("daily_threshold"),
         F.round(ms / F.nullif(F.col("days_in_month"), F.lit(0)) / F.nullif(th, F.lit(0)) * 100, 1).alias(

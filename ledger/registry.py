@@ -24,7 +24,6 @@ from ledger.plans import alerts, cost, pricing, reports, vm
 from ledger.operators.upsert import upsert
 from ledger.sources import fixtures
 from ledger.sources.schemas import DAILY_COST_SUMMARY_KEYS, DAILY_COST_WITH_VM_ESTIMATE, conform
-from ledger.sources.seed import seed_frame
 
 AS_OF = dt.date(2000, 6, 30)
 MONTH = "Jun 2000"
@@ -88,7 +87,7 @@ class Chain:
     @property
     def seeds(self):
         regions = self.spark.range(1).select(F.lit(self.p.region).alias("region"))
-        return self._get("seeds", lambda: pricing.seed_prices(seed_frame(self.spark), regions, _ts(LOADED_AT)))
+        return self._get("seeds", lambda: pricing.seed_prices(regions, _ts(LOADED_AT)))
 
     @property
     def vm_prices(self):
@@ -193,13 +192,13 @@ def q_seed_prices(spark, d):
     """Seed prices for every region the price catalogue serves."""
     c = Chain(spark, d)
     regions = pricing.catalog_regions(c.src.catalog_pages)
-    return boundary(pricing.seed_prices(seed_frame(spark), regions, _ts(LOADED_AT)))
+    return boundary(pricing.seed_prices(regions, _ts(LOADED_AT)))
 
 
 def q_price_upsert(spark, d):
     """Seeded table of earlier runs (all catalogue regions) upserted with today's live rows."""
     c = Chain(spark, d)
-    previous = pricing.seed_prices(seed_frame(spark), pricing.catalog_regions(c.src.catalog_pages), _ts(LOADED_AT))
+    previous = pricing.seed_prices(pricing.catalog_regions(c.src.catalog_pages), _ts(LOADED_AT))
     live = pricing.catalog_price_extract(c.src.catalog_pages, P.region, _ts(LOADED_AT))
     return boundary(upsert(previous, live, ["node_type_id", "region"]))
 

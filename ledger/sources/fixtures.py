@@ -95,7 +95,6 @@ def list_prices(spark: SparkSession, sf_dir: str, usage_df: DataFrame | None = N
     """Four SCD2 price generations per (sku, cloud); DLT SKUs have no price on purpose."""
     u = usage_df if usage_df is not None else usage(spark, sf_dir)
     skus = u.select("sku_name", "cloud").where(~F.col("sku_name").like("%DLT%")).distinct()
-    gens = spark.range(1, 5).select(F.col("id").cast("int").alias("gen"))
     g = F.col("gen")
     start = _case(
         g,
@@ -108,8 +107,9 @@ def list_prices(spark: SparkSession, sf_dir: str, usage_df: DataFrame | None = N
     )
     default = (_dec("0.10") + _dec("0.01") * F.length("sku_name") + _dec("0.05") * g).cast("decimal(18,6)")
     effective = F.when(F.col("sku_name").like("%SQL%"), (_dec("0.07") * g + _dec("0.20")).cast("decimal(18,6)"))
-    # the generation list is a 4-row literal: broadcasting it is size-bounded
-    return skus.crossJoin(F.broadcast(gens)).select(
+    # four generations per (sku, cloud): a generator, no join
+    gens = skus.select("*", F.explode(F.array(*[F.lit(i) for i in range(1, 5)])).alias("gen"))
+    return gens.select(
         "sku_name",
         "cloud",
         start.alias("price_start_time"),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
 # Fixed values (must equal the reference's for identical results): on-demand list prices
 # for us-central1 as (node_type_id, vcpus, memory_gb, hourly_price_usd).  The machine type
 # name equals the node type id for every seeded row.
@@ -63,17 +60,3 @@ REGION_MARKUP = {
 # Component prices used to estimate an unlisted node type.
 N1_VCPU_HOURLY = "0.04749"
 N1_GB_HOURLY = "0.006383"
-
-SEED_SCHEMA = T.StructType(
-    [
-        T.StructField("node_type_id", T.StringType()),
-        T.StructField("vcpus", T.IntegerType()),
-        T.StructField("memory_gb", T.DoubleType()),
-        T.StructField("base_price", T.DoubleType()),
-    ]
-)
-
-
-def seed_frame(spark: SparkSession) -> DataFrame:
-    """The 36 seed rows (a literal, bounded relation; safe to broadcast)."""
-    return spark.createDataFrame(SEED_VM_PRICES, SEED_SCHEMA)

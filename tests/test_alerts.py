@@ -1,0 +1,94 @@
+"""Alerts (trap T26) and configuration DML."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from ledger.plans import alerts
+
+AS_OF = dt.date(2000, 6, 30)
+CFG = ("config_id int, daily_threshold_dollars decimal(20,2), recipient_emails string, is_active boolean, "
+       "threshold_percentages string, created_at timestamp, updated_at timestamp")
+HIST = ("alert_id long, alert_date date, threshold_pct int, amount_at_alert decimal(20,2), threshold_amount decimal(20,2), "
+        "daily_threshold decimal(20,2), recipients string, sent_at timestamp, status string")
+
+
+def _cfg(spark, rows):
+    return spark.createDataFrame([(i, Decimal(t), "ops@x", a, tiers, None, None) for i, t, a, tiers in rows], CFG)
+
+
+def _summary(spark, cost):
+    return spark.createDataFrame([(AS_OF, Decimal(str(cost)))], "usage_date date, total_cost_usd decimal(38,6)")
+
+
+def _hist(spark, rows):
+    return spark.createDataFrame([(i, AS_OF, pct, None, None, None, "ops@x", None, st) for i, pct, st in rows], HIST)
+
+
+def _new(spark, cfg_rows, cost, hist_rows=()):
+    active = alerts.active_config(_cfg(spark, cfg_rows))
+    today = alerts.today_cost(_summary(spark, cost), AS_OF, active)
+    return alerts.new_alerts(alerts.crossed_tiers(today), _hist(spark, list(hist_rows)))
+
+
+def test_first_active_config_by_id(spark):
+    got = alerts.active_config(_cfg(spark, [(3, "1", True, "25"), (0, "1", False, "25"), (2, "1", True, "25")])).collect()
+    assert [r.config_id for r in got] == [2]
+
+
+def test_tiers_crossed_and_severity(spark):
+    got = sorted((r.threshold_pct, r.severity) for r in _new(spark, [(1, "1000", True, "25,50,75,90,100")], 950).collect())
+    assert got == [(25, "WARNING"), (50, "WARNING"), (75, "WARNING"), (90, "HIGH")]
+    crit = _new(spark, [(1, "100", True, "100")], 100).collect()     # cost exactly on the tier crosses it
+    assert [(r.threshold_pct, r.severity) for r in crit] == [(100, "CRITICAL")]
+
+
+def test_t26_threshold_zero_gives_no_alert(spark):
+    assert _new(spark, [(1, "0", True, "25,50")], 10).count() == 0
+
+
+def test_t26_only_sent_deduplicates(spark):
+    got = sorted(r.threshold_pct for r in _new(spark, [(1, "100", True, "25,50")], 60,
+                                               [(1, 25, "SENT"), (2, 50, "FAILED")]).collect())
+    assert got == [50]
+
+
+def test_t26_no_active_config_no_alert(spark):
+    assert _new(spark, [(1, "100", False, "25")], 60).count() == 0
+
+
+def test_t26_tiers_with_spaces_parse(spark):
+    got = sorted(r.threshold_pct for r in alerts.alert_tiers(_cfg(spark, [(1, "1", True, "25, 50")])).collect())
+    assert got == [25, 50]
+
+
+def test_history_append_ids_and_gate(spark):
+    hist = _hist(spark, [(41, 25, "SENT")])
+    new = _new(spark, [(1, "100", True, "25,50,100")], 60, [(41, 25, "SENT")])
+    out = alerts.alert_history_append(hist, new, F.lit("2000-06-30 23:00:00").cast("timestamp"))
+    assert sorted((r.alert_id, r.threshold_pct, r.status) for r in out.collect()) == [(41, 25, "SENT"), (42, 50, "SENT")]
+    cfg = alerts.active_config(_cfg(spark, [(1, "100", True, "25,50,100")]))
+    gate = alerts.alert_gate(new, alerts.today_cost(_summary(spark, 60), AS_OF, cfg)).collect()[0]
+    assert (gate.alerts_sent, gate.max_pct, gate.today_cost, gate.daily_threshold) == (1, 50, 60.0, 100.0)
+
+
+def test_config_upsert_keeps_created_at(spark):
+    old = spark.createDataFrame([(1, Decimal("5"), "a@x", False, "25", dt.datetime(2000, 1, 1), dt.datetime(2000, 1, 1))], CFG)
+    new = spark.createDataFrame([(1, Decimal("9"), "b@x", False, "50", dt.datetime(2001, 1, 1), dt.datetime(2001, 1, 1))], CFG)
+    r = alerts.alert_config_upsert(old, new, F.lit("2001-01-01 00:00:00").cast("timestamp")).collect()[0]
+    assert (float(r.daily_threshold_dollars), r.recipient_emails, r.is_active, r.threshold_percentages) == (9.0, "b@x", True, "50")
+    assert r.created_at == dt.datetime(2000, 1, 1) and r.updated_at == dt.datetime(2001, 1, 1)
+
+
+def test_config_update(spark):
+    cfg = _cfg(spark, [(1, "300", True, "25"), (2, "50", True, "100")])
+    out = {r.config_id: float(r.daily_threshold_dollars) for r in
+           alerts.alert_config_update(cfg, 1, daily_threshold_dollars=F.lit("0.01").cast("decimal(20,2)")).collect()}
+    assert out == {1: 0.01, 2: 50.0}
+
+
+def test_recent_alerts_newest_first_in_ist(spark):
+    h = spark.createDataFrame([(i, AS_OF, 25, None, None, None, "x", dt.datetime(2000, 6, 30, i), "SENT") for i in range(8)], HIST)
+    got = [(r.alert_id, r.sent_at_ist) for r in alerts.recent_alerts(h, 5).collect()]
+    assert got[0] == (7, "2000-06-30 12:30:00") and [a for a, _ in got] == [7, 6, 5, 4, 3]

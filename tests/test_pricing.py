@@ -9,7 +9,6 @@ from conftest import price_rows, usage_rows
 from ledger.params import RunParams
 from ledger.plans import pricing
 from ledger.sources.catalog import read_catalog_pages
-from ledger.sources.seed import seed_frame
 
 P = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=None)
 
@@ -76,13 +75,13 @@ def test_window_filters_reach_the_parquet_scan(spark):
 
 def test_seed_markup_by_region(spark):
     regions = spark.createDataFrame([("us-central1",), ("asia-south1",), ("mars-1",)], "region string")
-    rows = pricing.seed_prices(seed_frame(spark), regions).where(F.col("node_type_id") == "n1-standard-4").collect()
+    rows = pricing.seed_prices(regions).where(F.col("node_type_id") == "n1-standard-4").collect()
     got = {r.region: (float(r.hourly_price_usd), r.price_source) for r in rows}
     assert got["us-central1"] == (0.19, "GCP list price (seeded, us-central1)")
     assert got["asia-south1"][0] == 0.2204
     assert "1.16x markup" in got["asia-south1"][1]
     assert got["mars-1"][0] == 0.19
-    assert pricing.seed_prices(seed_frame(spark), regions).count() == 108
+    assert pricing.seed_prices(regions).count() == 108
 
 
 def test_t25_catalog_extract_from_json_pages(spark, tmp_path):
@@ -112,7 +111,7 @@ def test_estimates_only_for_unpriced_node_types(spark):
     nt = spark.createDataFrame([("n1-standard-4", 4.0, 15360), ("x-9", 9.0, 34560)],
                                "node_type string, core_count double, memory_mb bigint")
     regions = spark.createDataFrame([("us-central1",)], "region string")
-    seeds = pricing.seed_prices(seed_frame(spark), regions)
+    seeds = pricing.seed_prices(regions)
     est = pricing.estimate_missing_prices(nt, seeds, "us-central1").collect()
     assert len(est) == 1 and est[0].node_type_id == "x-9"
     assert est[0].memory_gb == 33.8   # 34560 / 1024 = 33.75 -> half up
