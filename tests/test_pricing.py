@@ -70,7 +70,10 @@ def test_window_filters_reach_the_parquet_scan(spark):
     u = fixtures.usage(spark, "/root/testdata/sf0.001")
     p = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=90)
     plan = pricing.usage_window(u, p)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in plan and "l_returnflag" in plan and "l_shipdate" in plan
+    # the date bound reaches Parquet even through the DATE(ts) derivation
+    assert "GreaterThanOrEqual(l_shipdate,2000-04-01T00:00)" in plan
+    # only the columns the usage view needs are read
+    assert "l_extendedprice" not in plan and "l_discount" not in plan
 
 
 def test_seed_markup_by_region(spark):
