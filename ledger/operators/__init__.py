@@ -1,8 +1,2 @@
-"""Reusable plan pieces: validity-interval join, upsert family, size-checked broadcast."""
-
-from ledger.operators.broadcast import sized_broadcast
-from ledger.operators.temporal_join import scd2_left_join
-from ledger.operators.upsert import append_with_id, update_where, upsert, upsert_columns, write_upsert
-
-__all__ = ["sized_broadcast", "scd2_left_join", "append_with_id", "update_where", "upsert", "upsert_columns",
-           "write_upsert"]
+"""Reusable plan pieces: validity-interval join (``temporal_join``), upsert family
+(``upsert``), size-checked broadcast (``broadcast``)."""

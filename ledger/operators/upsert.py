@@ -54,7 +54,7 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str], target: DataFrame
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False,
-           check: bool = True) -> DataFrame:
+           check: bool = True, broadcast_check: bool = True) -> DataFrame:
     """Rows of ``target`` whose key has no match in ``source``, plus every ``source`` row.
 
     With ``null_safe=False`` keys compare with ``=`` like the reference, so a NULL key
@@ -62,12 +62,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe:
     Target rows missing from the source are kept (MERGE never deletes).
 
     Plan: one anti join + union.  The anti join shuffles both sides on the keys (or
-    broadcasts a proven-small source); no row is collected anywhere.
+    broadcasts a proven-small source); no row is collected anywhere.  With
+    ``broadcast_check=False`` the choice is left to the planner's size statistics (right
+    for a source read back from files, whose size the planner knows).
     """
     if check:
         assert_unique_keys(source, keys, target, null_safe)
     src = source.select(*target.columns) if set(source.columns) >= set(target.columns) else source
-    keys_side = sized_broadcast(src.select(*keys)).alias("s")
+    keys_side = (sized_broadcast(src.select(*keys)) if broadcast_check else src.select(*keys)).alias("s")
     kept = target.alias("t").join(keys_side, _key_cond("t", "s", keys, null_safe), "left_anti")
     return kept.select(*target.columns).unionByName(src, allowMissingColumns=True)
 
@@ -154,11 +156,14 @@ def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None) -
 
 
 def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                 partition_col: str | None, staging_root: str, null_safe: bool = False) -> None:
+                 partition_col: str | None, staging_root: str, null_safe: bool = False,
+                 unique_source: bool = False) -> None:
     """Persist ``upsert(existing, source)`` into the Parquet table at ``path``.
 
     * The source batch is computed once and staged under ``staging_root`` (shared
       storage); the key check, the partition list and the merge all read the staged copy.
+      ``unique_source=True`` skips the key check for a batch that is a GROUP BY on the
+      merge keys (unique by construction).
     * The target is never read and overwritten by one plan: the merged rows are written
       to a second staging snapshot, then copied over the target from there.  A lost
       executor only retries tasks; a failed run leaves the target as it was.
@@ -170,16 +175,18 @@ def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     source.write.parquet(f"{root}/source")
     src = spark.read.parquet(f"{root}/source")
     if not table_exists(spark, path):
-        assert_unique_keys(src, keys, None, null_safe)
+        if not unique_source:
+            assert_unique_keys(src, keys, None, null_safe)
         write_snapshot(src, path, partition_col)
         return
     target = spark.read.parquet(path)
     src = src.select(*target.columns)
-    assert_unique_keys(src, keys, target, null_safe)
+    if not unique_source:
+        assert_unique_keys(src, keys, target, null_safe)
     if partition_col:
         touched = src.select(partition_col).distinct()
         target = target.join(touched, partition_col, "left_semi").select(*target.columns)
-    merged = upsert(target, src, keys, null_safe=null_safe, check=False)
+    merged = upsert(target, src, keys, null_safe=null_safe, check=False, broadcast_check=False)
     write_snapshot(merged, f"{root}/merged", partition_col)
     staged = spark.read.parquet(f"{root}/merged").select(*target.columns)
     if partition_col:

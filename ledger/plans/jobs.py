@@ -93,13 +93,14 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
 
     ckpt = checkpoint_dir(spark)
     summary_path = wh.path("daily_cost_summary")
+    # one cloud per run and a GROUP BY on a superset of the merge key: unique by construction
     write_upsert(spark, summary_path, with_month(cost.daily_cost_summary(rollup, now)), DAILY_COST_SUMMARY_KEYS,
-                 PARTITION_COL, ckpt)
+                 PARTITION_COL, ckpt, unique_source=True)
     summary = spark.read.parquet(summary_path)
 
     details_path = wh.path("sku_daily_details")
     write_upsert(spark, details_path, with_month(cost.sku_daily_details(summary, p, loaded_at=now)),
-                 SKU_DAILY_DETAILS_KEYS, PARTITION_COL, ckpt)
+                 SKU_DAILY_DETAILS_KEYS, PARTITION_COL, ckpt, unique_source=True)
 
     estimate = vm.vm_cost_estimate(
         vm.cluster_usage(rollup), vm.node_hours(src.node_timeline, p), vm.latest_cluster_config(src.clusters),

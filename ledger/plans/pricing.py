@@ -21,7 +21,16 @@ from ledger.operators.temporal_join import scd2_left_join
 from ledger.operators.upsert import upsert
 from ledger.params import RunParams
 from ledger.sources.schemas import VM_REFERENCE_PRICES, VM_REFERENCE_PRICES_KEYS, conform
-from ledger.sources.seed import N1_GB_HOURLY, N1_VCPU_HOURLY, REGION_MARKUP, SEED_VM_PRICES
+from ledger.sources.seed import (
+    CATALOG_LABEL,
+    ESTIMATE_LABEL,
+    N1_GB_HOURLY,
+    N1_VCPU_HOURLY,
+    REGION_MARKUP,
+    SEED_LABEL,
+    SEED_MARKUP_LABEL,
+    SEED_VM_PRICES,
+)
 
 PRICED_COLUMNS = [
     "usage_date",
@@ -115,8 +124,8 @@ def seed_prices(regions: DataFrame, loaded_at=None) -> DataFrame:
     """
     r = regions.select("region").distinct().select("region", F.inline(_seed_rows()))
     mk = _markup(F.col("region"))
-    label = F.when(mk == 1.0, F.format_string("GCP list price (seeded, %s)", F.col("region"))).otherwise(
-        F.format_string("GCP list price (seeded us-central1, ~%sx markup for %s)", mk.cast("string"), F.col("region"))
+    label = F.when(mk == 1.0, F.format_string(SEED_LABEL, F.col("region"))).otherwise(
+        F.format_string(SEED_MARKUP_LABEL, mk.cast("string"), F.col("region"))
     )
     out = r.select(
         "node_type_id",
@@ -167,7 +176,7 @@ def catalog_price_extract(pages: DataFrame, region: str, loaded_at=None) -> Data
             F.lit(0.0).alias("memory_gb"),
             price.alias("hourly_price_usd"),
             F.lit(region).alias("region"),
-            F.lit(f"GCP Cloud Billing Catalog API ({region})").alias("price_source"),
+            F.lit(CATALOG_LABEL % region).alias("price_source"),
             (loaded_at if loaded_at is not None else F.current_timestamp()).alias("last_updated"),
         )
         .where(F.col("hourly_price_usd") > 0)
@@ -190,7 +199,7 @@ def estimate_missing_prices(node_types: DataFrame, prices: DataFrame, region: st
         F.round(gb, 1).alias("memory_gb"),
         F.round(F.col("core_count") * dec(N1_VCPU_HOURLY) + gb * dec(N1_GB_HOURLY), 6).alias("hourly_price_usd"),
         F.lit(region).alias("region"),
-        F.lit("Estimated from GCP N1 component pricing").alias("price_source"),
+        F.lit(ESTIMATE_LABEL).alias("price_source"),
         (loaded_at if loaded_at is not None else F.current_timestamp()).alias("last_updated"),
     )
     return conform(est, VM_REFERENCE_PRICES).distinct()

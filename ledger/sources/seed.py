@@ -57,6 +57,13 @@ REGION_MARKUP = {
     "asia-southeast1": 1.14,
 }
 
+# price_source labels written into the price table (a markup label carries
+# the markup factor; an estimate label is matched by the prefix 'Estimated').
+SEED_LABEL = "GCP list price (seeded, %s)"
+SEED_MARKUP_LABEL = "GCP list price (seeded us-central1, ~%sx markup for %s)"
+CATALOG_LABEL = "GCP Cloud Billing Catalog API (%s)"
+ESTIMATE_LABEL = "Estimated from GCP N1 component pricing"
+
 # Component prices used to estimate an unlisted node type.
 N1_VCPU_HOURLY = "0.04749"
 N1_GB_HOURLY = "0.006383"
