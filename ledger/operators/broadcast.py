@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledger.session import checkpoint_dir
+
 # Row bound for dimension sides (price lists, configs, price tables).  A few hundred
 # thousand narrow rows is a few tens of MB per executor — well inside a broadcast.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
-def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()`` stops reading once the bound is exceeded, so the
-    check costs at most ``max_rows + 1`` rows even on a large input.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the side is proven small; otherwise leave the choice to
-    the planner (sort-merge join, which AQE can still convert or de-skew at runtime)."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
+    """Broadcast ``df`` when it is proven to hold at most ``max_rows`` rows; otherwise
+    return it unchanged and leave the join strategy to the planner (sort-merge join,
+    which AQE can still convert or de-skew at runtime).
+
+    The check computes ``df.limit(max_rows + 1)`` once and checkpoints it to the shared
+    checkpoint folder.  Within the bound those rows are the whole side, so the broadcast
+    is built from the checkpoint instead of recomputing ``df`` (which may be derived
+    from a large table); beyond it at most ``max_rows + 1`` rows were materialised.
+    """
+    checkpoint_dir(df.sparkSession)
+    head = df.limit(max_rows + 1).checkpoint(eager=True)
+    if head.count() <= max_rows:
+        return F.broadcast(head)
+    return df
