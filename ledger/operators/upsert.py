@@ -171,6 +171,9 @@ def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
       rewritten (dynamic partition overwrite); the semi join on the partition column
       lets dynamic partition pruning skip every other partition of the target.
     """
+    if unique_source and not table_exists(spark, path):
+        write_snapshot(source, path, partition_col)          # first load: nothing to merge or check
+        return
     root = f"{staging_root.rstrip('/')}/upsert-{uuid.uuid4().hex}"
     source.write.parquet(f"{root}/source")
     src = spark.read.parquet(f"{root}/source")

@@ -87,14 +87,15 @@ def price_usage(usage: DataFrame, list_prices: DataFrame, p: RunParams) -> DataF
 
 
 def price_overlap_check(usage: DataFrame, list_prices: DataFrame, p: RunParams) -> DataFrame:
-    """(sku, cloud, usage_start_time) with more than one active price row; empty when clean."""
+    """(sku, cloud, usage_start_time) matched by more than one price version; empty when
+    clean.  Versions are counted distinct (several usage rows may share a start time)."""
     u = usage_window(usage, p).select("sku_name", "cloud", "usage_start_time")
     prices = list_prices.select("sku_name", "cloud", "price_start_time", "price_end_time")
     j = scd2_left_join(u, prices, ["sku_name", "cloud"], "usage_start_time", "price_start_time", "price_end_time")
     return (
         j.where(F.col("price_start_time").isNotNull())
         .groupBy("sku_name", "cloud", "usage_start_time")
-        .agg(F.count(F.lit(1)).alias("active_prices"))
+        .agg(F.count_distinct(F.struct("price_start_time", "price_end_time")).alias("active_prices"))
         .where(F.col("active_prices") > 1)
     )
 
