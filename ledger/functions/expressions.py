@@ -99,6 +99,26 @@ def in_month(date_col: str, label: str | None, as_of, offset: int = 0) -> Column
     return (F.col(date_col) >= lo) & (F.col(date_col) < F.add_months(ms, offset + 1))
 
 
+PARTITION_COL = "usage_month"
+
+
+def on_or_after(df, date_col: str, start) -> "DataFrame":
+    """``date_col >= start``; on a table stored by ``usage_month`` also the implied
+    ``usage_month >= month(start)``, so whole partitions are skipped."""
+    out = df.where(F.col(date_col) >= start)
+    if PARTITION_COL in df.columns and date_col == "usage_date":
+        out = out.where(F.col(PARTITION_COL) >= F.trunc(start, "month"))
+    return out
+
+
+def on_date(df, date_col: str, day) -> "DataFrame":
+    """``date_col = day``; on a table stored by ``usage_month`` also ``usage_month = month(day)``."""
+    out = df.where(F.col(date_col) == F.lit(day))
+    if PARTITION_COL in df.columns and date_col == "usage_date":
+        out = out.where(F.col(PARTITION_COL) == F.trunc(F.lit(day), "month"))
+    return out
+
+
 def csv_ints(s: Column) -> Column:
     """'25, 50,75' -> [25, 50, 75] (a bad token raises under ANSI, like int() in Python)."""
     return F.transform(F.split(s, ","), lambda x: F.trim(x).cast("int"))

@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from ledger.operators.broadcast import sized_broadcast
 
 
+# Partition values of one upsert batch resolved to a literal filter (metadata-sized).
+MAX_LITERAL_PARTITIONS = 10_000
+
+
 class DuplicateSourceKeyError(ValueError):
     """Two source rows would update the same target row (MERGE refuses this too)."""
 
@@ -168,8 +172,11 @@ def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
       to a second staging snapshot, then copied over the target from there.  A lost
       executor only retries tasks; a failed run leaves the target as it was.
     * For a partitioned table only partitions present in the source are read and
-      rewritten (dynamic partition overwrite); the semi join on the partition column
-      lets dynamic partition pruning skip every other partition of the target.
+      rewritten (dynamic partition overwrite).  The touched partition values (a few
+      months for the daily job; at most ``MAX_LITERAL_PARTITIONS``) become a literal
+      ``IN`` filter, so the target scan is pruned at planning time; dynamic partition
+      pruning does not fire for an unfiltered build side.  Beyond the bound a semi join
+      on the partition column is used.
     """
     if unique_source and not table_exists(spark, path):
         write_snapshot(source, path, partition_col)          # first load: nothing to merge or check
@@ -188,7 +195,11 @@ def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         assert_unique_keys(src, keys, target, null_safe)
     if partition_col:
         touched = src.select(partition_col).distinct()
-        target = target.join(touched, partition_col, "left_semi").select(*target.columns)
+        values = [r[0] for r in touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
+        if len(values) <= MAX_LITERAL_PARTITIONS:
+            target = target.where(F.col(partition_col).isin(values))
+        else:
+            target = target.join(touched, partition_col, "left_semi").select(*target.columns)
     merged = upsert(target, src, keys, null_safe=null_safe, check=False, broadcast_check=False)
     write_snapshot(merged, f"{root}/merged", partition_col)
     staged = spark.read.parquet(f"{root}/merged").select(*target.columns)

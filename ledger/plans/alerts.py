@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledger.functions.expressions import csv_ints, display_time, severity
+from ledger.functions.expressions import csv_ints, display_time, on_date, severity
 from ledger.operators.upsert import update_where, upsert_columns, with_new_ids
 from ledger.sources.schemas import ALERT_CONFIG, ALERT_CONFIG_KEYS, ALERT_HISTORY, conform
 
@@ -71,7 +71,7 @@ def today_cost(summary: DataFrame, as_of: dt.date, config: DataFrame) -> DataFra
     The day's total is a global aggregate used as a scalar subquery: computed once,
     attached to each config row without a join.
     """
-    cost = summary.where(F.col("usage_date") == F.lit(as_of)).agg(
+    cost = on_date(summary, "usage_date", as_of).agg(
         F.coalesce(F.sum("total_cost_usd"), F.lit(0)).alias("today_cost")
     )
     thr = F.col("daily_threshold_dollars").cast("double")

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledger.functions.expressions import hours_between, is_photon, product_category
+from ledger.functions.expressions import hours_between, is_photon, on_or_after, product_category
 from ledger.params import RunParams
 from ledger.sources.schemas import DAILY_COST_SUMMARY, SKU_DAILY_DETAILS, conform
 
@@ -74,8 +74,8 @@ def sku_daily_details(summary: DataFrame, p: RunParams, warmup_days: int = 0, fr
     start = p.window_start
     base = summary
     if start is not None:
-        read_from = start if not warmup_days else F.date_sub(F.lit(start), warmup_days)
-        base = base.where(F.col("usage_date") >= read_from)
+        read_from = F.lit(start) if not warmup_days else F.date_sub(F.lit(start), warmup_days)
+        base = on_or_after(base, "usage_date", read_from)
     agg = base.groupBy("usage_date", "sku_name", "billing_origin_product", "is_serverless").agg(
         F.sum("total_dbus").alias("total_dbus"), F.sum("total_cost_usd").alias("total_cost_usd")
     )

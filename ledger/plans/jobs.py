@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledger.functions.expressions import PARTITION_COL
 from ledger.operators.upsert import table_exists, write_upsert
 from ledger.params import RunParams
 from ledger.plans import alerts, cost, pricing, vm
@@ -44,9 +45,6 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{table}"
 
 
-PARTITION_COL = "usage_month"
-
-
 def with_month(df: DataFrame) -> DataFrame:
     """Add the storage partition column ``usage_month`` = month start of ``usage_date``."""
     return df.withColumn(PARTITION_COL, F.trunc("usage_date", "month"))

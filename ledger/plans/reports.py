@@ -15,9 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledger.functions.expressions import display_time, in_month, month_start
-
-PARTITION_COL = "usage_month"
+from ledger.functions.expressions import PARTITION_COL, display_time, in_month, month_start, on_or_after
 
 
 def _month(df: DataFrame, date_col: str, label: str | None, as_of: dt.date, offset: int = 0) -> DataFrame:
@@ -34,7 +32,7 @@ def _month(df: DataFrame, date_col: str, label: str | None, as_of: dt.date, offs
 def month_picker(summary: DataFrame, as_of: dt.date, days: int = 365) -> DataFrame:
     """Distinct months with usage in the last ``days`` days, newest first."""
     return (
-        summary.where(F.col("usage_date") >= F.date_sub(F.lit(as_of), days))
+        on_or_after(summary, "usage_date", F.date_sub(F.lit(as_of), days))
         .select(
             F.date_format("usage_date", "MMM yyyy").alias("month_label"),
             F.date_trunc("MONTH", "usage_date").cast("date").alias("month_start"),

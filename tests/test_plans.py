@@ -39,3 +39,17 @@ def test_month_report_prunes_partitions(spark, tmp_path):
     stored = spark.read.parquet(path)
     p = plan(reports.top_skus(stored, "Jun 2000", P.as_of))
     assert "PartitionFilters: [isnotnull(usage_month" in p and "2000-06-01" in p
+
+
+def test_daily_steps_prune_stored_partitions(spark, tmp_path):
+    from ledger.functions.expressions import on_date
+    from ledger.plans import cost
+    from ledger.plans.jobs import with_month
+
+    c = Chain(spark, SMALL)
+    path = str(tmp_path / "summary")
+    with_month(c.summary).write.partitionBy("usage_month").parquet(path)
+    stored = spark.read.parquet(path)
+    p90 = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=90)
+    assert "usage_month#" in plan(cost.sku_daily_details(stored, p90)).split("PartitionFilters: [")[1].split("]")[0]
+    assert "usage_month" in plan(on_date(stored, "usage_date", P.as_of)).split("PartitionFilters: [")[1].split("]")[0]
