@@ -97,10 +97,15 @@ def crossed_tiers(cost: DataFrame) -> DataFrame:
     )
 
 
-def new_alerts(crossed: DataFrame, history: DataFrame, cloud: str = "GCP") -> DataFrame:
-    """Crossed tiers not yet logged as SENT for that day (FAILED ones fire again)."""
+def new_alerts(crossed: DataFrame, history: DataFrame, cloud: str = "GCP", as_of: dt.date | None = None) -> DataFrame:
+    """Crossed tiers not yet logged as SENT for that day (FAILED ones fire again).
+
+    With ``as_of`` (the checked day) only that day's history is read — a filter that
+    reaches the scan — instead of a distinct over the whole history.
+    """
+    hist = history if as_of is None else history.where(F.col("alert_date") == F.lit(as_of))
     sent = (
-        history.where(F.col("status") == "SENT")
+        hist.where(F.col("status") == "SENT")
         .select(F.col("alert_date").alias("usage_date"), "threshold_pct")
         .distinct()
     )

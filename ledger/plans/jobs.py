@@ -134,7 +134,7 @@ def run_alerts(spark: SparkSession, config: DataFrame, wh: Warehouse, p: RunPara
                else spark.createDataFrame([], ALERT_HISTORY))
     active = alerts.active_config(config)
     today = alerts.today_cost(summary, p.as_of, active)
-    new = alerts.new_alerts(alerts.crossed_tiers(today), history, p.cloud)
+    new = alerts.new_alerts(alerts.crossed_tiers(today), history, p.cloud, p.as_of)
     stage = _scratch(spark, "new-alerts")
     alerts.numbered_alerts(history, new, now).write.parquet(stage)
     staged = spark.read.parquet(stage)

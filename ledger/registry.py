@@ -133,7 +133,7 @@ class Chain:
     @property
     def new_alerts(self):
         return self._get(
-            "new", lambda: alerts.new_alerts(self.crossed, self.src.alert_history, self.p.cloud)
+            "new", lambda: alerts.new_alerts(self.crossed, self.src.alert_history, self.p.cloud, self.p.as_of)
         )
 
     @property
