@@ -101,3 +101,11 @@ def test_rollup_gives_the_same_summary(spark):
     direct = cost.daily_cost_summary(priced, F.lit(None)).drop("_etl_updated_at")
     rolled = cost.daily_cost_summary(cost.usage_rollup(priced), F.lit(None)).drop("_etl_updated_at")
     assert direct.exceptAll(rolled).count() == 0 and rolled.exceptAll(direct).count() == 0
+
+
+def test_range_frame_uses_calendar_days(spark):
+    rows = [("2000-01-01", "S", "JOBS", False, 10), ("2000-01-02", "S", "JOBS", False, 20),
+            ("2000-01-10", "S", "JOBS", False, 30)]
+    out = {str(r.usage_date): float(r.cost_7d_avg)
+           for r in cost.sku_daily_details(_summary(spark, rows), P, frame="range").collect()}
+    assert out == {"2000-01-01": 10.0, "2000-01-02": 15.0, "2000-01-10": 30.0}   # rows frame would give 20.0
