@@ -15,6 +15,7 @@ by ``spark.checkpoint.dir`` (shared storage on a cluster).
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,35 +79,52 @@ def refresh_vm_prices(spark: SparkSession, src: Sources, wh: Warehouse, p: RunPa
     return spark.read.parquet(path)
 
 
+def _both(first, second):
+    """Run two independent steps as concurrent Spark jobs (driver threads); re-raise errors."""
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        a, b = pool.submit(first), pool.submit(second)
+        return a.result(), b.result()
+
+
 def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
               live_pages: DataFrame | None = None, now: Column | None = None) -> DataFrame:
-    """The daily cost job; returns the load statistics of the three fact tables."""
-    now = now if now is not None else F.current_timestamp()
-    prices = refresh_vm_prices(spark, src, wh, p, live_pages, now)
+    """The daily cost job; returns the load statistics of the three fact tables.
 
-    # one pass over raw usage: price, roll up, persist; both fact tables derive from it
+    Dependency order (independent branches run as concurrent jobs):
+
+        price refresh  ||  usage rollup (one pass over raw usage, persisted)
+        daily_cost_summary upsert                      <- rollup
+        sku_daily_details upsert  ||  VM estimate upsert  <- summary / rollup + prices
+    """
+    now = now if now is not None else F.current_timestamp()
+    ckpt = checkpoint_dir(spark)
     rollup_path = _scratch(spark, "usage-rollup")
-    cost.usage_rollup(pricing.price_usage(src.usage, src.list_prices, p)).write.parquet(rollup_path)
+
+    def rollup_step():
+        cost.usage_rollup(pricing.price_usage(src.usage, src.list_prices, p)).write.parquet(rollup_path)
+
+    prices, _ = _both(lambda: refresh_vm_prices(spark, src, wh, p, live_pages, now), rollup_step)
     rollup = spark.read.parquet(rollup_path)
 
-    ckpt = checkpoint_dir(spark)
     summary_path = wh.path("daily_cost_summary")
     # one cloud per run and a GROUP BY on a superset of the merge key: unique by construction
     write_upsert(spark, summary_path, with_month(cost.daily_cost_summary(rollup, now)), DAILY_COST_SUMMARY_KEYS,
                  PARTITION_COL, ckpt, unique_source=True)
     summary = spark.read.parquet(summary_path)
 
-    details_path = wh.path("sku_daily_details")
-    write_upsert(spark, details_path, with_month(cost.sku_daily_details(summary, p, loaded_at=now)),
-                 SKU_DAILY_DETAILS_KEYS, PARTITION_COL, ckpt, unique_source=True)
+    def details_step():
+        write_upsert(spark, wh.path("sku_daily_details"), with_month(cost.sku_daily_details(summary, p, loaded_at=now)),
+                     SKU_DAILY_DETAILS_KEYS, PARTITION_COL, ckpt, unique_source=True)
 
-    estimate = vm.vm_cost_estimate(
-        vm.cluster_usage(rollup), vm.node_hours(src.node_timeline, p), vm.latest_cluster_config(src.clusters),
-        prices, p, loaded_at=now,
-    )
-    vm_path = wh.path("daily_cost_with_vm_estimate")
-    write_upsert(spark, vm_path, with_month(estimate), DAILY_COST_WITH_VM_ESTIMATE_KEYS, PARTITION_COL, ckpt)
+    def vm_step():
+        estimate = vm.vm_cost_estimate(
+            vm.cluster_usage(rollup), vm.node_hours(src.node_timeline, p), vm.latest_cluster_config(src.clusters),
+            prices, p, loaded_at=now,
+        )
+        write_upsert(spark, wh.path("daily_cost_with_vm_estimate"), with_month(estimate),
+                     DAILY_COST_WITH_VM_ESTIMATE_KEYS, PARTITION_COL, ckpt)
 
+    _both(details_step, vm_step)
     return load_stats(spark, wh)
 
 
