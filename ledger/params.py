@@ -36,13 +36,15 @@ _MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct",
 
 
 def parse_month_label(label: str | None) -> dt.date | None:
-    """'Jun 2000' -> 2000-06-01; anything else -> None (like ``try_to_date(s, 'MMM yyyy')``)."""
+    """'Jun 2000' -> 2000-06-01; anything else -> None (like ``try_to_date(s, 'MMM yyyy')``,
+    whose month names are case-insensitive)."""
     if label is None:
         return None
     parts = label.split(" ")
-    if len(parts) != 2 or parts[0] not in _MONTHS or not parts[1].isdigit() or len(parts[1]) != 4:
+    months = [m.lower() for m in _MONTHS]
+    if len(parts) != 2 or parts[0].lower() not in months or not parts[1].isdigit() or len(parts[1]) != 4:
         return None
-    return dt.date(int(parts[1]), _MONTHS.index(parts[0]) + 1, 1)
+    return dt.date(int(parts[1]), months.index(parts[0].lower()) + 1, 1)
 
 
 def add_months(d: dt.date, n: int) -> dt.date:

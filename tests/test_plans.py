@@ -53,3 +53,11 @@ def test_daily_steps_prune_stored_partitions(spark, tmp_path):
     p90 = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=90)
     assert "usage_month#" in plan(cost.sku_daily_details(stored, p90)).split("PartitionFilters: [")[1].split("]")[0]
     assert "usage_month" in plan(on_date(stored, "usage_date", P.as_of)).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_raw_volume_aggregations_combine_map_side(spark):
+    # a hot key (a third of all rows) then crosses the shuffle once per map task
+    c = Chain(spark, SMALL)
+    for df in (c.summary, c.cluster_usage, c.node_hours):
+        p = plan(df)
+        assert "partial_sum" in p and p.index("partial_sum") > p.index("Exchange hashpartitioning")
