@@ -523,3 +523,54 @@ FROM (SELECT COALESCE(SUM(total_cost_usd), 0) AS month_spend, COUNT(DISTINCT usa
 CROSS JOIN (SELECT daily_threshold_dollars AS threshold FROM alert_config WHERE is_active = true
       ORDER BY config_id LIMIT 1) cfg1"""),
 }
+
+# DECIMAL result columns of each statement (fixed by the SQL text, listed from DuckDB's
+# DESCRIBE); they are cast to DOUBLE like the Spark side's boundary cast.
+DECIMAL_COLUMNS: dict[str, list[str]] = {
+    'active_alert_config': ['daily_threshold_dollars'],
+    'alert_config_update': ['daily_threshold_dollars'],
+    'alert_config_upsert': ['daily_threshold_dollars'],
+    'alert_config_view': ['daily_threshold_dollars'],
+    'alert_history_append': ['amount_at_alert', 'threshold_amount', 'daily_threshold'],
+    'alert_history_month': ['amount_at_alert', 'threshold_amount', 'daily_threshold'],
+    'catalog_price_extract': ['hourly_price_usd'],
+    'cluster_usage': ['total_dbus', 'billing_hours', 'dbu_cost_usd'],
+    'cost_counters': ['month_total', 'avg_daily', 'peak_day', 'pct_vs_prev_month'],
+    'crossed_tiers': ['today_cost'],
+    'daily_cost_summary': ['total_dbus', 'list_price_per_dbu', 'total_cost_usd'],
+    'daily_cost_trend': ['daily_cost', 'daily_dbus'],
+    'estimate_missing_prices': ['hourly_price_usd'],
+    'load_stats': ['total_cost'],
+    'new_alerts': ['amount_at_alert', 'threshold_amount', 'daily_threshold'],
+    'node_hours': ['driver_hours', 'worker_hours'],
+    'price_upsert': ['hourly_price_usd'],
+    'priced_usage': ['usage_quantity', 'unit_price', 'exact_cost'],
+    'recent_alerts': ['amount_at_alert', 'threshold_amount', 'daily_threshold'],
+    'schema_conform': ['cluster_uptime_hours', 'dbu_cost_usd', 'estimated_vm_cost_usd', 'total_estimated_cost'],
+    'seed_prices': ['hourly_price_usd'],
+    'sku_daily_details': ['total_dbus', 'total_cost_usd', 'cost_7d_avg', 'cost_30d_avg', 'cost_pct_change_7d'],
+    'sku_details_filtered': ['total_dbus', 'total_cost_usd', 'cost_7d_avg', 'cost_30d_avg', 'cost_pct_change_7d'],
+    'sku_details_month': ['total_dbus', 'total_cost_usd', 'cost_7d_avg', 'cost_30d_avg', 'cost_pct_change_7d'],
+    'threshold_gauge': ['month_spend', 'daily_threshold', 'pct_avg_vs_threshold'],
+    'today_cost': ['today_cost', 'daily_threshold_dollars'],
+    'top_skus': ['total_cost', 'total_dbus'],
+    'upsert_daily_cost': ['total_dbus', 'list_price_per_dbu', 'total_cost_usd'],
+    'usage_window': ['usage_quantity'],
+    'vm_by_node_type': ['total_vm_cost'],
+    'vm_cost_by_source': ['dbu_cost', 'vm_cost'],
+    'vm_cost_counters': ['month_vm_cost', 'month_dbu_cost', 'month_total_cost', 'avg_daily_vm_cost'],
+    'vm_cost_estimate': ['cluster_uptime_hours', 'dbu_cost_usd', 'estimated_vm_cost_usd', 'total_estimated_cost'],
+    'vm_daily_trend': ['dbu_cost', 'vm_cost', 'total_cost'],
+    'vm_estimates_month': ['cluster_uptime_hours', 'dbu_cost_usd', 'estimated_vm_cost_usd', 'total_estimated_cost'],
+    'vm_reference_prices': ['hourly_price_usd'],
+}
+
+
+def _as_double(sql: str, cols: list[str]) -> str:
+    if not cols:
+        return sql
+    casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in cols)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql}) AS boundary"
+
+
+ORACLE = {k: _as_double(v, DECIMAL_COLUMNS.get(k, [])) for k, v in ORACLE.items()}

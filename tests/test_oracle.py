@@ -38,6 +38,19 @@ def test_matches_oracle(spark, con, key):
     assert _norm(df.columns, [tuple(r) for r in df.collect()]) == _norm(dcols, res.fetchall())
 
 
+FAMILY = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+          "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_column_types_match_oracle(spark, con, key):
+    import __spark_entry__ as e
+
+    spark_types = {f.name: FAMILY[f.dataType.simpleString()] for f in e.queries()[key](spark, SMALL).schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({e.oracle_sql()[key]})").fetchall()}
+    assert spark_types == duck_types
+
+
 def test_every_query_has_an_oracle():
     import __spark_entry__ as e
 
