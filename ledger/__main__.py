@@ -1,10 +1,13 @@
 """Command line: the two scheduled jobs and the month reports.
 
+    python -m ledger setup  --warehouse W [--threshold 1000 --recipients a@x,b@y --tiers 25,50,75,90,100]
     python -m ledger daily  --warehouse W --usage U --list-prices L --node-timeline N \\
                             --clusters C --node-types T [--catalog-pages DIR] [--as-of D] [--lookback-days 90]
-    python -m ledger alerts --warehouse W --alert-config A [--as-of D]
+    python -m ledger alerts --warehouse W [--alert-config A] [--as-of D]
     python -m ledger report NAME --warehouse W [--month 'Jun 2000'] [--alert-config A] [--out PATH]
 
+``--alert-config`` defaults to the warehouse's own ``alert_config`` table (written by setup).
+
 A source is a Parquet path (contains '/') or a catalog table name.  The session comes
 from the environment (spark-submit); ``spark.checkpoint.dir`` must name shared storage.
 Dates default to today (UTC), like the reference's ``current_date()``.
@@ -17,6 +20,7 @@ import datetime as dt
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledger.params import RunParams
 from ledger.plans import jobs, reports
@@ -62,8 +66,12 @@ def _parser() -> argparse.ArgumentParser:
         d.add_argument(f"--{name}", required=True)
     d.add_argument("--catalog-pages")
     d.add_argument("--lookback-days", type=int, default=90, help="negative = whole history")
+    s = sub.add_parser("setup", parents=[common])
+    s.add_argument("--threshold", help="daily threshold in dollars; omit to only create tables")
+    s.add_argument("--recipients", default="")
+    s.add_argument("--tiers", default="25,50,75,90,100")
     a = sub.add_parser("alerts", parents=[common])
-    a.add_argument("--alert-config", required=True)
+    a.add_argument("--alert-config")
     r = sub.add_parser("report", parents=[common])
     r.add_argument("name", choices=sorted(REPORTS))
     r.add_argument("--month")
@@ -79,7 +87,26 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     spark = spark or SparkSession.builder.appName(f"ledger-{args.cmd}").getOrCreate()
     apply_job_conf(spark)
     wh = jobs.Warehouse(args.warehouse)
-    if args.cmd == "daily":
+
+    def config() -> DataFrame:
+        ref = getattr(args, "alert_config", None)
+        return _read(spark, ref) if ref else jobs.read_table(spark, wh, "alert_config")
+
+    if args.cmd == "setup":
+        row = None
+        if args.threshold is not None:
+            row = spark.range(1).select(
+                F.lit(1).alias("config_id"),
+                F.lit(args.threshold).cast("decimal(20,2)").alias("daily_threshold_dollars"),
+                F.lit(args.recipients).alias("recipient_emails"),
+                F.lit(True).alias("is_active"),
+                F.lit(args.tiers).alias("threshold_percentages"),
+                F.current_timestamp().alias("created_at"),
+                F.current_timestamp().alias("updated_at"),
+            )
+        jobs.setup(spark, wh, row)
+        out = jobs.read_table(spark, wh, "alert_config")
+    elif args.cmd == "daily":
         lookback = None if args.lookback_days < 0 else args.lookback_days
         p = RunParams(as_of=args.as_of, cloud=args.cloud, region=args.region, lookback_days=lookback, tz=args.tz)
         src = Sources(
@@ -91,14 +118,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         out = jobs.run_daily(spark, src, wh, p, live_pages=pages)
     elif args.cmd == "alerts":
         p = RunParams(as_of=args.as_of, cloud=args.cloud, region=args.region, tz=args.tz)
-        out = jobs.run_alerts(spark, _read(spark, args.alert_config), wh, p)
+        out = jobs.run_alerts(spark, config(), wh, p)
     else:
         def table(name: str) -> DataFrame:
-            if name == "alert_config":
-                if not args.alert_config:
-                    raise SystemExit("--alert-config is required for this report")
-                return _read(spark, args.alert_config)
-            return spark.read.parquet(wh.path(name))
+            return config() if name == "alert_config" else jobs.read_table(spark, wh, name)
 
         out = REPORTS[args.name](table, args)
         if args.out:

@@ -161,13 +161,14 @@ def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None) -
 
 def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  partition_col: str | None, staging_root: str, null_safe: bool = False,
-                 unique_source: bool = False) -> None:
+                 unique_source: bool = False, target_schema=None) -> None:
     """Persist ``upsert(existing, source)`` into the Parquet table at ``path``.
 
     * The source batch is computed once and staged under ``staging_root`` (shared
       storage); the key check, the partition list and the merge all read the staged copy.
       ``unique_source=True`` skips the key check for a batch that is a GROUP BY on the
-      merge keys (unique by construction).
+      merge keys (unique by construction).  ``target_schema`` reads the target with its
+      declared schema, so columns absent from older files come back as NULL.
     * The target is never read and overwritten by one plan: the merged rows are written
       to a second staging snapshot, then copied over the target from there.  A lost
       executor only retries tasks; a failed run leaves the target as it was.
@@ -189,7 +190,7 @@ def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
             assert_unique_keys(src, keys, None, null_safe)
         write_snapshot(src, path, partition_col)
         return
-    target = spark.read.parquet(path)
+    target = (spark.read.schema(target_schema) if target_schema is not None else spark.read).parquet(path)
     src = src.select(*target.columns)
     if not unique_source:
         assert_unique_keys(src, keys, target, null_safe)

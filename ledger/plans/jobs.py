@@ -20,15 +20,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledger.functions.expressions import PARTITION_COL
-from ledger.operators.upsert import table_exists, write_upsert
+from ledger.operators.upsert import table_exists, write_snapshot, write_upsert
 from ledger.params import RunParams
 from ledger.plans import alerts, cost, pricing, vm
 from ledger.session import checkpoint_dir
 from ledger.sources.fixtures import Sources
 from ledger.sources.schemas import (
     ALERT_HISTORY,
+    GOLD,
     DAILY_COST_SUMMARY_KEYS,
     DAILY_COST_WITH_VM_ESTIMATE_KEYS,
     SKU_DAILY_DETAILS_KEYS,
@@ -51,6 +53,44 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.trunc("usage_date", "month"))
 
 
+FACT_TABLES = ("daily_cost_summary", "sku_daily_details", "daily_cost_with_vm_estimate")
+
+
+def table_schema(name: str) -> T.StructType:
+    """Declared schema of a stored gold table (fact tables carry the ``usage_month`` partition)."""
+    schema = GOLD[name][0]
+    if name in FACT_TABLES:
+        schema = T.StructType(schema.fields + [T.StructField(PARTITION_COL, T.DateType())])
+    return schema
+
+
+def read_table(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame:
+    """Read a gold table with its declared schema.
+
+    Schema-on-read is the additive migration for Parquet: files written before a column
+    existed (e.g. ``vm_cost_source``) read it as NULL; no file is rewritten.
+    """
+    return spark.read.schema(table_schema(name)).parquet(wh.path(name))
+
+
+def setup(spark: SparkSession, wh: Warehouse, config_row: DataFrame | None = None,
+          now: Column | None = None) -> None:
+    """Create missing gold tables (empty, declared schema) and upsert the deploy-time alert
+    configuration: a matching ``config_id`` takes the new threshold, recipients and tiers,
+    is re-activated and keeps ``created_at``."""
+    for name in GOLD:
+        if not table_exists(spark, wh.path(name)):
+            empty = spark.createDataFrame([], table_schema(name))
+            write_snapshot(empty, wh.path(name), PARTITION_COL if name in FACT_TABLES else None)
+    if config_row is None:
+        return
+    current = read_table(spark, wh, "alert_config")
+    merged = alerts.alert_config_upsert(current, config_row, now)
+    stage = _scratch(spark, "alert-config")
+    merged.write.parquet(stage)
+    spark.read.parquet(stage).write.mode("overwrite").parquet(wh.path("alert_config"))
+
+
 def _scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -69,14 +109,14 @@ def refresh_vm_prices(spark: SparkSession, src: Sources, wh: Warehouse, p: RunPa
         regions = spark.range(1).select(F.lit(p.region).alias("region"))
         new_rows = pricing.seed_prices(regions, now)
     write_upsert(spark, path, conform(new_rows, VM_REFERENCE_PRICES), VM_REFERENCE_PRICES_KEYS, None,
-                 checkpoint_dir(spark))
-    table = spark.read.parquet(path)
+                 checkpoint_dir(spark), target_schema=table_schema("gcp_vm_reference_prices"))
+    table = read_table(spark, wh, "gcp_vm_reference_prices")
     est = pricing.estimate_missing_prices(src.node_types, table, p.region, now)
     # estimates are computed from the table as read above; stage them before appending
     stage = _scratch(spark, "estimates")
     est.write.parquet(stage)
     spark.read.parquet(stage).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    return read_table(spark, wh, "gcp_vm_reference_prices")
 
 
 def _both(first, second):
@@ -109,12 +149,13 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
     summary_path = wh.path("daily_cost_summary")
     # one cloud per run and a GROUP BY on a superset of the merge key: unique by construction
     write_upsert(spark, summary_path, with_month(cost.daily_cost_summary(rollup, now)), DAILY_COST_SUMMARY_KEYS,
-                 PARTITION_COL, ckpt, unique_source=True)
-    summary = spark.read.parquet(summary_path)
+                 PARTITION_COL, ckpt, unique_source=True, target_schema=table_schema("daily_cost_summary"))
+    summary = read_table(spark, wh, "daily_cost_summary")
 
     def details_step():
         write_upsert(spark, wh.path("sku_daily_details"), with_month(cost.sku_daily_details(summary, p, loaded_at=now)),
-                     SKU_DAILY_DETAILS_KEYS, PARTITION_COL, ckpt, unique_source=True)
+                     SKU_DAILY_DETAILS_KEYS, PARTITION_COL, ckpt, unique_source=True,
+                     target_schema=table_schema("sku_daily_details"))
 
     def vm_step():
         estimate = vm.vm_cost_estimate(
@@ -122,7 +163,8 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
             prices, p, loaded_at=now,
         )
         write_upsert(spark, wh.path("daily_cost_with_vm_estimate"), with_month(estimate),
-                     DAILY_COST_WITH_VM_ESTIMATE_KEYS, PARTITION_COL, ckpt)
+                     DAILY_COST_WITH_VM_ESTIMATE_KEYS, PARTITION_COL, ckpt,
+                     target_schema=table_schema("daily_cost_with_vm_estimate"))
 
     _both(details_step, vm_step)
     return load_stats(spark, wh)
@@ -130,10 +172,10 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
 
 def load_stats(spark: SparkSession, wh: Warehouse) -> DataFrame:
     """Row count, date range and total cost of the three fact tables."""
-    vm_table = spark.read.parquet(wh.path("daily_cost_with_vm_estimate"))
+    vm_table = read_table(spark, wh, "daily_cost_with_vm_estimate")
     return cost.load_stats({
-        "daily_cost_summary": spark.read.parquet(wh.path("daily_cost_summary")),
-        "sku_daily_details": spark.read.parquet(wh.path("sku_daily_details")),
+        "daily_cost_summary": read_table(spark, wh, "daily_cost_summary"),
+        "sku_daily_details": read_table(spark, wh, "sku_daily_details"),
         "daily_cost_with_vm_estimate": vm_table.withColumn("total_cost_usd", F.col("total_estimated_cost")),
     })
 
@@ -147,8 +189,8 @@ def run_alerts(spark: SparkSession, config: DataFrame, wh: Warehouse, p: RunPara
     """
     now = now if now is not None else F.current_timestamp()
     hist_path = wh.path("alert_history")
-    summary = spark.read.parquet(wh.path("daily_cost_summary"))
-    history = (spark.read.parquet(hist_path) if table_exists(spark, hist_path)
+    summary = read_table(spark, wh, "daily_cost_summary")
+    history = (read_table(spark, wh, "alert_history") if table_exists(spark, hist_path)
                else spark.createDataFrame([], ALERT_HISTORY))
     active = alerts.active_config(config)
     today = alerts.today_cost(summary, p.as_of, active)

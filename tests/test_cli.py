@@ -14,11 +14,15 @@ def test_cli_daily_alerts_report(spark, tmp_path):
         getattr(src, name).write.parquet(paths[name])
     wh = str(tmp_path / "wh")
     common = ["--warehouse", wh, "--as-of", "2000-06-30"]
+    cfg = main(["setup", *common, "--threshold", "300", "--recipients", "ops@example.com"], spark).collect()
+    assert [(r.config_id, float(r.daily_threshold_dollars)) for r in cfg] == [(1, 300.0)]
     main(["daily", *common, "--usage", paths["usage"], "--list-prices", paths["list_prices"],
           "--node-timeline", paths["node_timeline"], "--clusters", paths["clusters"],
           "--node-types", paths["node_types"], "--lookback-days", "-1"], spark)
     gate = main(["alerts", *common, "--alert-config", paths["alert_config"]], spark).collect()[0]
     assert gate.alerts_sent == 0                                   # sf0.001 stays below the first tier
+    own = main(["alerts", *common], spark).collect()[0]            # the warehouse's own config (setup)
+    assert own.daily_threshold == 300.0
     out = str(tmp_path / "top")
     main(["report", "top_skus", *common, "--month", "Jun 2000", "--out", out], spark)
     got = boundary(spark.read.parquet(out))

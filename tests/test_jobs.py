@@ -1,6 +1,7 @@
 """End-to-end batch jobs on the smallest test data."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -50,3 +51,29 @@ def test_alert_job_deduplicates_across_runs(spark, tmp_path):
     assert first.alerts_sent >= 1 and second.alerts_sent == 0
     hist = spark.read.parquet(wh.path("alert_history"))
     assert hist.count() == first.alerts_sent and hist.select("alert_id").distinct().count() == first.alerts_sent
+
+
+def test_setup_creates_tables_and_redeploy_keeps_created_at(spark, tmp_path):
+    wh = jobs.Warehouse(str(tmp_path / "wh"))
+
+    def row(threshold, at):
+        return spark.createDataFrame(
+            [(1, Decimal(threshold), "ops@example.com", True, "25,50,75,90,100")],
+            "config_id int, daily_threshold_dollars decimal(20,2), recipient_emails string, is_active boolean, "
+            "threshold_percentages string",
+        ).withColumn("created_at", F.lit(at).cast("timestamp")).withColumn("updated_at", F.lit(at).cast("timestamp"))
+
+    jobs.setup(spark, wh, row(1000, "2000-01-01 00:00:00"), F.lit("2000-01-01 00:00:00").cast("timestamp"))
+    jobs.setup(spark, wh, row(300, "2000-02-01 00:00:00"), F.lit("2000-02-01 00:00:00").cast("timestamp"))
+    cfg = jobs.read_table(spark, wh, "alert_config").collect()
+    assert len(cfg) == 1 and float(cfg[0].daily_threshold_dollars) == 300
+    assert str(cfg[0].created_at) == "2000-01-01 00:00:00" and str(cfg[0].updated_at) == "2000-02-01 00:00:00"
+    assert jobs.read_table(spark, wh, "alert_history").count() == 0
+
+
+def test_declared_schema_read_adds_missing_column(spark, tmp_path):
+    wh = jobs.Warehouse(str(tmp_path / "wh"))
+    old = QUERIES["vm_cost_estimate"](spark, SMALL).drop("vm_cost_source")
+    jobs.with_month(old).write.partitionBy("usage_month").parquet(wh.path("daily_cost_with_vm_estimate"))
+    t = jobs.read_table(spark, wh, "daily_cost_with_vm_estimate")
+    assert "vm_cost_source" in t.columns and t.where(F.col("vm_cost_source").isNotNull()).count() == 0
