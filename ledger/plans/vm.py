@@ -44,13 +44,22 @@ def node_hours(node_timeline: DataFrame, p: RunParams) -> DataFrame:
 
     An interval is charged wholly to the date it starts (T16); an open interval adds
     nothing; ``driver`` NULL counts for neither role (T17).
+
+    Two phases: the raw timeline is first reduced by a hash aggregate to one row per
+    (day, cluster, role, node type) with summed hours — string keys, numeric buffer, map-
+    side combining.  Only that small result feeds the string ``MAX`` (a sort-based
+    aggregate in Spark), so raw rows are never sorted.  Sums are associative and an
+    all-open group stays NULL, so the result equals the one-step formulation.
     """
     nt = node_timeline
     if p.window_start is not None:
         nt = nt.where(F.col("start_time") >= F.lit(p.window_start).cast("timestamp_ntz"))
-    h = hours_between("start_time", "end_time")
+    typed = nt.groupBy(F.to_date("start_time").alias("usage_date"), "cluster_id", "driver", "node_type").agg(
+        F.sum(hours_between("start_time", "end_time")).alias("hours")
+    )
+    h = F.col("hours")
     drv, wrk = F.col("driver"), ~F.col("driver")
-    return nt.groupBy(F.to_date("start_time").alias("usage_date"), "cluster_id").agg(
+    return typed.groupBy("usage_date", "cluster_id").agg(
         F.sum(F.when(drv, h).otherwise(0)).alias("driver_hours"),
         F.sum(F.when(wrk, h).otherwise(0)).alias("worker_hours"),
         F.max(F.when(drv, F.col("node_type"))).alias("nt_driver_type"),
