@@ -61,3 +61,11 @@ def test_raw_volume_aggregations_combine_map_side(spark):
     for df in (c.summary, c.cluster_usage, c.node_hours):
         p = plan(df)
         assert "partial_sum" in p and p.index("partial_sum") > p.index("Exchange hashpartitioning")
+
+
+def test_node_hours_hash_aggregates_raw_rows_first(spark):
+    c = Chain(spark, SMALL)
+    p = plan(c.node_hours)
+    # the plan string lists operators top-down: the sort-based MAX sits above the hash stage
+    assert "SortAggregate" in p and p.index("SortAggregate") < p.rindex("HashAggregate")
+    assert "partial_sum" in p
