@@ -56,8 +56,14 @@ def alert_config_update(config: DataFrame, config_id: int, **values) -> DataFram
 
 
 def active_config(config: DataFrame) -> DataFrame:
-    """First active config by id — at most one row (TakeOrderedAndProject, no full sort)."""
-    return config.where(F.col("is_active") == True).orderBy("config_id").limit(1)  # noqa: E712
+    """First active config by id (``ORDER BY config_id LIMIT 1``) — at most one row.
+
+    Written as ``config_id = (SELECT MIN(config_id) ...)``: a scalar aggregate instead of
+    a sort of the config table; ``limit(1)`` keeps the single-row guarantee.
+    """
+    active = config.where(F.col("is_active") == True)  # noqa: E712
+    first = active.agg(F.min("config_id")).scalar()
+    return active.where(F.col("config_id") == first).limit(1)
 
 
 def alert_tiers(config: DataFrame) -> DataFrame:

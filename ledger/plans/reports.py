@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledger.functions.expressions import PARTITION_COL, display_time, in_month, month_start, on_or_after
+from ledger.plans.alerts import active_config
 
 
 def _month(df: DataFrame, date_col: str, label: str | None, as_of: dt.date, offset: int = 0) -> DataFrame:
@@ -233,12 +234,7 @@ def threshold_gauge(summary: DataFrame, config: DataFrame, month: str | None, as
         F.coalesce(F.sum("total_cost_usd"), F.lit(0)).alias("month_spend"),
         F.count_distinct("usage_date").alias("days_in_month"),
     )
-    cfg = (
-        config.where(F.col("is_active") == True)  # noqa: E712
-        .orderBy("config_id")
-        .limit(1)
-        .select(F.col("daily_threshold_dollars").alias("threshold"))
-    )
+    cfg = active_config(config).select(F.col("daily_threshold_dollars").alias("threshold"))
     ms, th = F.col("month_spend"), F.col("threshold")
     # FROM spend, cfg: no active config -> no row
     return spend.where(cfg.exists()).withColumn("threshold", cfg.scalar()).select(
