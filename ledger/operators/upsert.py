@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledger.operators.broadcast import sized_broadcast
+from ledger.session import checkpoint_dir
 
 
 # Partition values of one upsert batch resolved to a literal filter (metadata-sized).
@@ -68,8 +69,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe:
     Plan: one anti join + union.  The anti join shuffles both sides on the keys (or
     broadcasts a proven-small source); no row is collected anywhere.  With
     ``broadcast_check=False`` the choice is left to the planner's size statistics (right
-    for a source read back from files, whose size the planner knows).
+    for a source read back from files, whose size the planner knows).  When a check runs,
+    the source is first checkpointed to the shared folder, so the checks and the merge
+    read one materialised copy instead of re-evaluating the source plan.
     """
+    if check or broadcast_check:
+        checkpoint_dir(source.sparkSession)
+        source = source.checkpoint(eager=True)
     if check:
         assert_unique_keys(source, keys, target, null_safe)
     src = source.select(*target.columns) if set(source.columns) >= set(target.columns) else source
