@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from ledger.operators.upsert import upsert
 from ledger.params import RunParams
-from ledger.plans import alerts, cost, pricing, vm
+from ledger.plans import alerts, pricing, vm
 from ledger.registry import Chain
 
 P = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=None)
