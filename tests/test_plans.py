@@ -69,3 +69,11 @@ def test_node_hours_hash_aggregates_raw_rows_first(spark):
     # the plan string lists operators top-down: the sort-based MAX sits above the hash stage
     assert "SortAggregate" in p and p.index("SortAggregate") < p.rindex("HashAggregate")
     assert "partial_sum" in p
+
+
+def test_active_config_does_not_sort_the_config_table(spark):
+    from ledger.plans.alerts import active_config
+
+    c = Chain(spark, SMALL)
+    p = plan(active_config(c.src.alert_config))
+    assert "Sort" not in p and "Subquery" in p
