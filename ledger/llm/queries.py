@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledger.llm import bpe
+from ledger.llm import bpe, language, licenses
 from ledger.llm.common import read_documents, tune
 
 VOCABULARY = "word_bpe_49k.json"
@@ -26,8 +26,33 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = licenses.scan_licenses(read_documents(tune(spark), sf_dir))
+    words, base, extra = F.col("phrases.word"), F.col("phrases.label"), F.col("spans.label")
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return got.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, extra)).alias("labels"),
+        F.when(F.size("phrases") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("spans.similarity"), F.lit(0.0))).alias("score"),
+        F.to_json(F.transform("spans", lambda s: s.dropFields("text"))).alias("spans"),
+    )
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(tune(spark), sf_dir)
+    profiles = language.learn_profiles(docs.where(~language.held_out()))
+    return language.identify(docs, profiles).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op3_bpe": op3_bpe,
+    "op4_license_scan": op4_license_scan,
+    "op6_language_id": op6_language_id,
 }
 
 ORACLE: dict[str, str] = {}
