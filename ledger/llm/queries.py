@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledger.llm import bpe, language, licenses
+from ledger.llm import bpe, language, licenses, minhash
 from ledger.llm.common import read_documents, tune
 
 VOCABULARY = "word_bpe_49k.json"
@@ -43,6 +43,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = minhash.near_duplicates(read_documents(tune(spark), sf_dir))
+    return got.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(tune(spark), sf_dir)
     profiles = language.learn_profiles(docs.where(~language.held_out()))
@@ -52,6 +57,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_license_scan": op4_license_scan,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_language_id": op6_language_id,
 }
 
