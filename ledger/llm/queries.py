@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledger.llm import bpe, language, licenses, minhash
+from ledger.llm import bpe, decontaminate, language, licenses, minhash
 from ledger.llm.common import read_documents, tune
 
 VOCABULARY = "word_bpe_49k.json"
@@ -54,11 +54,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, profiles).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contamination(read_documents(tune(spark), sf_dir), items)
+
+
 QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_license_scan": op4_license_scan,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_language_id": op6_language_id,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
