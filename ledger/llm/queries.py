@@ -10,10 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledger.llm import bpe, decontaminate, language, licenses, minhash
+from ledger.llm import bpe, decontaminate, language, licenses, minhash, rules, sharding
 from ledger.llm.common import read_documents, tune
 
 VOCABULARY = "word_bpe_49k.json"
+SHARDS = 24
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +55,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, profiles).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = sharding.even_shards(read_documents(tune(spark), sf_dir), SHARDS)
+    return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    got, _ = rules.judged(read_documents(tune(spark), sf_dir), labels)
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.contamination(read_documents(tune(spark), sf_dir), items)
@@ -64,6 +77,8 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_language_id": op6_language_id,
+    "op8_sharding": op8_sharding,
+    "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
 }
 
