@@ -25,6 +25,7 @@ columns may have any name; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from array import array
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 MAX_NODES = 600_000
-MAX_WORDS = 200_000
+MAX_WORDS = 250_000
 
 # Splitting rules of the vocabulary's own file (fixed values).
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -67,21 +68,9 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in keep else chr(next(spare)) for b in range(256)]
 
 
-class Node:
-    """One prefix: its children, its last token and the node where that token begins."""
-
-    __slots__ = ("children", "last", "before")
-
-    def __init__(self, last: int = -1, before: "Node | None" = None):
-        self.children: dict[str, Node] = {}
-        self.last, self.before = last, before
-
-    def ids(self) -> list[int]:
-        out, node = [], self
-        while node.before is not None:
-            out.append(node.last)
-            node = node.before
-        return out[::-1]
+# A trie node: (children by character, encoding of the prefix).  The prefix's last token is
+# the last of its encoding; nodes hold no link upwards, so a dropped trie is freed at once.
+Node = tuple[dict, tuple[int, ...]]
 
 
 class TrieEncoder:
@@ -132,7 +121,7 @@ class TrieEncoder:
         return root
 
     def reset(self) -> None:
-        self.root, self.nodes = Node(), 0
+        self.root, self.nodes = ({}, ()), 0
         self.words: dict[str, tuple[bytes, str]] = {}
         self.older: dict[str, tuple[bytes, str]] = {}
 
@@ -165,37 +154,41 @@ class TrieEncoder:
 
     # -- trie ------------------------------------------------------------------------
 
-    def _last(self, path: list[Node], text: str, end: int, backward: dict) -> tuple[int, Node]:
-        """The token that ends ``text[:end]`` and fits what precedes it."""
+    def _encoding(self, path: list[Node], text: str, end: int, backward: dict) -> tuple[int, ...]:
+        """The encoding of ``text[:end]``: of what precedes its last token, and that token."""
         found, at = [], end
-        while at and (backward := backward.get(text[at - 1])) is not None:
+        while at:
             at -= 1
+            backward = backward.get(text[at])
+            if backward is None:
+                break
             if "" in backward:
                 found.append((backward[""], at))
+        fits = self.fits
         for token, at in reversed(found):
-            before = path[at]
             if at == 0:
-                return token, before
-            pair = (before.last, token)
-            ok = self.fits.get(pair)
+                return (token,)
+            before = path[at][1]
+            pair = (before[-1], token)
+            ok = fits.get(pair)
             if ok is None:
-                ok = self.fits[pair] = self.compatible(*pair)
+                ok = fits[pair] = self.compatible(*pair)
             if ok:
-                return token, before
+                return (*before, token)
         raise ValueError("the vocabulary cannot spell this word")
 
     def _insert(self, piece: str) -> tuple[int, ...]:
         """Walk (and where missing build) the trie along ``piece``; its full encoding."""
-        node, path = self.root, [self.root]
+        node = self.root
+        path = [node]
         for k, c in enumerate(piece[:-1], 1):
-            child = node.children.get(c)
+            child = node[0].get(c)
             if child is None:
-                child = node.children[c] = Node(*self._last(path, piece, k, self.inner))
+                child = node[0][c] = ({}, self._encoding(path, piece, k, self.inner))
                 self.nodes += 1
             node = child
             path.append(node)
-        last, before = self._last(path, piece, len(piece), self.final)
-        return (*before.ids(), last)
+        return self._encoding(path, piece, len(piece), self.final)
 
     def learn(self, words: set[str]) -> None:
         """Encode distinct ``words`` not met before, in sorted (depth-first) order."""
@@ -262,7 +255,7 @@ class TrieEncoder:
         if len(known) > MAX_WORDS:
             self.words, self.older = {}, known
         if self.nodes > MAX_NODES:
-            self.root, self.nodes = Node(), 0
+            self.root, self.nodes = ({}, ()), 0
         return out
 
     def encode(self, text: str | None) -> tuple[np.ndarray, str]:
@@ -299,13 +292,17 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary.value)
-        for batch in batches:
-            got = encoder.encode_batch(batch.column(1).to_pylist())
-            ends = np.cumsum([0, *(len(g[0]) for g in got)]).astype("i4")
-            flat = np.concatenate([g[0] for g in got]) if got else np.zeros(0, "i4")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())),
-                 pa.array([g[1] for g in got], pa.string())], ["id", "ids", "decoded"])
+        gc.disable()  # the word tables hold no cycles; walking them again and again costs a third of the time
+        try:
+            for batch in batches:
+                got = encoder.encode_batch(batch.column(1).to_pylist())
+                ends = np.cumsum([0, *(len(g[0]) for g in got)]).astype("i4")
+                flat = np.concatenate([g[0] for g in got]) if got else np.zeros(0, "i4")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())),
+                     pa.array([g[1] for g in got], pa.string())], ["id", "ids", "decoded"])
+        finally:
+            gc.enable()
 
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
