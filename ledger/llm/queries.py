@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledger.llm import bpe, decontaminate, language, licenses, minhash, rules, sharding
+from ledger.llm import bpe, decontaminate, language, licenses, minhash, pii, rules, sharding
 from ledger.llm.common import read_documents, tune
 
 VOCABULARY = "word_bpe_49k.json"
@@ -55,6 +55,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, profiles).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = pii.find_pii(read_documents(tune(spark), sf_dir))
+    text = lambda spans: F.array_join(F.transform(
+        spans, lambda x: F.concat_ws(":", pii.kind_name(x["k"]), x["s"].cast("string"), x["e"].cast("string"))), ",")
+    base = F.filter("spans", lambda x: x["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["base"] & (x["k"] == pii.KINDS.index(kind)))).cast("long")
+    return got.select("doc_id", *(count(k).alias(f"n_{k}") for k in pii.BASE), F.sha2(text(base), 256).alias("base_sha256"),
+                      text(F.col("spans")).alias("spans"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = sharding.even_shards(read_documents(tune(spark), sf_dir), SHARDS)
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -77,6 +87,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_language_id": op6_language_id,
+    "op7_pii": op7_pii,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
