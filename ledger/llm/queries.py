@@ -10,13 +10,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledger.llm import bpe, decontaminate, language, licenses, minhash, pii, rules, sharding
+from ledger.llm import bpe, decontaminate, language, licenses, minhash, pii, quality, rules, secrets, sharding
 from ledger.llm.common import read_documents, tune
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = 24
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read_documents(tune(spark), sf_dir))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.classify(read_documents(tune(spark), sf_dir), labels)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = bpe.encode_documents(read_documents(tune(spark), sf_dir), public_tokenizers.path(VOCABULARY))
     return got.select(
@@ -83,6 +92,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_bpe": op3_bpe,
     "op4_license_scan": op4_license_scan,
     "op5_minhash_dedup": op5_minhash_dedup,
