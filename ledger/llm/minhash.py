@@ -21,7 +21,8 @@ holds it with 0.85 ** 8 = 0.27), and by the signature test with less than 1e-6.
 Defined results: NULL, empty and blank texts have no shingles and are linked with nothing;
 a text of fewer words than a shingle is one shingle of all its words; rows that repeat an
 id are one node of the graph and each keep their row; only the id and the text column are
-read, other columns may have any name; an empty table gives an empty result.
+read, other columns may have any name; a row without an id is linked with nothing and has no component; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -235,12 +236,29 @@ def links_of(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, le
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """``id_col, n_shingles, class_id, component_id`` of every row."""
     sketch = staged(sketches(docs, id_col, text_col), "sketches")
-    named = sketch.where("n > 0")
+    named = sketch.where("n > 0 and id is not null")
     classes = named.groupBy("s1", "s2", "n").agg(F.min("id").alias("class_id"))
-    member = sketch.select("id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left").select("id", "n", F.coalesce("class_id", "id").alias("class_id"))
+    member = sketch.select("id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
+    member = member.select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"))
     chosen = named.join(classes.select("class_id").withColumnRenamed("class_id", "id"), "id", "left_semi").dropDuplicates(["id"])
     links = links_of(staged(chosen.select("id", "n", "sig", "bands"), "chosen"), docs, id_col, text_col, least)
     label = components(links)
     out = member.join(label.withColumnRenamed("id", "class_id"), "class_id", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "class_id",
                       F.coalesce("comp", "class_id").alias("component_id"))
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
+    """``docs`` with one row of each component (its smallest id) and every row without an id.
+
+    Only the ids to drop meet the texts.  Rows that repeat an id are thinned to one where
+    there are any."""
+    got = staged(near_duplicates(docs, id_col, text_col, least), "duplicates")
+    drop = got.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    kept = docs.join(drop, id_col, "left_anti")
+    repeats = got.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(id_col)
+    repeats = staged(repeats, "repeats")
+    if not repeats.isEmpty():
+        several = kept.join(repeats, id_col, "left_semi").dropDuplicates([id_col])
+        kept = kept.join(repeats, id_col, "left_anti").unionByName(several)
+    return kept.select(*docs.columns)

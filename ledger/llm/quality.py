@@ -17,8 +17,8 @@ and per host, joined back on their keys.
 
 Defined results: a NULL host or path is a site of its own; NULL and empty texts have
 statistics of 0 like any other text; several labels of one id count as their smallest;
-without labels of both kinds the document evidence is neutral, without any labels every
-score is 0.5 and every row is kept; repeated rows give repeated results.
+without labels of both kinds the document evidence is neutral; without any labels every
+score is the neutral prior 0.5 and every row is kept; repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ from ledger.llm.common import SPACE, staged, unit_hash
 SAMPLE_ROWS = 50_000
 REJECT = 0.3
 FEATURES = ["log_words", "mean_word", "symbol_share", "upper_share", "digit_share", "mark_share", "distinct_share", "dup_line_share"]
+# Names of the classifier's own columns begin with this.
+IN = "__q_"
+ID = IN + "id"
 # Prior strengths lie between these numbers of rows.
 WEAKEST, STRONGEST = 1.0, 1000.0
 
@@ -76,45 +79,70 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: str | Column = "source",
-             path: str | Column = "lang", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, reject: float = REJECT) -> DataFrame:
+class Classifier:
+    """A fitted model: document odds, host and path posteriors, and what they rest on."""
+
+    def __init__(self, stats: DataFrame, labels: DataFrame, id_col: str, label_col: str, sample_rows: int):
+        given = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+                 .groupBy(F.col(id_col).alias(ID)).agg(F.min(label_col).cast("int").alias("y")))
+        known = staged(stats.dropDuplicates([ID]).join(given, ID), "labelled")
+        n_known, n_good = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+        self.overall = (n_good + 0.5) / (n_known + 1.0)
+        self.vectors = VectorAssembler(inputCols=[IN + f for f in FEATURES], outputCol=IN + "x")
+        self.model = None
+        if 0 < n_good < n_known:
+            # One partition in a fixed order: the fit must not depend on how rows were dealt out.
+            sample = known.where(unit_hash(F.col(ID), seed=2) < min(1.0, 0.9 * sample_rows / n_known))
+            sample = sample.orderBy(unit_hash(F.col(ID), seed=3), ID).limit(sample_rows).coalesce(1)
+            fit = LogisticRegression(featuresCol=IN + "x", labelCol="y", rawPredictionCol=IN + "raw", regParam=0.002, maxIter=60)
+            self.model = fit.fit(self.vectors.transform(sample).select(IN + "x", "y"))
+        overall = F.lit(self.overall)
+        paths = staged(known.groupBy(IN + "host", IN + "path").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("good")), "paths")
+        hosts = paths.groupBy(IN + "host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+        strength = prior(hosts, overall)
+        hosts = hosts.select(IN + "host", ((F.col("good") + overall * strength) / (F.col("n") + strength)).alias("host_prior"))
+        self.hosts = staged(hosts, "hosts")
+        paths = paths.join(self.hosts, IN + "host")
+        strength = prior(paths, F.col("host_prior"))
+        paths = paths.select(IN + "path", ((F.col("good") + F.col("host_prior") * strength) / (F.col("n") + strength)).alias("path_prior"))
+        self.paths = staged(paths, "path-priors")
+
+    def apply(self, stats: DataFrame, reject: float = REJECT) -> DataFrame:
+        """``stats`` with ``text_odds, host_prior, path_prior, score, kept``.
+
+        The priors are two tables of one row a site; the planner sends them to the tasks
+        where their files are small and joins on the keys where they are not."""
+        overall = F.lit(self.overall)
+        if self.model is None:
+            rows = stats.withColumn("text_odds", F.lit(0.0))
+        else:
+            rows = self.model.transform(self.vectors.transform(stats))
+            rows = rows.withColumn("text_odds", vector_to_array(IN + "raw")[1] - _logit(overall)).drop(IN + "x", IN + "raw", "probability", "prediction")
+        out = rows.join(self.hosts, IN + "host", "left").join(self.paths, IN + "path", "left")
+        out = out.withColumn("host_prior", F.coalesce("host_prior", overall)).withColumn("path_prior", F.coalesce("path_prior", "host_prior"))
+        out = out.withColumn("score", 1 / (1 + F.exp(-F.col("text_odds") - _logit(F.col("path_prior")))))
+        return out.withColumn("kept", F.col("score") >= reject)
+
+
+def inputs(id_col: str, text_col: str, host: str, path: str) -> list[Column]:
+    """The id, the site's names and the statistics, under names of the classifier's own."""
+    site = F.struct(F.col(host).cast("string").alias("h"), F.col(path).cast("string").alias("p"))
+    return [F.col(id_col).alias(ID), F.to_json(F.struct(site["h"])).alias(IN + "host"), F.to_json(site).alias(IN + "path"),
+            *(v.alias(IN + k) for k, v in features(F.col(text_col)).items())]
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: str = "source",
+             path: str = "lang", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, reject: float = REJECT) -> DataFrame:
     """``id_col, text_odds, host_prior, path_prior, score, kept`` of every row of ``docs``."""
-    column = lambda c: F.col(c) if isinstance(c, str) else c
-    site = F.struct(column(host).cast("string").alias("h"), column(path).cast("string").alias("p"))
-    stats = staged(docs.select(F.col(id_col).alias("id"), F.to_json(F.struct(site["h"])).alias("host"), F.to_json(site).alias("path"),
-                               *(v.alias(k) for k, v in features(F.col(text_col)).items())), "quality")
-    given = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("y")))
-    known = staged(stats.dropDuplicates(["id"]).join(given, "id"), "labelled")
-    n_known, n_good = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    if not n_known:
-        return stats.select(F.col("id").alias(id_col), F.lit(0.0).alias("text_odds"), F.lit(0.5).alias("host_prior"),
-                            F.lit(0.5).alias("path_prior"), F.lit(0.5).alias("score"), F.lit(True).alias("kept"))
-    overall = F.lit((n_good + 0.5) / (n_known + 1.0))
-
-    rows = stats
-    if 0 < n_good < n_known:
-        # One partition in a fixed order: the fit must not depend on how rows were dealt out.
-        sample = known.where(unit_hash(F.col("id"), seed=2) < min(1.0, 0.9 * sample_rows / n_known))
-        sample = sample.orderBy(unit_hash(F.col("id"), seed=3), "id").limit(sample_rows).coalesce(1)
-        vectors = VectorAssembler(inputCols=FEATURES, outputCol="x")
-        model = LogisticRegression(featuresCol="x", labelCol="y", regParam=0.002, maxIter=60).fit(vectors.transform(sample).select("x", "y"))
-        rows = model.transform(vectors.transform(stats)).withColumn("text_odds", vector_to_array("rawPrediction")[1] - _logit(overall)).drop(
-            "x", "rawPrediction", "probability", "prediction")
-    else:
-        rows = rows.withColumn("text_odds", F.lit(0.0))
-
-    paths = known.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("good"))
-    paths = staged(paths, "paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    strength = prior(hosts, overall)
-    hosts = hosts.select("host", ((F.col("good") + overall * strength) / (F.col("n") + strength)).alias("host_prior"))
-    paths = paths.join(hosts, "host")
-    strength = prior(paths, F.col("host_prior"))
-    paths = paths.select("path", ((F.col("good") + F.col("host_prior") * strength) / (F.col("n") + strength)).alias("path_prior"))
-
-    out = rows.join(hosts, "host", "left").join(paths, "path", "left")
-    out = out.withColumn("host_prior", F.coalesce("host_prior", overall)).withColumn("path_prior", F.coalesce("path_prior", "host_prior"))
-    odds = F.col("text_odds") + _logit(F.col("path_prior"))
-    out = out.withColumn("score", 1 / (1 + F.exp(-odds)))
-    return out.select(F.col("id").alias(id_col), "text_odds", "host_prior", "path_prior", "score", (F.col("score") >= reject).alias("kept"))
+    stats = staged(docs.select(*inputs(id_col, text_col, host, path)), "quality")
+    out = Classifier(stats, labels, id_col, label_col, sample_rows).apply(stats, reject)
+    return out.select(F.col(ID).alias(id_col), "text_odds", "host_prior", "path_prior", "score", "kept")
+
+
+def without_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: str = "source",
+                     path: str = "lang", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, reject: float = REJECT) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns as they were; the texts are read
+    twice and not shuffled."""
+    fitted = Classifier(staged(docs.select(*inputs(id_col, text_col, host, path)), "quality"), labels, id_col, label_col, sample_rows)
+    rows = docs.select(F.struct("*").alias(IN + "row"), *inputs(id_col, text_col, host, path))
+    return fitted.apply(rows, reject).where("kept").select(IN + "row.*")
