@@ -26,26 +26,29 @@ from pyspark.sql import functions as F
 
 PROFILE = 400
 UNKNOWN = "und"
+# Stands for the end of a word in n-gram codes; no letter has this code point.
+BOUNDARY = np.int64(1)
 _FLUSH = 2_000_000
 
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """For each code point, itself where it is a letter, else 0 (the word boundary)."""
-    table = np.zeros(0x110000, np.int64)
-    table[[c for c in range(0x110000) if chr(c).isalpha()]] = 1
-    return table * np.arange(0x110000)
+    """For each code point, itself where it is a letter, else BOUNDARY."""
+    table = np.full(0x110000, BOUNDARY)
+    letters = [c for c in range(0x110000) if chr(c).isalpha()]
+    table[letters] = letters
+    return table
 
 
 def ngrams(text: str) -> np.ndarray:
     """Codes (21 bits a character) of all n-grams of the text's padded words."""
     points = _letters()[np.frombuffer(("\n" + text.lower() + "\n").encode("utf-32-le", "replace"), np.uint32)]
-    line = points[np.append(True, (points[1:] != 0) | (points[:-1] != 0))]
+    line = points[np.append(True, (points[1:] != BOUNDARY) | (points[:-1] != BOUNDARY))]
     if len(line) < 3:
         return np.zeros(0, np.int64)
     a, b, c = line[:-2], line[1:-1], line[2:]
     pairs = line[:-1] | (line[1:] << 21)
-    return np.concatenate([line[line != 0], pairs, (a | (b << 21) | (c << 42))[b != 0]])
+    return np.concatenate([line[line != BOUNDARY], pairs, (a | (b << 21) | (c << 42))[b != BOUNDARY]])
 
 
 def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
