@@ -4,12 +4,11 @@ Layout
 ------
 ``sources``    schemas of the source and gold tables, readers, derived test views
 ``functions``  column expressions (price precedence, classification, money, dates)
-``operators``  reusable plan pieces (temporal join, upsert, sized broadcast)
+``operators``  reusable plan pieces (temporal join, upsert)
 ``plans``      the pipelines: pricing, daily cost, VM cost, alerts, reports
-``streaming``  intentionally empty: every pipeline is a scheduled batch
 """
 
-from ledger.params import RunParams, month_bounds
+from ledger.params import RunParams
 
-__all__ = ["RunParams", "month_bounds"]
+__all__ = ["RunParams"]
 __version__ = "0.1.0"

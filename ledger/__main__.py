@@ -4,6 +4,7 @@
     python -m ledger daily  --warehouse W --usage U --list-prices L --node-timeline N \\
                             --clusters C --node-types T [--catalog-pages DIR] [--as-of D] [--lookback-days 90]
     python -m ledger alerts --warehouse W [--alert-config A] [--as-of D]
+    python -m ledger config --warehouse W --id 1 --set daily_threshold_dollars=500 [--set is_active=false ...]
     python -m ledger report NAME --warehouse W [--month 'Jun 2000'] [--alert-config A] [--out PATH]
 
 ``--alert-config`` defaults to the warehouse's own ``alert_config`` table (written by setup).
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledger.params import RunParams
-from ledger.plans import jobs, reports
+from ledger.plans import alerts, jobs, pricing, reports, vm
 from ledger.session import apply_job_conf
 from ledger.sources.catalog import read_catalog_pages
 from ledger.sources.fixtures import Sources
@@ -43,8 +44,15 @@ REPORTS = {
     "alert_history": lambda t, a: reports.alert_history_month(t("alert_history"), a.month, a.as_of, 100, a.tz),
     "threshold_gauge": lambda t, a: reports.threshold_gauge(t("daily_cost_summary"), t("alert_config"), a.month,
                                                             a.as_of),
+    "vm_cost_by_source": lambda t, a: vm.vm_cost_by_source(t("daily_cost_with_vm_estimate")),
+    "price_source_counts": lambda t, a: pricing.price_source_counts(t("gcp_vm_reference_prices"), a.region),
+    "recent_alerts": lambda t, a: alerts.recent_alerts(t("alert_history"), 5, a.tz),
 }
 
+# Settings of alert_config that ``config --set`` takes, with their types.
+SETTINGS = {"daily_threshold_dollars": "decimal(20,2)", "recipient_emails": "string", "is_active": "boolean",
+            "threshold_percentages": "string"}
+
 
 def _read(spark: SparkSession, ref: str | None) -> DataFrame | None:
     if ref is None:
@@ -52,6 +60,13 @@ def _read(spark: SparkSession, ref: str | None) -> DataFrame | None:
     return spark.read.parquet(ref) if "/" in ref else spark.table(ref)
 
 
+def _setting(text: str) -> tuple[str, str]:
+    name, found, value = text.partition("=")
+    if not found or name not in SETTINGS:
+        raise argparse.ArgumentTypeError(f"expected one of {', '.join(SETTINGS)} as NAME=VALUE")
+    return name, value
+
+
 def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="ledger")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -70,6 +85,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--threshold", help="daily threshold in dollars; omit to only create tables")
     s.add_argument("--recipients", default="")
     s.add_argument("--tiers", default="25,50,75,90,100")
+    c = sub.add_parser("config", parents=[common])
+    c.add_argument("--id", type=int, default=1)
+    c.add_argument("--set", action="append", required=True, metavar="NAME=VALUE", type=_setting)
     a = sub.add_parser("alerts", parents=[common])
     a.add_argument("--alert-config")
     r = sub.add_parser("report", parents=[common])
@@ -116,6 +134,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         )
         pages = read_catalog_pages(spark, args.catalog_pages) if args.catalog_pages else None
         out = jobs.run_daily(spark, src, wh, p, live_pages=pages)
+    elif args.cmd == "config":
+        out = jobs.update_config(spark, wh, args.id, **{n: F.lit(v).cast(SETTINGS[n]) for n, v in args.set})
     elif args.cmd == "alerts":
         p = RunParams(as_of=args.as_of, cloud=args.cloud, region=args.region, tz=args.tz)
         out = jobs.run_alerts(spark, config(), wh, p)

@@ -1,2 +1,2 @@
 """Reusable plan pieces: validity-interval join (``temporal_join``), upsert family
-(``upsert``), size-checked broadcast (``broadcast``)."""
+(``upsert``)."""

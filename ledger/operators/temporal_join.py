@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledger.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, sized_broadcast
+# Parts a key's facts are dealt into where the join shuffles.
+SPREAD = 16
 
 
 def scd2_left_join(
@@ -17,7 +18,7 @@ def scd2_left_join(
     at: str,
     start: str,
     end: str,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """``facts LEFT JOIN versions ON keys AND at >= start AND (end IS NULL OR at < end)``.
 
@@ -26,14 +27,17 @@ def scd2_left_join(
     reference's behaviour, see ``price_overlap_check``).
 
     Physical plan: the equi keys drive a hash join and the interval test is a residual
-    predicate.  Version tables are small (a few versions per key), so they are broadcast
-    when proven small and the fact side is never shuffled; above the bound the planner
-    falls back to a sort-merge join on the keys, where AQE splits skewed fact partitions.
+    predicate.  The planner broadcasts the versions where their size (files, staged
+    tables) is known to be small.  Where they are not, both sides shuffle on the keys and
+    a part number that depends on the fact's time: every version is repeated once per
+    part (the small side), so the facts of one hot key are dealt over ``spread`` tasks,
+    and an aggregation on the keys still gets its own exchange after a map-side combine.
     """
     extra = [c for c in versions.columns if c not in keys]
-    v = versions.select(*[F.col(k).alias(f"__v_{k}") for k in keys], *extra)
-    v = sized_broadcast(v, max_broadcast_rows)
-    cond = [F.col(k) == F.col(f"__v_{k}") for k in keys]
+    v = versions.select(*[F.col(k).alias(f"__v_{k}") for k in keys], *extra,
+                        F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__v_part"))
+    f = facts.withColumn("__part", F.pmod(F.xxhash64(at), F.lit(spread)).cast("int"))
+    cond = [F.col(k) == F.col(f"__v_{k}") for k in keys] + [F.col("__part") == F.col("__v_part")]
     cond += [F.col(at) >= F.col(start), F.col(end).isNull() | (F.col(at) < F.col(end))]
-    joined = facts.join(v, on=cond, how="left")
-    return joined.drop(*[f"__v_{k}" for k in keys])
+    joined = f.join(v, on=cond, how="left")
+    return joined.drop(*[f"__v_{k}" for k in keys], "__v_part", "__part")

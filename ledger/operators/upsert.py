@@ -6,8 +6,9 @@ reference's DML is rebuilt from DataFrame operations:
 * ``upsert``          MERGE ... WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *
 * ``upsert_columns``  MERGE with a per-column update list (keeps e.g. ``created_at``)
 * ``update_where``    UPDATE t SET a = x WHERE cond
-* ``append_with_id``  INSERT with an identity-like dense surrogate key
+* ``with_new_ids``    an identity-like dense surrogate key for rows to append
 * ``write_upsert``    persist an upsert, rewriting only the touched partitions
+* ``replace_table``   replace an unpartitioned table without a moment in which it is gone
 """
 
 from __future__ import annotations
@@ -18,13 +19,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledger.operators.broadcast import sized_broadcast
-from ledger.session import checkpoint_dir
-
-
-# Partition values of one upsert batch resolved to a literal filter (metadata-sized).
-MAX_LITERAL_PARTITIONS = 10_000
-
 
 class DuplicateSourceKeyError(ValueError):
     """Two source rows would update the same target row (MERGE refuses this too)."""
@@ -54,33 +48,32 @@ def duplicate_source_keys(source: DataFrame, keys: Sequence[str], target: DataFr
 
 def assert_unique_keys(source: DataFrame, keys: Sequence[str], target: DataFrame | None = None,
                        null_safe: bool = False) -> None:
-    if duplicate_source_keys(source, keys, target, null_safe).limit(1).count() > 0:
+    """Raise if two source rows share a key (that the target has, where one is given).
+
+    The source is checked alone; the target is only read where it holds duplicates."""
+    if duplicate_source_keys(source, keys).isEmpty():
+        return
+    if target is None or not duplicate_source_keys(source, keys, target, null_safe).isEmpty():
         raise DuplicateSourceKeyError(f"source has duplicate rows for merge key {list(keys)}")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False,
-           check: bool = True, broadcast_check: bool = True) -> DataFrame:
+           check: bool = True) -> DataFrame:
     """Rows of ``target`` whose key has no match in ``source``, plus every ``source`` row.
 
     With ``null_safe=False`` keys compare with ``=`` like the reference, so a NULL key
     never matches and a re-run inserts that row again; ``null_safe=True`` uses ``<=>``.
     Target rows missing from the source are kept (MERGE never deletes).
 
-    Plan: one anti join + union.  The anti join shuffles both sides on the keys (or
-    broadcasts a proven-small source); no row is collected anywhere.  With
-    ``broadcast_check=False`` the choice is left to the planner's size statistics (right
-    for a source read back from files, whose size the planner knows).  When a check runs,
-    the source is first checkpointed to the shared folder, so the checks and the merge
-    read one materialised copy instead of re-evaluating the source plan.
+    Plan: one anti join + union.  The planner broadcasts the source's keys where their
+    size is known to be small and shuffles both sides on the keys where it is not.
+    ``check`` runs one grouped count over the source at once; it is not needed for a
+    source that is grouped by its keys.
     """
-    if check or broadcast_check:
-        checkpoint_dir(source.sparkSession)
-        source = source.checkpoint(eager=True)
     if check:
         assert_unique_keys(source, keys, target, null_safe)
     src = source.select(*target.columns) if set(source.columns) >= set(target.columns) else source
-    keys_side = (sized_broadcast(src.select(*keys)) if broadcast_check else src.select(*keys)).alias("s")
-    kept = target.alias("t").join(keys_side, _key_cond("t", "s", keys, null_safe), "left_anti")
+    kept = target.alias("t").join(src.select(*keys).alias("s"), _key_cond("t", "s", keys, null_safe), "left_anti")
     return kept.select(*target.columns).unionByName(src, allowMissingColumns=True)
 
 
@@ -136,20 +129,62 @@ def with_new_ids(existing: DataFrame, new: DataFrame, id_col: str, order_by: Seq
     ).drop("__base")
 
 
-def append_with_id(existing: DataFrame, new: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFrame:
-    """``existing`` plus ``new`` numbered after it (an identity column on append)."""
-    return existing.unionByName(with_new_ids(existing, new, id_col, order_by).select(*existing.columns))
+# ----------------------------------------------------------------------- persistence
 
 
-# ----------------------------------------------------------------------- persistence
+def _files(spark: SparkSession, path: str):
+    """The Hadoop path and the file system that holds it (local, HDFS or an object store)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
+    """Whether there is a table at ``path``: asked of the file system alone, so a damaged
+    file or a refused access is an error, never "no table".
+
+    Finishes a ``replace_table`` that was interrupted between its two renames."""
+    at, fs = _files(spark, path)
+    if fs.exists(at):
         return True
-    except Exception:  # missing path raises AnalysisException
-        return False
+    if at.getParent() is not None and fs.exists(at.getParent()):
+        kept = sorted(str(f.getPath()) for f in fs.listStatus(at.getParent()) if f.getPath().getName().startswith(at.getName() + OLD))
+        if kept:
+            return bool(fs.rename(spark._jvm.org.apache.hadoop.fs.Path(kept[-1]), at))
+    return False
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job of this run staged."""
+    at, fs = _files(spark, path)
+    fs.delete(at, True)
+
+
+# Marks the table that ``replace_table`` has moved aside.
+OLD = ".replaced-"
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Replace the unpartitioned table at ``path`` by ``df``, which may read it.
+
+    The new files are written beside the table first; only then the table is moved aside
+    and the new folder takes its name.  A run that fails while writing leaves the table
+    as it was; one that fails between the renames is finished by ``table_exists``."""
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}.fresh-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(fresh)
+    except Exception:
+        remove(spark, fresh)
+        raise
+    at, fs = _files(spark, path)
+    old, _ = _files(spark, f"{path.rstrip('/')}{OLD}{uuid.uuid4().hex}")
+    new, _ = _files(spark, fresh)
+    if fs.exists(at) and not fs.rename(at, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, at):
+        raise OSError(f"cannot put the new files at {path}")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None) -> None:
@@ -165,56 +200,59 @@ def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None) -
         df.write.mode("overwrite").parquet(path)
 
 
+def _touched(target: DataFrame, src: DataFrame, col: str) -> DataFrame:
+    """The target's rows of the partitions that ``src`` writes to, NULL being one of them.
+
+    The smallest and the largest value become literals, so the scan lists and reads those
+    partitions only; the semi join keeps exactly the touched ones."""
+    lo, hi, nulls = src.agg(F.min(col), F.max(col), F.count(F.when(F.col(col).isNull(), 1))).first()
+    inside = F.lit(False) if lo is None else F.col(col).between(F.lit(lo), F.lit(hi))
+    if nulls:
+        inside = inside | F.col(col).isNull()
+    touched = src.select(F.col(col).alias("__touched")).distinct()
+    return target.where(inside).join(touched, F.col(col).eqNullSafe(F.col("__touched")), "left_semi")
+
+
 def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  partition_col: str | None, staging_root: str, null_safe: bool = False,
                  unique_source: bool = False, target_schema=None) -> None:
     """Persist ``upsert(existing, source)`` into the Parquet table at ``path``.
 
     * The source batch is computed once and staged under ``staging_root`` (shared
-      storage); the key check, the partition list and the merge all read the staged copy.
-      ``unique_source=True`` skips the key check for a batch that is a GROUP BY on the
-      merge keys (unique by construction).  ``target_schema`` reads the target with its
-      declared schema, so columns absent from older files come back as NULL.
-    * The target is never read and overwritten by one plan: the merged rows are written
-      to a second staging snapshot, then copied over the target from there.  A lost
-      executor only retries tasks; a failed run leaves the target as it was.
-    * For a partitioned table only partitions present in the source are read and
-      rewritten (dynamic partition overwrite).  The touched partition values (a few
-      months for the daily job; at most ``MAX_LITERAL_PARTITIONS``) become a literal
-      ``IN`` filter, so the target scan is pruned at planning time; dynamic partition
-      pruning does not fire for an unfiltered build side.  Beyond the bound a semi join
-      on the partition column is used.
+      storage); the key check, the partition list and the merge all read the staged copy,
+      which is removed when the upsert has succeeded.  ``unique_source=True`` skips the
+      key check for a batch that is a GROUP BY on the merge keys (unique by
+      construction).  ``target_schema`` reads the target with its declared schema, so
+      columns absent from older files come back as NULL.
+    * A partitioned table is merged by one dynamic partition overwrite of the touched
+      partitions (NULL is a partition like any other).  It may read the table it writes:
+      Spark writes aside and moves the finished partitions in when the job commits, one
+      partition after the other - a failed write changes nothing, a failure during the
+      commit can leave some partitions new and some old, and running again mends that.
+    * An unpartitioned table is replaced as a whole (``replace_table``).
     """
-    if unique_source and not table_exists(spark, path):
+    exists = table_exists(spark, path)
+    if unique_source and not exists:
         write_snapshot(source, path, partition_col)          # first load: nothing to merge or check
         return
     root = f"{staging_root.rstrip('/')}/upsert-{uuid.uuid4().hex}"
-    source.write.parquet(f"{root}/source")
-    src = spark.read.parquet(f"{root}/source")
-    if not table_exists(spark, path):
+    source.write.parquet(root)
+    src = spark.read.schema(source.schema).parquet(root)
+    if not exists:
         if not unique_source:
-            assert_unique_keys(src, keys, None, null_safe)
+            assert_unique_keys(src, keys)
         write_snapshot(src, path, partition_col)
+        remove(spark, root)
         return
     target = (spark.read.schema(target_schema) if target_schema is not None else spark.read).parquet(path)
     src = src.select(*target.columns)
     if not unique_source:
         assert_unique_keys(src, keys, target, null_safe)
     if partition_col:
-        touched = src.select(partition_col).distinct()
-        values = [r[0] for r in touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-        if len(values) <= MAX_LITERAL_PARTITIONS:
-            target = target.where(F.col(partition_col).isin(values))
-        else:
-            target = target.join(touched, partition_col, "left_semi").select(*target.columns)
-    merged = upsert(target, src, keys, null_safe=null_safe, check=False, broadcast_check=False)
-    write_snapshot(merged, f"{root}/merged", partition_col)
-    staged = spark.read.parquet(f"{root}/merged").select(*target.columns)
-    if partition_col:
-        staged = staged.hint("rebalance", partition_col)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if partition_col else "static")
-        .partitionBy(*([partition_col] if partition_col else []))
-        .parquet(path)
-    )
+        merged = upsert(_touched(target, src, partition_col), src, keys, null_safe=null_safe, check=False)
+        (merged.select(*target.columns).hint("rebalance", partition_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+        spark.catalog.refreshByPath(path)
+    else:
+        replace_table(upsert(target, src, keys, null_safe=null_safe, check=False), path)
+    remove(spark, root)

@@ -1,4 +1,4 @@
-"""Run parameters and month-bound resolution.
+"""Run parameters.
 
 The reference reads ``current_date()`` and notebook widgets; here every such value is an
 argument, so a run is reproducible and the month filter becomes a literal partition filter.
@@ -17,47 +17,19 @@ class RunParams:
     region: str = "us-central1"         # VM price region
     lookback_days: int | None = 90      # recompute window; None = whole history
     tz: str = "Asia/Kolkata"            # display zone for *_ist columns
+    bounded: bool = True                # leave out usage after as_of (a run for a past day)
 
     def __post_init__(self):
         object.__setattr__(self, "cloud", self.cloud.upper())
 
     @property
     def window_start(self) -> dt.date | None:
-        """Lower bound of the recompute window (inclusive), or None for all history.
-
-        Like the reference there is no upper bound: ``usage_date >= as_of - lookback``.
-        """
+        """Lower bound of the recompute window (inclusive), or None for all history."""
         if self.lookback_days is None:
             return None
         return self.as_of - dt.timedelta(days=self.lookback_days)
 
-
-_MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
-
-
-def parse_month_label(label: str | None) -> dt.date | None:
-    """'Jun 2000' -> 2000-06-01; anything else -> None (like ``try_to_date(s, 'MMM yyyy')``,
-    whose month names are case-insensitive)."""
-    if label is None:
-        return None
-    parts = label.split(" ")
-    months = [m.lower() for m in _MONTHS]
-    if len(parts) != 2 or parts[0].lower() not in months or not parts[1].isdigit() or len(parts[1]) != 4:
-        return None
-    return dt.date(int(parts[1]), months.index(parts[0].lower()) + 1, 1)
-
-
-def add_months(d: dt.date, n: int) -> dt.date:
-    m = d.year * 12 + (d.month - 1) + n
-    return dt.date(m // 12, m % 12 + 1, 1)
-
-
-def month_bounds(label: str | None, as_of: dt.date) -> tuple[dt.date, dt.date, dt.date]:
-    """(month_start, next_month_start, previous_month_start) for a month label.
-
-    Junk or missing labels fall back to the month of ``as_of`` — the reports'
-    ``COALESCE(try_to_date(:m, 'MMM yyyy'), date_trunc('MONTH', current_date()))``.
-    Resolved on the driver so the bounds reach the scan as literals (partition pruning).
-    """
-    start = parse_month_label(label) or dt.date(as_of.year, as_of.month, 1)
-    return start, add_months(start, 1), add_months(start, -1)
+    @property
+    def until(self) -> dt.date | None:
+        """Last day of usage that the run takes in, or None for no upper bound."""
+        return self.as_of if self.bounded else None

@@ -11,7 +11,7 @@ cost (1 row) -> filter -> anti join with the history -> append with ids.
 * ``crossed_tiers``       tiers whose amount the cost reaches (P19)
 * ``new_alerts``          crossed minus already SENT today, severity, subject (P20)
 * ``alert_history_append`` history plus the new rows with surrogate ids (P21)
-* ``alert_gate``          one row: count, max tier, cost, threshold (P22)
+* ``alert_gate``          one row: cost, threshold, count, max tier, all sent that day (P22)
 * ``recent_alerts``       newest history rows with display time (P23)
 """
 
@@ -94,10 +94,9 @@ def today_cost(summary: DataFrame, as_of: dt.date, config: DataFrame) -> DataFra
 def crossed_tiers(cost: DataFrame) -> DataFrame:
     """Tiers with ``today_cost >= threshold * pct / 100`` (floating point, like the
     reference).  A non-positive threshold yields nothing (T26)."""
-    tiers = alert_tiers(cost)
     thr = F.col("daily_threshold_dollars").cast("double")
     return (
-        cost.join(tiers, "config_id")
+        cost.select("*", F.explode(csv_ints(F.col("threshold_percentages"))).alias("threshold_pct"))
         .withColumn("threshold_amount", thr * (F.col("threshold_pct") / F.lit(100.0)))
         .where((thr > 0) & (F.col("today_cost").cast("double") >= F.col("threshold_amount")))
     )
@@ -121,7 +120,7 @@ def new_alerts(crossed: DataFrame, history: DataFrame, cloud: str = "GCP", as_of
     subject = F.concat(
         F.lit("["), severity(), F.lit(f"] {cloud} cost alert: "),
         F.col("threshold_pct").cast("string"), F.lit("% of daily threshold reached ($"),
-        cost2.cast("string"), F.lit(" / $"), thr2.cast("string"), F.lit(")"),
+        F.format_number(cost2, 2), F.lit(" / $"), F.format_number(thr2, 2), F.lit(")"),
     )
     return fresh.select(
         F.col("usage_date").alias("alert_date"),
@@ -153,13 +152,26 @@ def alert_history_append(history: DataFrame, new: DataFrame, sent_at: Column | N
     return hist.unionByName(numbered_alerts(hist, new, sent_at, status))
 
 
-def alert_gate(new: DataFrame, cost: DataFrame) -> DataFrame:
-    """The job's gate values in one row: alerts fired, highest tier, cost, threshold."""
-    return cost.select(
-        F.round(F.col("today_cost").cast("double"), 2).alias("today_cost"),
-        F.round(F.col("daily_threshold_dollars").cast("double"), 2).alias("daily_threshold"),
-        new.agg(F.count(F.lit(1))).scalar().alias("alerts_sent"),
-        new.agg(F.coalesce(F.max("threshold_pct"), F.lit(0))).scalar().alias("max_pct"),
+def sent_on(history: DataFrame, as_of: dt.date) -> DataFrame:
+    """One row: the number of alerts logged as SENT for a day."""
+    return history.where((F.col("alert_date") == F.lit(as_of)) & (F.col("status") == "SENT")).agg(F.count(F.lit(1)).alias("sent"))
+
+
+def alert_gate(new: DataFrame, cost: DataFrame, sent_before: Column) -> DataFrame:
+    """The job's gate values in one row: cost, threshold, alerts fired, highest tier and all
+    alerts sent that day.  Without an active config the row holds zeros.
+
+    ``new`` is aggregated once, to one struct; ``sent_before`` counts the day's alerts of
+    earlier runs."""
+    fired = new.agg(F.struct(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("threshold_pct"), F.lit(0)).alias("pct"))).scalar()
+    money = lambda c: F.round(F.coalesce(F.max(F.col(c).cast("double")), F.lit(0.0)), 2).alias(c)
+    row = cost.agg(money("today_cost"), money("daily_threshold_dollars")).withColumn("fired", fired)
+    return row.select(
+        "today_cost",
+        F.col("daily_threshold_dollars").alias("daily_threshold"),
+        F.col("fired.n").alias("alerts_sent"),
+        F.col("fired.pct").alias("max_pct"),
+        (sent_before + F.col("fired.n")).alias("total_sent_today"),
     )
 
 

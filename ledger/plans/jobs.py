@@ -6,10 +6,11 @@
 Tables are Parquet directories under ``warehouse``; the three fact tables are stored
 partitioned by ``usage_month`` (first day of the usage month, an extra storage column).
 Every report is month-scoped and the daily rerun touches about four months, so month
-partitions prune exactly while keeping the partition count 30x below daily partitions.  Every step that re-reads data written earlier in the
-job reads it back from storage, so no lineage spans the whole job and a lost executor
-only re-runs tasks of the current stage.  Intermediate data goes to the folder named
-by ``spark.checkpoint.dir`` (shared storage on a cluster).
+partitions prune exactly while keeping the partition count 30x below daily partitions.
+Every step that re-reads data written earlier in the job reads it back from storage, so
+no lineage spans the whole job and a lost executor only re-runs tasks of the current
+stage.  Intermediate data goes to the folder named by ``spark.checkpoint.dir`` (shared
+storage on a cluster) and is removed when its step has succeeded.
 """
 
 from __future__ import annotations
@@ -23,13 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledger.functions.expressions import PARTITION_COL
-from ledger.operators.upsert import table_exists, write_snapshot, write_upsert
+from ledger.operators.upsert import remove, replace_table, table_exists, write_snapshot, write_upsert
 from ledger.params import RunParams
 from ledger.plans import alerts, cost, pricing, vm
 from ledger.session import checkpoint_dir
 from ledger.sources.fixtures import Sources
 from ledger.sources.schemas import (
     ALERT_HISTORY,
+    FACT_TABLES,
     GOLD,
     DAILY_COST_SUMMARY_KEYS,
     DAILY_COST_WITH_VM_ESTIMATE_KEYS,
@@ -53,9 +55,6 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.trunc("usage_date", "month"))
 
 
-FACT_TABLES = ("daily_cost_summary", "sku_daily_details", "daily_cost_with_vm_estimate")
-
-
 def table_schema(name: str) -> T.StructType:
     """Declared schema of a stored gold table (fact tables carry the ``usage_month`` partition)."""
     schema = GOLD[name][0]
@@ -85,10 +84,18 @@ def setup(spark: SparkSession, wh: Warehouse, config_row: DataFrame | None = Non
     if config_row is None:
         return
     current = read_table(spark, wh, "alert_config")
-    merged = alerts.alert_config_upsert(current, config_row, now)
-    stage = _scratch(spark, "alert-config")
-    merged.write.parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").parquet(wh.path("alert_config"))
+    replace_table(alerts.alert_config_upsert(current, config_row, now), wh.path("alert_config"))
+
+
+def update_config(spark: SparkSession, wh: Warehouse, config_id: int, **values) -> DataFrame:
+    """Store ``UPDATE alert_config SET <values> WHERE config_id = :id``; other columns and
+    rows stay.  Returns the stored table."""
+    unknown = set(values) - {"daily_threshold_dollars", "recipient_emails", "is_active", "threshold_percentages", "updated_at"}
+    if unknown:
+        raise ValueError(f"not a setting of alert_config: {sorted(unknown)}")
+    current = read_table(spark, wh, "alert_config")
+    replace_table(alerts.alert_config_update(current, config_id, **values), wh.path("alert_config"))
+    return read_table(spark, wh, "alert_config")
 
 
 def _scratch(spark: SparkSession, label: str) -> str:
@@ -101,9 +108,10 @@ def refresh_vm_prices(spark: SparkSession, src: Sources, wh: Warehouse, p: RunPa
     append component estimates for node types still unpriced in the region."""
     path = wh.path("gcp_vm_reference_prices")
     new_rows = None
-    if live_pages is not None:
+    # The catalogue prices GCP machines only.
+    if live_pages is not None and p.cloud == "GCP":
         live = pricing.catalog_price_extract(live_pages, p.region, now)
-        if live.limit(1).count() > 0:
+        if not live.isEmpty():
             new_rows = live
     if new_rows is None:
         regions = spark.range(1).select(F.lit(p.region).alias("region"))
@@ -115,7 +123,8 @@ def refresh_vm_prices(spark: SparkSession, src: Sources, wh: Warehouse, p: RunPa
     # estimates are computed from the table as read above; stage them before appending
     stage = _scratch(spark, "estimates")
     est.write.parquet(stage)
-    spark.read.parquet(stage).write.mode("append").parquet(path)
+    spark.read.schema(est.schema).parquet(stage).write.mode("append").parquet(path)
+    remove(spark, stage)
     return read_table(spark, wh, "gcp_vm_reference_prices")
 
 
@@ -137,6 +146,7 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
         sku_daily_details upsert  ||  VM estimate upsert  <- summary / rollup + prices
     """
     now = now if now is not None else F.current_timestamp()
+    src = src.conformed()
     ckpt = checkpoint_dir(spark)
     rollup_path = _scratch(spark, "usage-rollup")
 
@@ -167,6 +177,7 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
                      target_schema=table_schema("daily_cost_with_vm_estimate"))
 
     _both(details_step, vm_step)
+    remove(spark, rollup_path)
     return load_stats(spark, wh)
 
 
@@ -185,7 +196,8 @@ def run_alerts(spark: SparkSession, config: DataFrame, wh: Warehouse, p: RunPara
     """The alert job: returns the gate row (alerts sent, max tier, cost, threshold).
 
     The new rows are at most one per configured tier; they are staged before the append
-    so the history is never read and written by the same plan.
+    so the history is never read and written by the same plan.  A run without new alerts
+    appends nothing.
     """
     now = now if now is not None else F.current_timestamp()
     hist_path = wh.path("alert_history")
@@ -194,9 +206,15 @@ def run_alerts(spark: SparkSession, config: DataFrame, wh: Warehouse, p: RunPara
                else spark.createDataFrame([], ALERT_HISTORY))
     active = alerts.active_config(config)
     today = alerts.today_cost(summary, p.as_of, active)
+    sent_before = alerts.sent_on(history, p.as_of).first()["sent"]
     new = alerts.new_alerts(alerts.crossed_tiers(today), history, p.cloud, p.as_of)
     stage = _scratch(spark, "new-alerts")
-    alerts.numbered_alerts(history, new, now).write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged.write.mode("append").parquet(hist_path)
-    return alerts.alert_gate(staged, today)
+    numbered = alerts.numbered_alerts(history, new, now)
+    numbered.write.parquet(stage)
+    staged = spark.read.schema(numbered.schema).parquet(stage)
+    if not staged.isEmpty():  # an idle run leaves no file
+        staged.write.mode("append").parquet(hist_path)
+    gate = alerts.alert_gate(staged, today, F.lit(sent_before))
+    gate = spark.createDataFrame(gate.collect(), gate.schema)  # one row; it must outlive the staged rows
+    remove(spark, stage)
+    return gate

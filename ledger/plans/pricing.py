@@ -7,6 +7,7 @@
 * ``estimate_missing_prices``  component-priced rows for node types without a price (P4)
 * ``price_source_counts``      rows per price source (P5)
 * ``build_vm_price_table``     upsert the day's rows, then append estimates (P3 + P4)
+* ``price_coverage``           data quality: node types with listed, estimated, no price (T21, T25)
 * ``price_overlap_check``      data-quality: usage rows matching more than one price row (T4)
 """
 
@@ -16,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledger.functions.expressions import active_price, dec, money
-from ledger.operators.broadcast import sized_broadcast
 from ledger.operators.temporal_join import scd2_left_join
 from ledger.operators.upsert import upsert
 from ledger.params import RunParams
@@ -50,10 +50,12 @@ PRICED_COLUMNS = [
 
 
 def usage_window(usage: DataFrame, p: RunParams) -> DataFrame:
-    """``cloud = :cloud AND usage_date >= as_of - lookback`` — both reach the Parquet scan."""
+    """``cloud = :cloud AND usage_date BETWEEN as_of - lookback AND as_of`` — all reach the scan."""
     cond = F.col("cloud") == p.cloud
     if p.window_start is not None:
         cond = cond & (F.col("usage_date") >= F.lit(p.window_start))
+    if p.until is not None:
+        cond = cond & (F.col("usage_date") <= F.lit(p.until))
     return usage.where(cond)
 
 
@@ -100,6 +102,18 @@ def price_overlap_check(usage: DataFrame, list_prices: DataFrame, p: RunParams)
     )
 
 
+def price_coverage(node_types: DataFrame, prices: DataFrame, region: str) -> DataFrame:
+    """Data quality: how many node types have a listed, an estimated or no price in
+    ``region`` (T21, T25), and the price rows there that match no node type."""
+    have = prices.where(F.col("region") == region).groupBy(F.col("node_type_id").alias("node_type")).agg(
+        F.min(F.col("price_source").like("Estimated%")).alias("estimated"))
+    known = node_types.select("node_type").distinct().withColumn("known", F.lit(True))
+    state = (F.when(F.col("known").isNull(), "price without node type").when(F.col("estimated").isNull(), "no price")
+             .when(F.col("estimated"), "estimated price").otherwise("listed price"))
+    both = known.join(have, "node_type", "full_outer")
+    return both.groupBy(state.alias("coverage")).agg(F.count(F.lit(1)).alias("node_types"))
+
+
 # ------------------------------------------------------------------ VM price table
 
 
@@ -189,9 +203,9 @@ def estimate_missing_prices(node_types: DataFrame, prices: DataFrame, region: st
     """Rows for node types with no price in ``region``: vCPU and GB-hour component prices.
 
     ``LEFT JOIN ... IS NULL`` in the reference; written as ``left_anti`` because Catalyst
-    does not rewrite the outer-join form.  The price table is bounded and broadcast.
+    does not rewrite the outer-join form.
     """
-    have = sized_broadcast(prices.where(F.col("region") == region).select(F.col("node_type_id").alias("node_type")))
+    have = prices.where(F.col("region") == region).select(F.col("node_type_id").alias("node_type"))
     gb = F.col("memory_mb") / dec("1024.0")
     est = node_types.join(have, "node_type", "left_anti").select(
         F.col("node_type").alias("node_type_id"),
@@ -222,5 +236,5 @@ def build_vm_price_table(existing: DataFrame | None, new_rows: DataFrame, node_t
     estimates for node types still unpriced in ``region``."""
     new_rows = conform(new_rows, VM_REFERENCE_PRICES)
     table = new_rows if existing is None else upsert(conform(existing, VM_REFERENCE_PRICES), new_rows,
-                                                     VM_REFERENCE_PRICES_KEYS)
+                                                     VM_REFERENCE_PRICES_KEYS, check=False)
     return table.unionByName(estimate_missing_prices(node_types, table, region, loaded_at))

@@ -2,7 +2,7 @@
 
 Every report takes a month label such as ``'Jun 2000'``; a junk or missing label means
 the month of ``as_of``.  The bound is a foldable literal expression, so on a table
-partitioned by ``usage_date`` the month filter prunes partitions at planning time.
+partitioned by ``usage_month`` the month filter prunes partitions at planning time.
 Global aggregates produce exactly one row; they are combined as scalar subqueries
 (computed once, no join).
 """
@@ -31,9 +31,10 @@ def _month(df: DataFrame, date_col: str, label: str | None, as_of: dt.date, offs
 
 
 def month_picker(summary: DataFrame, as_of: dt.date, days: int = 365) -> DataFrame:
-    """Distinct months with usage in the last ``days`` days, newest first."""
+    """Distinct months with usage in the ``days`` days up to ``as_of``, newest first."""
     return (
         on_or_after(summary, "usage_date", F.date_sub(F.lit(as_of), days))
+        .where(F.col("usage_date") <= F.lit(as_of))
         .select(
             F.date_format("usage_date", "MMM yyyy").alias("month_label"),
             F.date_trunc("MONTH", "usage_date").cast("date").alias("month_start"),

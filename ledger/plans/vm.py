@@ -9,11 +9,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledger.functions.expressions import hours_between, is_bundled
-from ledger.operators.broadcast import sized_broadcast
 from ledger.params import RunParams
 from ledger.sources.schemas import DAILY_COST_WITH_VM_ESTIMATE, conform
 
@@ -54,6 +55,8 @@ def node_hours(node_timeline: DataFrame, p: RunParams) -> DataFrame:
     nt = node_timeline
     if p.window_start is not None:
         nt = nt.where(F.col("start_time") >= F.lit(p.window_start).cast("timestamp_ntz"))
+    if p.until is not None:
+        nt = nt.where(F.col("start_time") < F.lit(p.until + dt.timedelta(days=1)).cast("timestamp_ntz"))
     typed = nt.groupBy(F.to_date("start_time").alias("usage_date"), "cluster_id", "driver", "node_type").agg(
         F.sum(hours_between("start_time", "end_time")).alias("hours")
     )
@@ -110,12 +113,11 @@ def vm_cost_estimate(cu: DataFrame, nh: DataFrame, cfg: DataFrame, vm_prices: Da
 
     Plan: cluster usage and node hours are both per cluster-day aggregates and meet in one
     shuffle join on (date, cluster); the config side (one row per cluster) and the price
-    table (one row per node type) are broadcast when proven small.
+    table (one row per node type) are broadcast where the planner or AQE knows them small.
     """
     prices = vm_prices.where(F.col("region") == p.region).select(
         "node_type_id", "hourly_price_usd", "gcp_machine_type"
     )
-    prices = sized_broadcast(prices)
     dvm = prices.select(
         F.col("node_type_id").alias("dvm_type"),
         F.col("hourly_price_usd").alias("dvm_price"),
@@ -128,7 +130,7 @@ def vm_cost_estimate(cu: DataFrame, nh: DataFrame, cfg: DataFrame, vm_prices: Da
     )
     j = (
         cu.join(nh, ["usage_date", "cluster_id"], "left")
-        .join(sized_broadcast(cfg), "cluster_id", "left")
+        .join(cfg, "cluster_id", "left")
         .withColumn("driver_node_type", F.coalesce("nt_driver_type", "cc_driver_type"))
         .withColumn("worker_node_type", F.coalesce("nt_worker_type", "cc_worker_type"))
     )

@@ -27,7 +27,7 @@ from ledger.sources.schemas import DAILY_COST_SUMMARY_KEYS, DAILY_COST_WITH_VM_E
 
 AS_OF = dt.date(2000, 6, 30)
 MONTH = "Jun 2000"
-P = RunParams(as_of=AS_OF, cloud="GCP", region="us-central1", lookback_days=None)
+P = RunParams(as_of=AS_OF, cloud="GCP", region="us-central1", lookback_days=None, bounded=False)
 P90 = RunParams(as_of=AS_OF, cloud="GCP", region="us-central1", lookback_days=90)
 # prices published from this time on were not yet known to the previous run (upsert_daily_cost)
 LATE_PRICE_FROM = "2000-06-10 12:00:00"
@@ -171,7 +171,7 @@ def q_upsert_daily_cost(spark, d):
     early_prices = c.src.list_prices.where(F.col("price_start_time") < F.lit(LATE_PRICE_FROM).cast("timestamp_ntz"))
     old = cost.daily_cost_summary(pricing.price_usage(c.src.usage, early_prices, P), _ts(LOADED_AT))
     batch = cost.daily_cost_summary(pricing.price_usage(c.src.usage, c.src.list_prices, P90), _ts(LOADED_AT))
-    return boundary(upsert(old, batch, DAILY_COST_SUMMARY_KEYS))
+    return boundary(upsert(old, batch, DAILY_COST_SUMMARY_KEYS, check=False))  # the batch is grouped by the keys
 
 
 def q_sku_daily_details(spark, d):
@@ -200,7 +200,7 @@ def q_price_upsert(spark, d):
     c = Chain(spark, d)
     previous = pricing.seed_prices(pricing.catalog_regions(c.src.catalog_pages), _ts(LOADED_AT))
     live = pricing.catalog_price_extract(c.src.catalog_pages, P.region, _ts(LOADED_AT))
-    return boundary(upsert(previous, live, ["node_type_id", "region"]))
+    return boundary(upsert(previous, live, ["node_type_id", "region"], check=False))  # one row per catalogue SKU
 
 
 def q_estimate_missing_prices(spark, d):
@@ -212,6 +212,19 @@ def q_price_source_counts(spark, d):
     return boundary(pricing.price_source_counts(Chain(spark, d).vm_prices, P.region))
 
 
+def q_price_coverage(spark, d):
+    c = Chain(spark, d)
+    return boundary(pricing.price_coverage(c.src.node_types, c.vm_prices, P.region))
+
+
+def q_price_overlap_check(spark, d):
+    """A price list whose last generation begins a day early, so that it overlaps the one before."""
+    c = Chain(spark, d)
+    start = F.col("price_start_time")
+    early = F.when(start >= F.lit(LATE_PRICE_FROM).cast("timestamp_ntz"), start - F.expr("INTERVAL 1 DAY")).otherwise(start)
+    return boundary(pricing.price_overlap_check(c.src.usage, c.src.list_prices.withColumn("price_start_time", early), P))
+
+
 def q_cluster_usage(spark, d):
     return boundary(Chain(spark, d).cluster_usage)
 
@@ -290,7 +303,7 @@ def q_alert_history_append(spark, d):
 
 def q_alert_gate(spark, d):
     c = Chain(spark, d)
-    return boundary(alerts.alert_gate(c.new_alerts, c.today))
+    return boundary(alerts.alert_gate(c.new_alerts, c.today, alerts.sent_on(c.src.alert_history, P.as_of).scalar()))
 
 
 def q_recent_alerts(spark, d):

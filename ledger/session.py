@@ -33,6 +33,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("LEDGER_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.checkpoint.dir", checkpoint or tempfile.mkdtemp(prefix="ledger-ckpt-"))
     )
     for k, v in JOB_CONF.items():
@@ -66,7 +67,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name shared storage for ledger jobs")
-        configured = _LOCAL_FALLBACK.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="ledger-ckpt-"))
+        if sc.applicationId not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK[sc.applicationId] = tempfile.mkdtemp(prefix="ledger-ckpt-")
+        configured = _LOCAL_FALLBACK[sc.applicationId]
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured

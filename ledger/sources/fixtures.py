@@ -16,12 +16,13 @@ over the parquet files: it scales with the base table and keeps scan pushdown.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledger.sources.catalog import pages_from_flat
+from ledger.sources.schemas import CLUSTERS, LIST_PRICES, NODE_TIMELINE, NODE_TYPES, USAGE, conform
 
 
 def _ntz(s: str) -> Column:
@@ -241,7 +242,7 @@ def wrap_prices_flat(flat: DataFrame) -> DataFrame:
 
 @dataclass
 class Sources:
-    """All billing sources of one test-data directory (lazy frames)."""
+    """All billing sources of one run (lazy frames)."""
 
     usage: DataFrame
     list_prices: DataFrame
@@ -252,6 +253,14 @@ class Sources:
     alert_config: DataFrame
     alert_history: DataFrame
 
+    def conformed(self) -> Sources:
+        """The five read-only sources in their declared types (sums are exact on decimals,
+        day bounds compare wall-clock times)."""
+        return replace(
+            self, usage=conform(self.usage, USAGE), list_prices=conform(self.list_prices, LIST_PRICES),
+            node_timeline=conform(self.node_timeline, NODE_TIMELINE), clusters=conform(self.clusters, CLUSTERS),
+            node_types=conform(self.node_types, NODE_TYPES))
+
 
 def load(spark: SparkSession, sf_dir: str) -> Sources:
     u = usage(spark, sf_dir)

@@ -72,97 +72,112 @@ NODE_TYPES = _s(
 
 # ---------------------------------------------------------------- gold tables
 DAILY_COST_SUMMARY = _s(
-    ("usage_date", T.DateType(), "Date of usage"),
-    ("sku_name", T.StringType(), "SKU name"),
-    ("billing_origin_product", T.StringType(), "Product (JOBS, SQL, ALL_PURPOSE_COMPUTE, ...)"),
-    ("cloud", T.StringType(), "Cloud provider"),
-    ("workspace_id", T.StringType(), "Workspace ID"),
-    ("is_serverless", T.BooleanType(), "Whether usage is serverless"),
-    ("total_dbus", D38_6, "Total DBUs consumed"),
-    ("list_price_per_dbu", D38_6, "List price per DBU at time of usage"),
-    ("total_cost_usd", D38_6, "Total cost in USD (DBUs x list price)"),
-    ("_etl_updated_at", T.TimestampType(), "Last ETL update timestamp"),
+    ("usage_date", T.DateType(), "UTC day the usage is billed to"),
+    ("sku_name", T.StringType(), "Priced product variant"),
+    ("billing_origin_product", T.StringType(), "Product line that caused the usage"),
+    ("cloud", T.StringType(), "Cloud of the run"),
+    ("workspace_id", T.StringType(), "Workspace as text; NULL for account-level usage"),
+    ("is_serverless", T.BooleanType(), "Serverless flag, NULL read as false"),
+    ("total_dbus", D38_6, "Sum of the usage quantities"),
+    ("list_price_per_dbu", D38_6, "Highest unit price that applied that day"),
+    ("total_cost_usd", D38_6, "total_dbus x list_price_per_dbu"),
+    ("_etl_updated_at", T.TimestampType(), "Time of the run that wrote the row"),
 )
 DAILY_COST_SUMMARY_KEYS = ["usage_date", "sku_name", "workspace_id", "billing_origin_product", "is_serverless"]
 
 SKU_DAILY_DETAILS = _s(
-    ("usage_date", T.DateType(), "Date of usage"),
-    ("sku_name", T.StringType(), "SKU name"),
-    ("billing_origin_product", T.StringType(), "Product"),
-    ("product_category", T.StringType(), "Grouped category"),
-    ("is_serverless", T.BooleanType(), "Whether usage is serverless"),
-    ("is_photon", T.BooleanType(), "Whether SKU is Photon-based"),
-    ("total_dbus", D38_6, "Total DBUs consumed"),
-    ("total_cost_usd", D38_6, "Total cost in USD"),
-    ("cost_7d_avg", D38_6, "7-row rolling average cost"),
-    ("cost_30d_avg", D38_6, "30-row rolling average cost"),
-    ("cost_pct_change_7d", T.DecimalType(10, 2), "Percent change vs 7-row average"),
-    ("_etl_updated_at", T.TimestampType(), "Last ETL update timestamp"),
+    ("usage_date", T.DateType(), "UTC day"),
+    ("sku_name", T.StringType(), "Priced product variant"),
+    ("billing_origin_product", T.StringType(), "Product line"),
+    ("product_category", T.StringType(), "Report category of the product line"),
+    ("is_serverless", T.BooleanType(), "Serverless flag"),
+    ("is_photon", T.BooleanType(), "SKU name has the Photon mark"),
+    ("total_dbus", D38_6, "Sum over clouds and workspaces"),
+    ("total_cost_usd", D38_6, "Sum over clouds and workspaces"),
+    ("cost_7d_avg", D38_6, "Mean cost of the last 7 rows of the SKU"),
+    ("cost_30d_avg", D38_6, "Mean cost of the last 30 rows of the SKU"),
+    ("cost_pct_change_7d", T.DecimalType(10, 2), "Cost against cost_7d_avg, in percent; 0 where that mean is not positive"),
+    ("_etl_updated_at", T.TimestampType(), "Time of the run that wrote the row"),
 )
 SKU_DAILY_DETAILS_KEYS = ["usage_date", "sku_name", "billing_origin_product", "is_serverless"]
 
 VM_REFERENCE_PRICES = _s(
-    ("node_type_id", T.StringType(), "Node type identifier"),
-    ("gcp_machine_type", T.StringType(), "Machine type"),
-    ("vcpus", T.IntegerType(), "Number of vCPUs"),
-    ("memory_gb", T.DoubleType(), "Memory in GB"),
-    ("hourly_price_usd", T.DecimalType(10, 6), "On-demand hourly price in USD"),
-    ("region", T.StringType(), "Region for pricing"),
-    ("price_source", T.StringType(), "List price, catalogue or component estimate"),
-    ("last_updated", T.TimestampType(), "When the price was last updated"),
+    ("node_type_id", T.StringType(), "Node type, or catalogue SKU id"),
+    ("gcp_machine_type", T.StringType(), "Machine family, or catalogue description"),
+    ("vcpus", T.IntegerType(), "Virtual CPUs; 0 for catalogue rows"),
+    ("memory_gb", T.DoubleType(), "Memory; 0 for catalogue rows"),
+    ("hourly_price_usd", T.DecimalType(10, 6), "Price of one hour without discounts"),
+    ("region", T.StringType(), "Region the price holds in"),
+    ("price_source", T.StringType(), "Where the price comes from: seed, seed with markup, catalogue or estimate"),
+    ("last_updated", T.TimestampType(), "Time of the refresh"),
 )
 VM_REFERENCE_PRICES_KEYS = ["node_type_id", "region"]
 
 DAILY_COST_WITH_VM_ESTIMATE = _s(
-    ("usage_date", T.DateType(), "Date of usage"),
-    ("cluster_id", T.StringType(), "Cluster ID"),
-    ("cluster_name", T.StringType(), "Cluster name"),
-    ("sku_name", T.StringType(), "SKU name"),
-    ("driver_node_type", T.StringType(), "Driver node type ID"),
-    ("worker_node_type", T.StringType(), "Worker node type ID"),
-    ("num_workers", T.LongType(), "Number of workers (or max autoscale)"),
-    ("cluster_uptime_hours", T.DecimalType(20, 4), "Node hours or billed hours"),
-    ("dbu_cost_usd", D38_6, "DBU cost in USD"),
-    ("estimated_vm_cost_usd", D38_6, "Estimated VM cost in USD"),
-    ("total_estimated_cost", D38_6, "DBU cost + estimated VM cost"),
-    ("driver_vm_type", T.StringType(), "Machine type for driver"),
-    ("worker_vm_type", T.StringType(), "Machine type for workers"),
-    ("vm_cost_source", T.StringType(), "node_timeline / cluster_config / BUNDLED_IN_DBU / unknown"),
-    ("_etl_updated_at", T.TimestampType(), "Last ETL update timestamp"),
+    ("usage_date", T.DateType(), "UTC day"),
+    ("cluster_id", T.StringType(), "Cluster"),
+    ("cluster_name", T.StringType(), "Name in the newest change of the cluster"),
+    ("sku_name", T.StringType(), "Priced product variant"),
+    ("driver_node_type", T.StringType(), "From the node timeline, else the newest change"),
+    ("worker_node_type", T.StringType(), "From the node timeline, else the newest change"),
+    ("num_workers", T.LongType(), "Fixed size, else upper limit of autoscaling, else 1"),
+    ("cluster_uptime_hours", T.DecimalType(20, 4), "Node hours of all roles, else billed hours"),
+    ("dbu_cost_usd", D38_6, "Sum of quantity x unit price"),
+    ("estimated_vm_cost_usd", D38_6, "Hours x machine price by the best source"),
+    ("total_estimated_cost", D38_6, "dbu_cost_usd + estimated_vm_cost_usd"),
+    ("driver_vm_type", T.StringType(), "Machine the driver price was found under"),
+    ("worker_vm_type", T.StringType(), "Machine the worker price was found under"),
+    ("vm_cost_source", T.StringType(), "node_timeline, cluster_config, BUNDLED_IN_DBU or unknown"),
+    ("_etl_updated_at", T.TimestampType(), "Time of the run that wrote the row"),
 )
 DAILY_COST_WITH_VM_ESTIMATE_KEYS = ["usage_date", "cluster_id", "sku_name"]
 
 ALERT_CONFIG = _s(
-    ("config_id", T.IntegerType(), "Configuration row ID"),
-    ("daily_threshold_dollars", T.DecimalType(20, 2), "Daily cost threshold in USD"),
-    ("recipient_emails", T.StringType(), "Comma-separated email addresses"),
-    ("is_active", T.BooleanType(), "Whether this config is active"),
-    ("threshold_percentages", T.StringType(), "Comma-separated alert tiers, e.g. 25,50,75,90,100"),
-    ("created_at", T.TimestampType(), "Config creation time"),
-    ("updated_at", T.TimestampType(), "Last update time"),
+    ("config_id", T.IntegerType(), "Key; the smallest active one counts"),
+    ("daily_threshold_dollars", T.DecimalType(20, 2), "Amount that is 100 percent"),
+    ("recipient_emails", T.StringType(), "Addresses, separated by commas"),
+    ("is_active", T.BooleanType(), "Inactive rows are never used"),
+    ("threshold_percentages", T.StringType(), "Tiers in percent, separated by commas"),
+    ("created_at", T.TimestampType(), "First deployment"),
+    ("updated_at", T.TimestampType(), "Last change"),
 )
 ALERT_CONFIG_KEYS = ["config_id"]
 
 ALERT_HISTORY = _s(
-    ("alert_id", T.LongType(), "Surrogate alert ID"),
-    ("alert_date", T.DateType(), "Date the alert was for"),
-    ("threshold_pct", T.IntegerType(), "Threshold percentage crossed"),
-    ("amount_at_alert", T.DecimalType(20, 2), "Cumulative cost at the time of alert"),
-    ("threshold_amount", T.DecimalType(20, 2), "Dollar amount for this tier"),
-    ("daily_threshold", T.DecimalType(20, 2), "The daily threshold in effect"),
-    ("recipients", T.StringType(), "Recipients the alert was sent to"),
-    ("sent_at", T.TimestampType(), "When the alert was sent"),
-    ("status", T.StringType(), "SENT or FAILED"),
+    ("alert_id", T.LongType(), "Running number over all alerts"),
+    ("alert_date", T.DateType(), "Day whose cost crossed the tier"),
+    ("threshold_pct", T.IntegerType(), "The tier"),
+    ("amount_at_alert", T.DecimalType(20, 2), "The day's cost so far"),
+    ("threshold_amount", T.DecimalType(20, 2), "daily_threshold x threshold_pct / 100"),
+    ("daily_threshold", T.DecimalType(20, 2), "Threshold of the config at that time"),
+    ("recipients", T.StringType(), "Addresses of the config at that time"),
+    ("sent_at", T.TimestampType(), "Time of the run"),
+    ("status", T.StringType(), "SENT, or FAILED (fires again)"),
 )
 
+# Table -> (schema, merge keys).
 GOLD = {
-    "daily_cost_summary": (DAILY_COST_SUMMARY, DAILY_COST_SUMMARY_KEYS, "usage_date"),
-    "sku_daily_details": (SKU_DAILY_DETAILS, SKU_DAILY_DETAILS_KEYS, "usage_date"),
-    "gcp_vm_reference_prices": (VM_REFERENCE_PRICES, VM_REFERENCE_PRICES_KEYS, None),
-    "daily_cost_with_vm_estimate": (DAILY_COST_WITH_VM_ESTIMATE, DAILY_COST_WITH_VM_ESTIMATE_KEYS, "usage_date"),
-    "alert_config": (ALERT_CONFIG, ALERT_CONFIG_KEYS, None),
-    "alert_history": (ALERT_HISTORY, ["alert_id"], None),
+    "daily_cost_summary": (DAILY_COST_SUMMARY, DAILY_COST_SUMMARY_KEYS),
+    "sku_daily_details": (SKU_DAILY_DETAILS, SKU_DAILY_DETAILS_KEYS),
+    "gcp_vm_reference_prices": (VM_REFERENCE_PRICES, VM_REFERENCE_PRICES_KEYS),
+    "daily_cost_with_vm_estimate": (DAILY_COST_WITH_VM_ESTIMATE, DAILY_COST_WITH_VM_ESTIMATE_KEYS),
+    "alert_config": (ALERT_CONFIG, ALERT_CONFIG_KEYS),
+    "alert_history": (ALERT_HISTORY, ["alert_id"]),
 }
+# Stored partitioned by ``usage_month``, the first day of the month of ``usage_date``.
+FACT_TABLES = ("daily_cost_summary", "sku_daily_details", "daily_cost_with_vm_estimate")
+
+
+def _cast(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``c`` as ``want``; fields of a struct are matched by name.  A column that has the
+    type already is left alone, so filters on it still reach the scan."""
+    if have == want:
+        return c
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        own = {f.name: f.dataType for f in have.fields}
+        fields = [(_cast(c[f.name], own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    return c.cast(want)
 
 
 def conform(df: DataFrame, schema: T.StructType, drop_extra: bool = True) -> DataFrame:
@@ -172,28 +187,12 @@ def conform(df: DataFrame, schema: T.StructType, drop_extra: bool = True) -> Dat
     columns are added as typed NULLs (the additive ``ADD COLUMN`` migration), and the
     output follows the declared order.  One projection — no shuffle.
     """
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
     cols: list[Column] = []
     for f in schema.fields:
-        c = F.col(f.name) if f.name in have else F.lit(None)
-        cols.append(c.cast(f.dataType).alias(f.name, metadata=f.metadata))
+        c = _cast(F.col(f.name), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)
+        cols.append(c.alias(f.name, metadata=f.metadata))
     if not drop_extra:
         declared = {f.name for f in schema.fields}
         cols += [F.col(c) for c in df.columns if c not in declared]
     return df.select(*cols)
-
-
-def without_audit(df: DataFrame) -> DataFrame:
-    """Drop audit timestamps that differ on every run."""
-    audit = {"_etl_updated_at", "last_updated", "created_at", "updated_at"}
-    return df.select(*[c for c in df.columns if c not in audit])
-
-
-def decimals_to_double(df: DataFrame) -> DataFrame:
-    """Cast DECIMAL columns to DOUBLE at the query boundary."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )

@@ -151,7 +151,7 @@ cte("markup", [], f"SELECT * FROM (VALUES {MARKUP_VALUES}) m(region, markup, mar
 
 
 def priced_sql(prices: str = "list_prices", window: str | None = None) -> str:
-    w = f" AND u.usage_date >= {window}" if window else ""
+    w = f" AND u.usage_date >= {window} AND u.usage_date <= {AS_OF}" if window else ""
     return f"""
 SELECT u.usage_date, u.usage_start_time, u.usage_end_time, u.sku_name, u.billing_origin_product, u.cloud,
   u.workspace_id, u.is_serverless, u.cluster_id, u.usage_quantity, p.price_start_time,
@@ -346,7 +346,7 @@ FROM new_alerts""")
 # ---- month summary for reports
 cte("month_picker", ["summary"], f"""
 SELECT DISTINCT strftime(usage_date, '%b %Y') AS month_label, CAST(date_trunc('month', usage_date) AS DATE) AS month_start
-FROM summary WHERE usage_date >= {AS_OF} - INTERVAL 365 DAY""")
+FROM summary WHERE usage_date >= {AS_OF} - INTERVAL 365 DAY AND usage_date <= {AS_OF}""")
 
 
 def _with(names: list[str]) -> str:
@@ -371,7 +371,7 @@ def q(deps: list[str], body: str) -> str:
 IN_MONTH = f"usage_date >= {MONTH_START} AND usage_date < {MONTH_END}"
 
 ORACLE: dict[str, str] = {
-    "usage_window": q(["usage"], f"SELECT * FROM usage WHERE cloud = 'GCP' AND usage_date >= {WINDOW90}"),
+    "usage_window": q(["usage"], f"SELECT * FROM usage WHERE cloud = 'GCP' AND usage_date >= {WINDOW90} AND usage_date <= {AS_OF}"),
     "priced_usage": q(["priced"], "SELECT * FROM priced"),
     "daily_cost_summary": q(["summary"], "SELECT * FROM summary"),
     "upsert_daily_cost": _with(["usage", "list_prices"])[:-1] + f""",
@@ -399,6 +399,20 @@ UNION ALL SELECT * FROM catalog_extract"""),
     "price_source_counts": q(["vm_prices"], f"""
 SELECT price_source, COUNT(*) AS cnt, price_source LIKE 'Estimated%' AS is_estimate
 FROM vm_prices WHERE region = '{REGION}' GROUP BY price_source"""),
+    "price_coverage": q(["vm_prices", "node_types"], f"""
+SELECT CASE WHEN n.node_type IS NULL THEN 'price without node type' WHEN p.node_type_id IS NULL THEN 'no price'
+    WHEN p.estimated THEN 'estimated price' ELSE 'listed price' END AS coverage, COUNT(*) AS node_types
+FROM (SELECT DISTINCT node_type FROM node_types) n FULL OUTER JOIN
+  (SELECT node_type_id, MIN(price_source LIKE 'Estimated%') AS estimated FROM vm_prices WHERE region = '{REGION}' GROUP BY 1) p
+  ON n.node_type = p.node_type_id GROUP BY 1"""),
+    "price_overlap_check": q(["usage", "list_prices"], """
+SELECT u.sku_name, u.cloud, u.usage_start_time, COUNT(DISTINCT (p.price_start_time, p.price_end_time)) AS active_prices
+FROM usage u JOIN (SELECT sku_name, cloud, price_end_time,
+    CASE WHEN price_start_time >= TIMESTAMP '2000-06-10 12:00:00' THEN price_start_time - INTERVAL 1 DAY ELSE price_start_time END AS price_start_time
+  FROM list_prices) p
+  ON u.sku_name = p.sku_name AND u.cloud = p.cloud AND u.usage_start_time >= p.price_start_time
+  AND (p.price_end_time IS NULL OR u.usage_start_time < p.price_end_time)
+WHERE u.cloud = 'GCP' GROUP BY ALL HAVING COUNT(DISTINCT (p.price_start_time, p.price_end_time)) > 1"""),
     "cluster_usage": q(["cu"], f"""
 SELECT usage_date, cluster_id, sku_name, total_dbus, {D('bh6', 6)} AS billing_hours, dbu_exact AS dbu_cost_usd FROM cu"""),
     "node_hours": q(["nh"], f"""
@@ -442,9 +456,10 @@ FROM alert_config, unnest(string_split(threshold_percentages, ',')) AS x(tier)""
     "crossed_tiers": q(["crossed"], "SELECT config_id, usage_date, threshold_pct, threshold_amount, today_cost FROM crossed"),
     "new_alerts": q(["new_alerts"], "SELECT * FROM new_alerts"),
     "alert_history_append": q(["history_after"], "SELECT * FROM history_after"),
-    "alert_gate": q(["new_alerts", "today"], """
+    "alert_gate": q(["new_alerts", "today", "alert_history"], f"""
 SELECT ROUND(CAST(t.today_cost AS DOUBLE), 2) AS today_cost, ROUND(CAST(t.daily_threshold_dollars AS DOUBLE), 2) AS daily_threshold,
-  n.alerts_sent, n.max_pct
+  n.alerts_sent, n.max_pct,
+  n.alerts_sent + (SELECT COUNT(*) FROM alert_history WHERE alert_date = {AS_OF} AND status = 'SENT') AS total_sent_today
 FROM today t CROSS JOIN (SELECT COUNT(*) AS alerts_sent, COALESCE(MAX(threshold_pct), 0) AS max_pct FROM new_alerts) n"""),
     "recent_alerts": q(["history_after"], f"""
 SELECT alert_id, alert_date, threshold_pct, amount_at_alert, threshold_amount, daily_threshold, recipients,

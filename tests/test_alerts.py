@@ -69,8 +69,20 @@ def test_history_append_ids_and_gate(spark):
     out = alerts.alert_history_append(hist, new, F.lit("2000-06-30 23:00:00").cast("timestamp"))
     assert sorted((r.alert_id, r.threshold_pct, r.status) for r in out.collect()) == [(41, 25, "SENT"), (42, 50, "SENT")]
     cfg = alerts.active_config(_cfg(spark, [(1, "100", True, "25,50,100")]))
-    gate = alerts.alert_gate(new, alerts.today_cost(_summary(spark, 60), AS_OF, cfg)).collect()[0]
-    assert (gate.alerts_sent, gate.max_pct, gate.today_cost, gate.daily_threshold) == (1, 50, 60.0, 100.0)
+    gate = alerts.alert_gate(new, alerts.today_cost(_summary(spark, 60), AS_OF, cfg), F.lit(2)).collect()[0]
+    assert (gate.alerts_sent, gate.max_pct, gate.today_cost, gate.daily_threshold, gate.total_sent_today) == (1, 50, 60.0, 100.0, 3)
+
+
+def test_gate_without_an_active_config_holds_zeros(spark):
+    cfg = alerts.active_config(_cfg(spark, [(1, "100", False, "25")]))
+    today = alerts.today_cost(_summary(spark, 60), AS_OF, cfg)
+    new = alerts.new_alerts(alerts.crossed_tiers(today), _hist(spark, []))
+    assert [tuple(r) for r in alerts.alert_gate(new, today, alerts.sent_on(_hist(spark, []), AS_OF).scalar()).collect()] == [(0.0, 0.0, 0, 0, 0)]
+
+
+def test_subject_has_thousands_separators(spark):
+    subject = _new(spark, [(1, "12345.5", True, "100")], "1234567.891", []).collect()[0].subject
+    assert "$1,234,567.89 / $12,345.50" in subject
 
 
 def test_config_upsert_keeps_created_at(spark):

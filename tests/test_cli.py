@@ -28,3 +28,9 @@ def test_cli_daily_alerts_report(spark, tmp_path):
     got = boundary(spark.read.parquet(out))
     want = QUERIES["top_skus"](spark, SMALL)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    changed = main(["config", *common, "--set", "daily_threshold_dollars=42", "--set", "is_active=false"], spark).collect()
+    assert [(float(r.daily_threshold_dollars), r.is_active, r.recipient_emails) for r in changed] == [(42.0, False, "ops@example.com")]
+    for name in ("vm_cost_by_source", "price_source_counts", "recent_alerts"):
+        main(["report", name, *common, "--out", str(tmp_path / name)], spark)
+    assert spark.read.parquet(str(tmp_path / "vm_cost_by_source")).count() > 0
+    assert spark.read.parquet(str(tmp_path / "price_source_counts")).count() > 0

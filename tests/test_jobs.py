@@ -1,21 +1,30 @@
 """End-to-end batch jobs on the smallest test data."""
 
 import datetime as dt
+import pathlib
+from dataclasses import replace
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
 from ledger.params import RunParams
-from ledger.plans import jobs
+from ledger.plans import jobs, pricing, vm
 from ledger.registry import QUERIES
+from ledger.session import checkpoint_dir
 from ledger.sources import fixtures
+from ledger.sources.schemas import FACT_TABLES, GOLD
 
 AS_OF = dt.date(2000, 6, 30)
 def NOW():
     return F.lit("2000-07-01 00:30:00").cast("timestamp")
 
 
+def _shared(spark):
+    return pathlib.Path(checkpoint_dir(spark).removeprefix("file:"))
+
+
 def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -23,7 +32,8 @@ def _same(a, b):
 def test_daily_job_matches_queries_and_is_idempotent(spark, tmp_path):
     src = fixtures.load(spark, SMALL)
     wh = jobs.Warehouse(str(tmp_path / "wh"))
-    jobs.run_daily(spark, src, wh, RunParams(as_of=AS_OF, lookback_days=None), now=NOW())
+    before = [x.name for x in _shared(spark).iterdir() if x.name.startswith(("usage-rollup-", "estimates-", "upsert-"))]
+    jobs.run_daily(spark, src, wh, RunParams(as_of=AS_OF, lookback_days=None, bounded=False), now=NOW())
     cols = [c for c in QUERIES["daily_cost_summary"](spark, SMALL).columns]
 
     def stored(name):
@@ -33,12 +43,15 @@ def test_daily_job_matches_queries_and_is_idempotent(spark, tmp_path):
     from ledger.registry import boundary
     assert _same(boundary(stored("daily_cost_summary")), expected)
     # the reference's daily cadence: recompute 90 days and upsert -> same table
-    jobs.run_daily(spark, src, wh, RunParams(as_of=AS_OF, lookback_days=90), now=NOW())
+    jobs.run_daily(spark, src, wh, RunParams(as_of=AS_OF, lookback_days=90, bounded=False), now=NOW())
     assert _same(boundary(stored("daily_cost_summary")), expected)
     vm_cols = QUERIES["vm_cost_estimate"](spark, SMALL).columns
     vm_stored = boundary(spark.read.parquet(wh.path("daily_cost_with_vm_estimate"))).select(*vm_cols)
     assert _same(vm_stored, QUERIES["vm_cost_estimate"](spark, SMALL))
     assert spark.read.parquet(wh.path("gcp_vm_reference_prices")).count() == 82
+    # two runs leave no staging folder behind
+    left = [x.name for x in _shared(spark).iterdir() if x.name.startswith(("usage-rollup-", "estimates-", "upsert-"))]
+    assert sorted(left) == sorted(before)
 
 
 def test_alert_job_deduplicates_across_runs(spark, tmp_path):
@@ -49,6 +62,10 @@ def test_alert_job_deduplicates_across_runs(spark, tmp_path):
     first = jobs.run_alerts(spark, src.alert_config, wh, p, now=NOW()).collect()[0]
     second = jobs.run_alerts(spark, src.alert_config, wh, p, now=NOW()).collect()[0]
     assert first.alerts_sent >= 1 and second.alerts_sent == 0
+    assert first.total_sent_today == second.total_sent_today == first.alerts_sent
+    files = sorted(x.name for x in pathlib.Path(wh.path("alert_history")).glob("*.parquet"))
+    jobs.run_alerts(spark, src.alert_config, wh, p, now=NOW())
+    assert files == sorted(x.name for x in pathlib.Path(wh.path("alert_history")).glob("*.parquet"))
     hist = spark.read.parquet(wh.path("alert_history"))
     assert hist.count() == first.alerts_sent and hist.select("alert_id").distinct().count() == first.alerts_sent
 
@@ -77,3 +94,57 @@ def test_declared_schema_read_adds_missing_column(spark, tmp_path):
     jobs.with_month(old).write.partitionBy("usage_month").parquet(wh.path("daily_cost_with_vm_estimate"))
     t = jobs.read_table(spark, wh, "daily_cost_with_vm_estimate")
     assert "vm_cost_source" in t.columns and t.where(F.col("vm_cost_source").isNotNull()).count() == 0
+
+
+def test_sources_are_conformed(spark, tmp_path):
+    """TIMESTAMP and DOUBLE columns, and struct fields in another order, give the same tables."""
+    src = fixtures.load(spark, SMALL)
+    p = RunParams(as_of=AS_OF, lookback_days=90)
+    loose = replace(
+        src,
+        usage=src.usage.withColumns({c: F.col(c).cast("timestamp") for c in ("usage_start_time", "usage_end_time")})
+        .withColumn("usage_quantity", F.col("usage_quantity").cast("double"))
+        .withColumn("product_features", F.struct(F.lit(1).alias("other"), F.col("product_features.is_serverless").alias("is_serverless"))),
+        node_timeline=src.node_timeline.withColumns({c: F.col(c).cast("timestamp") for c in ("start_time", "end_time")}))
+    tables = []
+    for name, s in (("a", src), ("b", loose)):
+        wh = jobs.Warehouse(str(tmp_path / name))
+        jobs.run_daily(spark, s, wh, p, now=NOW())
+        tables.append([jobs.read_table(spark, wh, t) for t in ("daily_cost_summary", "daily_cost_with_vm_estimate")])
+    assert all(_same(x, y) for x, y in zip(*tables))
+
+
+def test_a_run_for_a_past_day_leaves_out_later_usage(spark):
+    src = fixtures.load(spark, SMALL)
+    past = dt.date(1998, 6, 30)
+    last = lambda p: pricing.usage_window(src.usage, p).agg(F.max("usage_date")).first()[0]
+    assert last(RunParams(as_of=past)) <= past < last(RunParams(as_of=past, bounded=False))
+    hours = vm.node_hours(src.node_timeline, RunParams(as_of=past, lookback_days=None))
+    assert hours.agg(F.max("usage_date")).first()[0] <= past
+
+
+def test_catalogue_prices_are_for_gcp_only(spark, tmp_path):
+    src = fixtures.load(spark, SMALL)
+    for cloud, live in (("GCP", True), ("AWS", False)):
+        wh = jobs.Warehouse(str(tmp_path / cloud))
+        got = jobs.refresh_vm_prices(spark, src, wh, RunParams(as_of=AS_OF, cloud=cloud), src.catalog_pages, NOW())
+        assert (got.where(F.col("vcpus") == 0).count() > 0) == live
+
+
+def test_stored_partition_and_comments(spark, tmp_path):
+    wh = jobs.Warehouse(str(tmp_path / "wh"))
+    jobs.setup(spark, wh)
+    for name, (schema, _) in GOLD.items():
+        stored = jobs.read_table(spark, wh, name)
+        assert ("usage_month" in stored.columns) == (name in FACT_TABLES)
+        assert all(f.metadata.get("comment") for f in schema.fields)
+
+
+def test_update_config_changes_only_what_is_named(spark, tmp_path):
+    wh = jobs.Warehouse(str(tmp_path / "wh"))
+    jobs.setup(spark, wh, spark.sql("SELECT 1 AS config_id, CAST(100 AS DECIMAL(20,2)) AS daily_threshold_dollars, 'a@b.c' AS recipient_emails,"
+                                    " true AS is_active, '50,100' AS threshold_percentages, current_timestamp() AS created_at, current_timestamp() AS updated_at"))
+    row = jobs.update_config(spark, wh, 1, daily_threshold_dollars=F.lit("250").cast("decimal(20,2)")).collect()
+    assert [(float(r.daily_threshold_dollars), r.recipient_emails, r.threshold_percentages) for r in row] == [(250.0, "a@b.c", "50,100")]
+    with pytest.raises(ValueError):
+        jobs.update_config(spark, wh, 1, created_at=None)

@@ -4,8 +4,8 @@ import datetime as dt
 
 from conftest import SMALL
 from ledger.params import RunParams
-from ledger.plans import reports
-from ledger.registry import Chain
+from ledger.plans import cost, pricing, reports
+from ledger.registry import QUERIES, Chain
 
 P = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=None)
 
@@ -77,3 +77,45 @@ def test_active_config_does_not_sort_the_config_table(spark):
     c = Chain(spark, SMALL)
     p = plan(active_config(c.src.alert_config))
     assert "Sort" not in p and "Subquery" in p
+
+
+def test_building_a_read_query_starts_no_job(spark):
+    """Plans are chosen by the planner's sizes, not by counting rows while building: the
+    only jobs are those that read the schemas of the test tables."""
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def jobs_of(group, build):
+        context.setJobGroup(group, "")
+        build()
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    schemas = jobs_of("schemas", lambda: Chain(spark, SMALL))
+    for name in ("vm_cost_estimate", "daily_cost_summary", "upsert_daily_cost", "price_upsert", "new_alerts", "alert_gate"):
+        assert jobs_of(name, lambda n=name: QUERIES[n](spark, SMALL)) == schemas
+
+
+def test_hot_sku_is_dealt_over_tasks_when_the_price_list_is_not_broadcast(spark):
+    """Without a broadcast the join shuffles on the keys and the part, and the group keys get
+    an exchange of their own after the map-side combine; the result is the same."""
+    c = Chain(spark, SMALL)
+    want = cost.usage_rollup(pricing.price_usage(c.src.usage, c.src.list_prices, P)).collect()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = cost.usage_rollup(pricing.price_usage(c.src.usage, c.src.list_prices, P))
+        text = plan(got)
+        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+        above = text[:text.index("SortMergeJoin")]
+        assert above.count("HashAggregate") == 2 and "Exchange hashpartitioning(usage_date" in above
+        assert "__part" in text[text.index("SortMergeJoin"):]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want))
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_alert_chain_reads_each_source_once(spark):
+    c = Chain(spark, SMALL)
+    assert plan(c.crossed).count("Join") <= plan(c.today).count("Join")

@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from ledger.params import month_bounds
 from ledger.plans import reports
 
 AS_OF = dt.date(2000, 6, 30)
@@ -14,12 +13,6 @@ def _s(spark, rows):
     return spark.createDataFrame([(dt.date.fromisoformat(a), b, c, Decimal(str(x)), Decimal("1")) for a, b, c, x in rows], SCH)
 
 
-def test_month_bounds_labels():
-    assert month_bounds("Jun 2000", AS_OF) == (dt.date(2000, 6, 1), dt.date(2000, 7, 1), dt.date(2000, 5, 1))
-    assert month_bounds("junk", AS_OF)[0] == dt.date(2000, 6, 1)
-    assert month_bounds(None, AS_OF)[0] == dt.date(2000, 6, 1)
-
-
 def test_month_bounds_frame(spark):
     labels = spark.createDataFrame([("Feb 2000",), ("junk",), (None,)], "month_label string")
     got = {r.month_label: (r.month_start, r.month_end, r.prev_month_start)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledger.operators.upsert import (
-    DuplicateSourceKeyError, append_with_id, update_where, upsert, upsert_columns, write_upsert,
+    DuplicateSourceKeyError, replace_table, table_exists, update_where, upsert, upsert_columns, with_new_ids, write_upsert,
 )
 
 S = "k string, p string, v int"
@@ -61,11 +61,11 @@ def test_update_where(spark):
     assert out == [("a", "x", 0), ("b", "x", 2)]
 
 
-def test_append_with_id_continues_after_max(spark):
+def test_new_ids_continue_after_max(spark):
     h = spark.createDataFrame([(7, "2000-01-01", 25)], "id long, d string, pct int")
     n = spark.createDataFrame([("2000-01-02", 50), ("2000-01-02", 25)], "d string, pct int")
-    got = sorted(tuple(r) for r in append_with_id(h, n, "id", ["d", "pct"]).collect())
-    assert got == [(7, "2000-01-01", 25), (8, "2000-01-02", 25), (9, "2000-01-02", 50)]
+    got = sorted((r.id, r.d, r.pct) for r in with_new_ids(h, n, "id", ["d", "pct"]).collect())
+    assert got == [(8, "2000-01-02", 25), (9, "2000-01-02", 50)]
 
 
 def test_write_upsert_rewrites_only_touched_partitions(spark, tmp_path):
@@ -77,3 +77,56 @@ def test_write_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert got == [("m1", "a", 1), ("m2", "b", 20), ("m2", "c", 3)]
     m1_files = list((tmp_path / "t" / "m=m1").iterdir())
     assert m1_files                                  # untouched partition still there
+
+
+def test_stored_upsert_keeps_rows_of_the_null_partition(spark, tmp_path):
+    """The stored table equals the lazy upsert, NULL partition included (T7, T9)."""
+    sch = "m string, k string, v int"
+    path, stage = str(tmp_path / "t"), str(tmp_path / "stage")
+    old = spark.createDataFrame([(None, "a", 1), ("m1", "b", 2), ("m2", "d", 5)], sch)
+    new = spark.createDataFrame([(None, "c", 3), ("m1", "b", 20)], sch)
+    write_upsert(spark, path, old, ["m", "k"], "m", stage)
+    write_upsert(spark, path, new, ["m", "k"], "m", stage)
+    got = sorted(((r.m or "", r.k, r.v) for r in spark.read.schema(sch).parquet(path).collect()))
+    want = sorted(((r.m or "", r.k, r.v) for r in upsert(old, new, ["m", "k"]).collect()))
+    assert got == want == [("", "a", 1), ("", "c", 3), ("m1", "b", 20), ("m2", "d", 5)]
+
+
+def _failing(spark):
+    return spark.range(3).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") == 2, F.raise_error(F.lit("broken"))).otherwise("r1").cast("string").alias("r"))
+
+
+def test_a_failed_write_leaves_the_unpartitioned_table(spark, tmp_path):
+    path, stage = str(tmp_path / "t"), str(tmp_path / "stage")
+    write_upsert(spark, path, spark.createDataFrame([("a", "r1"), ("b", "r2")], "k string, r string"), ["k"], None, stage)
+    for broken in (lambda: replace_table(_failing(spark), path), lambda: write_upsert(spark, path, _failing(spark), ["k"], None, stage)):
+        with pytest.raises(Exception, match="broken"):
+            broken()
+        assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["a", "b"]
+    write_upsert(spark, path, spark.createDataFrame([("a", "r3")], "k string, r string"), ["k"], None, stage)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("a", "r3"), ("b", "r2")]
+    assert [x.name for x in tmp_path.iterdir() if x.name.startswith("t.")] == []
+
+
+def test_an_interrupted_replacement_is_finished(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.createDataFrame([("a",)], "k string").write.parquet(str(path))
+    path.rename(tmp_path / "t.replaced-1")
+    assert table_exists(spark, str(path)) and spark.read.parquet(str(path)).count() == 1
+    assert not table_exists(spark, str(tmp_path / "other"))
+
+
+def test_a_damaged_file_is_an_error_and_not_a_missing_table(spark, tmp_path):
+    path, stage = tmp_path / "t", str(tmp_path / "stage")
+    path.mkdir()
+    (path / "part-0.parquet").write_bytes(b"PAR1 damaged PAR1")
+    assert table_exists(spark, str(path))
+    with pytest.raises(Exception):
+        write_upsert(spark, str(path), spark.createDataFrame([("a", 1)], "k string, v int"), ["k"], None, stage)
+    assert (path / "part-0.parquet").read_bytes() == b"PAR1 damaged PAR1"
+
+
+def test_duplicate_check_reads_the_source_alone(spark, tmp_path):
+    """Without duplicates the target is not read before the merge."""
+    missing = spark.range(2).select(F.raise_error(F.lit("target was read")).cast("string").alias("k"), F.lit(1).alias("v"))
+    upsert(missing, spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), ["k"])
