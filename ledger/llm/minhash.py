@@ -5,11 +5,10 @@
    bands, each a fixed choice of ``ROWS`` minima, give band keys.
 2. Texts with the same set are one *class*; its smallest id stands for it from here on, so
    a third of the corpus being copies of one text is one row.
-3. Classes that share a band key are candidates.  Small buckets give their pairs; in large
-   ones no all-pairs list is made: classes whose own shingles already rule out every
-   partner leave, the others are compared with the bucket's most central classes, what is
-   linked so far counts as one, and the rest goes round again until no bucket holds two
-   groups.
+3. Classes that share a band key are candidates.  Small buckets give their pairs.  Classes
+   of large ones are first compared with a central class each, which joins most of a group
+   of near copies; pairs of classes that are still apart are then looked for by their
+   rarest shingles, an exact test that lets few through, so no list of all pairs is made.
 4. A candidate pair survives if its signatures' bit counts, corrected for chance agreement
    (``2 ** -BITS`` of unequal minima agree), do not rule the wanted similarity out, and is
    then confirmed on the full sets.
@@ -45,7 +44,6 @@ LEAST = 85
 LEAST_ESTIMATE = 0.65
 # Buckets up to this many classes give all their pairs.
 SMALL = 24
-CENTRES = 8
 
 
 def _plan() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,19 +172,46 @@ def components(links: DataFrame) -> DataFrame:
     return label
 
 
-def _grouped(rows: DataFrame, label: DataFrame | None) -> DataFrame:
-    """``rows`` with the group each id belongs to so far."""
-    if label is None:
-        return rows.withColumn("comp", F.col("id"))
-    return rows.join(label, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+def _pairs_within(rows: DataFrame) -> DataFrame:
+    """All pairs of buckets that hold SMALL classes at most."""
+    members = rows.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("m"))
+    firsts = members.select(F.posexplode("m").alias("k", "a"), "m")
+    return firsts.select("a", F.explode(F.slice("m", F.col("k") + 2, SMALL)).alias("b")).where("a <> b").distinct()
 
 
-def _pairs_within(rows: DataFrame) -> DataFrame:
-    """All pairs of different groups of buckets that hold SMALL classes at most."""
-    members = rows.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "comp"))).alias("m"))
-    a = members.select(F.posexplode("m").alias("k", "x"), "m")
-    b = a.select(F.col("x.id").alias("a"), F.col("x.comp").alias("ca"), F.explode(F.slice("m", F.col("k") + 2, SMALL)).alias("y"))
-    return b.where("ca <> y.comp and a <> y.id").select("a", F.col("y.id").alias("b"))
+def _star_pairs(large: DataFrame) -> DataFrame:
+    """Each class of a large bucket with the most central class it shares one with: that
+    which lies in the most large buckets."""
+    weight = large.groupBy("id").agg(F.count(F.lit(1)).alias("w"))
+    centre = large.join(weight, "id").groupBy("key").agg(F.max(F.struct("w", "id")).alias("x"))
+    best = large.join(centre, "key").groupBy("id").agg(F.max("x").alias("x"))
+    pairs = best.select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b"))
+    return pairs.where("a <> b").distinct()
+
+
+def _prefix_pairs(sets: DataFrame, members: DataFrame, least: int) -> DataFrame:
+    """The pairs of ``members(id, n, comp)`` of different groups that can still be linked.
+
+    Shingles are put in one order, rarest first.  Sets that share ``least`` hundredths have
+    a shingle in common among their first ``n - least n / 100 + 1``, and where the first
+    one stands bounds what they can share at all; both tests are exact.  The own edits of
+    a near copy are rare and come first, so copies that differ too much never meet.
+    """
+    inside = sets.join(members.select("id"), "id", "left_semi").select("id", F.explode("own").alias("s"))
+    common = inside.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # One document's own shingles that others have too, in order; those it has alone come before.
+    own = inside.join(common, "s").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("own"))
+    alone = F.col("n") - F.size("own")
+    ahead = F.col("n") - F.ceil(F.col("n") * least / 100) + 1
+    first = own.join(members, "id").select(
+        "id", "n", "comp", alone.alias("alone"), F.posexplode(F.slice("own", F.lit(1), F.greatest(ahead - alone, F.lit(0)).cast("int"))).alias("k", "x"))
+    first = staged(first.select("id", "n", "comp", (F.col("alone") + F.col("k")).alias("at"), F.col("x.s").alias("s")), "prefixes")
+    a, b = first.alias("a"), first.alias("b")
+    n_a, n_b = F.col("a.n"), F.col("b.n")
+    shared = F.least(n_a - F.col("a.at"), n_b - F.col("b.at"))
+    able = (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * least) & (shared * (100 + least) >= (n_a + n_b) * least)
+    pairs = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.comp") != F.col("b.comp")) & able)
+    return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
 def links_of(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, least: int = LEAST) -> DataFrame:
@@ -197,40 +222,16 @@ def links_of(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, le
     active = rows.select("id").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(active, "id", "left_semi")
     sets = staged(full_sets(texts, "id", "text").dropDuplicates(["id"]), "sets")
-    near = classes.join(active, "id", "left_semi").select("id", "n", "sig")
-    near = staged(near, "classes")
+    near = staged(classes.join(active, "id", "left_semi").select("id", "n", "sig"), "classes")
 
-    links = staged(confirmed(_pairs_within(rows.where(F.col("c") <= SMALL).withColumn("comp", F.col("id"))).distinct(), near, sets, least), "links")
-    large = rows.where(F.col("c") > SMALL).select("key", "id")
+    large = staged(rows.where(F.col("c") > SMALL).select("key", "id"), "large")
+    pairs = _pairs_within(rows.where(F.col("c") <= SMALL)).union(_star_pairs(large)).distinct()
+    links = staged(confirmed(pairs, near, sets, least), "links")
     if large.isEmpty():
         return links
-
-    # What a class shares with others at most: its shingles that another class of a large
-    # bucket has too.
-    inside = sets.join(large.select("id").distinct(), "id", "left_semi").select("id", F.explode("own").alias("s"))
-    common = inside.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
-    core = near.join(common, "id", "left").select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("core"))
-    large = staged(large.join(core, "id"), "large")
-    while True:
-        label = components(links)
-        held = _grouped(large, label)
-        per_key = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least_n"))
-        held = held.join(per_key.where("lo <> hi"), "key").where((100 + least) * F.col("core") >= least * (F.col("n") + F.col("least_n")))
-        held = staged(held.select("key", "id", "n", "core", "comp"), "held")
-        left = held.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "c")
-        held = held.join(left, "key")
-        if held.isEmpty():
-            return links
-        centre = (held.where(F.col("c") > SMALL).groupBy("key", F.pmod(F.xxhash64("id"), F.lit(CENTRES)).alias("part"))
-                  .agg(F.max(F.struct("core", F.col("id"), "comp")).alias("x"))
-                  .select("key", F.col("x.id").alias("a"), F.col("x.comp").alias("ca")))
-        centre = staged(centre, "centre")
-        pairs = held.join(centre, "key").where("comp <> ca").select("a", F.col("id").alias("b"))
-        pairs = pairs.union(_pairs_within(held.where(F.col("c") <= SMALL).select("key", "id", "comp")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-        links = staged(links.union(confirmed(pairs, near, sets, least)), "links")
-        done = centre.select("key", F.col("a").alias("id"))
-        large = staged(held.where(F.col("c") > SMALL).select("key", "id", "n", "core").join(done, ["key", "id"], "left_anti"), "large")
+    members = near.join(large.select("id").distinct(), "id", "left_semi").select("id", "n")
+    members = staged(members.join(components(links), "id", "left").select("id", "n", F.coalesce("comp", "id").alias("comp")), "members")
+    return staged(links.union(confirmed(_prefix_pairs(sets, members, least), near, sets, least)), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:

@@ -56,7 +56,7 @@ def test_equals_brute_force_with_a_large_group_of_near_copies(make):
     check(minhash.near_duplicates(make(rows)).collect(), rows)
 
 
-def test_all_pairs_of_small_buckets_and_rounds_agree(make, monkeypatch):
+def test_all_pairs_of_small_buckets_and_prefixes_agree(make, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL", 3)
     rng = random.Random(11)
     base = [f"b{k}" for k in range(120)]
