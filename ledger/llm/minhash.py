@@ -255,7 +255,7 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Only the ids to drop meet the texts.  Rows that repeat an id are thinned to one where
     there are any."""
     got = staged(near_duplicates(docs, id_col, text_col, least), "duplicates")
-    drop = got.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    drop = staged(got.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "dropped")
     kept = docs.join(drop, id_col, "left_anti")
     repeats = got.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(id_col)
     repeats = staged(repeats, "repeats")
