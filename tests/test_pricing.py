@@ -56,11 +56,14 @@ def test_t4_overlapping_prices_fan_out_and_are_reported(spark):
     assert pricing.price_overlap_check(usage, prices, P).count() == 1
 
 
-def test_t5_window_is_inclusive_lower_bound_without_upper_bound(spark):
+def test_t5_window_is_inclusive_on_both_sides_and_can_be_unbounded(spark):
     usage = usage_rows(spark, [_u(day, f"{day} 01:00:00") for day in
                                ["2000-03-31", "2000-04-01", "2000-06-30", "2000-07-01"]])
     p = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=90)
     kept = sorted(str(r.usage_date) for r in pricing.usage_window(usage, p).collect())
+    assert kept == ["2000-04-01", "2000-06-30"]
+    p = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=90, bounded=False)
+    kept = sorted(str(r.usage_date) for r in pricing.usage_window(usage, p).collect())
     assert kept == ["2000-04-01", "2000-06-30", "2000-07-01"]
 
 
