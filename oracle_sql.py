@@ -5,6 +5,10 @@ derived billing views of FIXTURES.md as CTEs.  Where Spark's DECIMAL arithmetic
 between steps (a product beyond 38 digits keeps 6 places, averages keep 10), the SQL
 reproduces it with exact integer arithmetic on scaled values and half-up division
 (``hu``), because DuckDB turns decimal division into DOUBLE.
+
+Fixed values: the category lists, LIKE patterns, labels, severity limits and component
+prices in the statements must equal those of ``functions/expressions.py`` and
+``sources/seed.py``.
 """
 
 from __future__ import annotations

@@ -42,6 +42,8 @@ def test_daily_job_matches_queries_and_is_idempotent(spark, tmp_path):
     expected = QUERIES["daily_cost_summary"](spark, SMALL).select(*cols)
     from ledger.registry import boundary
     assert _same(boundary(stored("daily_cost_summary")), expected)
+    for name in FACT_TABLES:  # the audit column holds the time of the run
+        assert [str(r[0]) for r in spark.read.parquet(wh.path(name)).select("_etl_updated_at").distinct().collect()] == ["2000-07-01 00:30:00"]
     # the reference's daily cadence: recompute 90 days and upsert -> same table
     jobs.run_daily(spark, src, wh, RunParams(as_of=AS_OF, lookback_days=90, bounded=False), now=NOW())
     assert _same(boundary(stored("daily_cost_summary")), expected)
