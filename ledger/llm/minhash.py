@@ -42,6 +42,8 @@ HASHES, BITS, BANDS, ROWS = 128, 2, 40, 8
 LEAST = 85
 # Lowest corrected estimate that goes on to the exact test: five deviations under LEAST.
 LEAST_ESTIMATE = 0.65
+# So many ids (8 bytes each) may be sent to every task.
+BROADCAST_IDS = 1_000_000
 # Buckets up to this many classes give all their pairs.
 SMALL = 24
 
@@ -219,7 +221,10 @@ def links_of(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, le
     keyed = classes.select("id", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     rows = staged(keyed.join(shared, "key"), "buckets")
-    active = rows.select("id").distinct()
+    active = staged(rows.select("id").distinct(), "active")
+    # A list of ids of checked size goes to the tasks, so the other texts are not shuffled.
+    if active.count() <= BROADCAST_IDS:
+        active = F.broadcast(active)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(active, "id", "left_semi")
     sets = staged(full_sets(texts, "id", "text").dropDuplicates(["id"]), "sets")
     near = staged(classes.join(active, "id", "left_semi").select("id", "n", "sig"), "classes")
