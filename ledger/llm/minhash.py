@@ -1,21 +1,23 @@
 """Near-duplicate documents by b-bit MinHash.
 
-1. Every text becomes the set of its distinct word shingles.  ``HASHES`` minima of the set
-   are taken; the lowest ``BITS`` bits of each are packed into a signature, and ``BANDS``
-   bands, each a fixed choice of ``ROWS`` minima, give band keys.
+1. Every text becomes the set of its distinct word shingles.  Minima of the set are taken;
+   the lowest ``BITS`` bits of the first ``HASHES`` are packed into a signature, and bands,
+   each of its own minima that no other band uses, give band keys.
 2. Texts with the same set are one *class*; its smallest id stands for it from here on, so
    a third of the corpus being copies of one text is one row.
 3. Classes that share a band key are candidates.  Small buckets give their pairs.  Classes
    of large ones are first compared with a central class each, which joins most of a group
    of near copies; pairs of classes that are still apart are then looked for by their
    rarest shingles, an exact test that lets few through, so no list of all pairs is made.
-4. A candidate pair survives if its signatures' bit counts, corrected for chance agreement
+4. A candidate pair survives if its signatures' bit counts, with chance agreement counted in
    (``2 ** -BITS`` of unequal minima agree), do not rule the wanted similarity out, and is
    then confirmed on the full sets.
 5. Links make components; every row gets its component's smallest id.
 
-A pair at similarity 0.85 is missed by all bands with probability about 1e-6 (a band
-holds it with 0.85 ** 8 = 0.27), and by the signature test with less than 1e-6.
+Bands and the signature's bound follow the wanted similarity (``plan``): a pair that just
+reaches it is missed by all bands with probability ``MISS`` at most, as no two bands share
+a minimum, and by the signature test with ``MISS`` at most; more similar pairs less often.
+At 0.85 there are 36 bands of 7, at 0.80 46 bands of 6.
 
 Defined results: NULL, empty and blank texts have no shingles and are linked with nothing;
 a text of fewer words than a shingle is one shingle of all its words; rows that repeat an
@@ -26,7 +28,10 @@ empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,27 +42,59 @@ from ledger.llm.common import staged
 from ledger.llm.hashing import FOLD_SPACE, mix, shingles, word_hashes
 
 SHINGLE = 5
-HASHES, BITS, BANDS, ROWS = 128, 2, 40, 8
+HASHES, BITS = 128, 2
 # A link needs this share of shingles in common, in hundredths.
 LEAST = 85
-# Lowest corrected estimate that goes on to the exact test: five deviations under LEAST.
-LEAST_ESTIMATE = 0.65
+# The same where copies are dropped from a corpus.
+LEAST_COPY = 80
+# Chance that a pair that just reaches the wanted similarity is lost, by the bands and by the signature.
+MISS = 1e-6
+# The bands use so many minima at most.
+MOST_MINIMA = 320
 # So many ids (8 bytes each) may be sent to every task.
 BROADCAST_IDS = 1_000_000
+# So many shingles of a text are hashed at a time, for all minima.
+BLOCK = 1 << 10
 # Buckets up to this many classes give all their pairs.
 SMALL = 24
 
 
-def _plan() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20240229)
-    factors = rng.integers(1, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
-    shifts = rng.integers(0, 1 << 63, HASHES, np.uint64)
-    bands = np.stack([np.sort(rng.choice(HASHES, ROWS, replace=False)) for _ in range(BANDS)])
-    return factors, shifts, bands
+class Plan(NamedTuple):
+    factors: np.ndarray
+    shifts: np.ndarray
+    band_seeds: np.ndarray  # bands x rows; band k uses the minima from k * rows on
+    least_agreeing: int     # of the signature's HASHES pairs of bits
+
 
+def _shape(share: float) -> tuple[int, int]:
+    """(bands, rows): the most rows whose bands, as many as MISS asks for, use MOST_MINIMA at most."""
+    best = None
+    for rows in range(1, 33):
+        held = share ** rows
+        bands = 1 if held >= 1.0 else math.ceil(math.log(MISS) / math.log1p(-held))
+        if best is None or bands * rows <= MOST_MINIMA:
+            best = bands, rows
+    return best
 
-FACTORS, SHIFTS, BAND_ROWS = _plan()
-BAND_SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).reshape(BANDS, ROWS) | np.uint64(1)
+
+@cache
+def plan(least: int) -> Plan:
+    """Hash functions, bands and the signature's bound for a similarity of ``least`` hundredths."""
+    share = least / 100
+    bands, rows = _shape(share)
+    rng = np.random.default_rng(20240229)
+    n = max(HASHES, bands * rows)
+    factors = rng.integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+    shifts = rng.integers(0, 1 << 63, n, np.uint64)
+    seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)).reshape(bands, rows) | np.uint64(1)
+    # The agreeing pairs of bits are binomial; fewer than the bound come with MISS at most.
+    agree, below, bound = share + (1 - share) * 2.0 ** -BITS, 0.0, 0
+    while bound < HASHES:
+        below += math.comb(HASHES, bound) * agree ** bound * (1 - agree) ** (HASHES - bound)
+        if below > MISS:
+            break
+        bound += 1
+    return Plan(factors, shifts, seeds, bound)
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -70,11 +107,12 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def minima(own: np.ndarray) -> np.ndarray:
-    """The HASHES minima of a set of shingles, in blocks of bounded size."""
-    out = None
-    for k in range(0, len(own), 1 << 13):
-        block = own[None, k:k + (1 << 13)] * FACTORS[:, None] + SHIFTS[:, None]
+def minima(own: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """The plan's minima of a set of shingles, in blocks of bounded size."""
+    out, (factors, shifts, *_) = None, plan(least)
+    for k in range(0, len(own), BLOCK):
+        block = own[None, k:k + BLOCK] * factors[:, None]
+        block += shifts[:, None]
         low = block.min(axis=1)
         out = low if out is None else np.minimum(out, low)
     return out
@@ -82,15 +120,16 @@ def minima(own: np.ndarray) -> np.ndarray:
 
 def signature(low: np.ndarray) -> np.ndarray:
     """The packed low bits: 2 x 128 bits in four 64-bit numbers."""
-    bits = (mix(low) & np.uint64((1 << BITS) - 1)).reshape(-1, 64 // BITS)
+    bits = (mix(low[:HASHES]) & np.uint64((1 << BITS) - 1)).reshape(-1, 64 // BITS)
     return (bits << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64)
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
-    return mix((low[BAND_ROWS] * BAND_SEEDS).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+def band_keys(low: np.ndarray, least: int = LEAST) -> np.ndarray:
+    seeds = plan(least).band_seeds
+    return mix((low[:seeds.size].reshape(seeds.shape) * seeds).sum(axis=1, dtype=np.uint64) + np.arange(len(seeds), dtype=np.uint64))
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """``id, n, s1, s2, sig, bands`` of every row: size, 128-bit name, signature and band
     keys of its set (no signature and no bands for an empty set)."""
 
@@ -101,9 +140,9 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 if not len(own):
                     cells.append((0, None, None, None, None))
                     continue
-                low, spread = minima(own), mix(own + np.uint64(0x51ED270B))
+                low, spread = minima(own, least), mix(own + np.uint64(0x51ED270B))
                 name = np.array([spread.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(spread))]).view(np.int64)
-                cells.append((len(own), int(name[0]), int(name[1]), signature(low).view(np.int64), band_keys(low).view(np.int64)))
+                cells.append((len(own), int(name[0]), int(name[1]), signature(low).view(np.int64), band_keys(low, least).view(np.int64)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([c[k] for c in cells], t) for k, t in enumerate(kinds))],
                                              ["id", "n", "s1", "s2", "sig", "bands"])
@@ -124,17 +163,21 @@ def full_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return rows.mapInArrow(run, "id bigint, own array<bigint>")
 
 
-def estimate(a: Column, b: Column) -> Column:
-    """Similarity from two packed signatures, corrected for minima that agree by chance."""
+def agreeing_bits(a: Column, b: Column) -> Column:
+    """How many of the HASHES minima agree in their bits."""
     even = F.lit(0x5555555555555555)
 
     def agreeing(k: int) -> Column:
         x = a[k].bitwiseXOR(b[k])
         return F.lit(64 // BITS) - F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(even))
 
-    same = sum((agreeing(k) for k in range(1, HASHES * BITS // 64)), agreeing(0))
+    return sum((agreeing(k) for k in range(1, HASHES * BITS // 64)), agreeing(0))
+
+
+def estimate(a: Column, b: Column) -> Column:
+    """Similarity from two packed signatures, corrected for minima that agree by chance."""
     chance = 2.0 ** -BITS
-    return (same / F.lit(float(HASHES)) - F.lit(chance)) / F.lit(1.0 - chance)
+    return (agreeing_bits(a, b) / F.lit(float(HASHES)) - F.lit(chance)) / F.lit(1.0 - chance)
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
@@ -143,7 +186,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, least: int
     near = pairs.join(side("a", 0), "a").join(side("b", 0), "b")
     n_a, n_b = F.col("n_a"), F.col("n_b")
     near = near.where((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * least)
-                      & (estimate(F.col("sig_a"), F.col("sig_b")) >= LEAST_ESTIMATE)).select("a", "b")
+                      & (agreeing_bits(F.col("sig_a"), F.col("sig_b")) >= plan(least).least_agreeing)).select("a", "b")
     full = lambda x: sets.select(F.col("id").alias(x), F.col("own").alias(f"own_{x}"))
     both = near.join(full("a"), "a").join(full("b"), "b")
     shared = F.size(F.array_intersect("own_a", "own_b"))
@@ -241,7 +284,7 @@ def links_of(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, le
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """``id_col, n_shingles, class_id, component_id`` of every row."""
-    sketch = staged(sketches(docs, id_col, text_col), "sketches")
+    sketch = staged(sketches(docs, id_col, text_col, least), "sketches")
     named = sketch.where("n > 0 and id is not null")
     classes = named.groupBy("s1", "s2", "n").agg(F.min("id").alias("class_id"))
     member = sketch.select("id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")

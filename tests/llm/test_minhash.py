@@ -103,3 +103,13 @@ def test_sets_of_hashes_have_the_sizes_of_sets_of_words():
     texts = [" ".join(rng.choice("aA bB\tc") for _ in range(rng.randint(0, 60))) for _ in range(200)] + [None, "", "é" * 300_0]
     for text, own in zip(texts, minhash.shingle_sets(pa.array(texts))):
         assert len(own) == len(shingle_set(text))
+
+
+def test_pairs_that_just_reach_the_similarity_share_a_band():
+    """Sets of 37 with 34 in common (0.85) and of 36 with 32 in common (0.80)."""
+    rng = np.random.default_rng(3)
+    for least, shared, own in ((85, 34, 3), (80, 32, 4)):
+        for _ in range(12_000):
+            x = rng.integers(0, 1 << 63, shared + 2 * own, np.uint64)
+            a, b = (minhash.minima(s, least) for s in (x[own:], x[:-own]))
+            assert (minhash.band_keys(a, least) == minhash.band_keys(b, least)).any()
