@@ -23,9 +23,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
+    """One document, that with the smallest id, of each group of near copies (0.8 or more)."""
     tune(spark)
-    return minhash.without_copies(docs)
+    return minhash.without_copies(docs, least=minhash.LEAST_COPY)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

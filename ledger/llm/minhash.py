@@ -297,7 +297,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce("comp", "class_id").alias("component_id"))
 
 
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_COPY) -> DataFrame:
     """``docs`` with one row of each component (its smallest id) and every row without an id.
 
     Only the ids to drop meet the texts.  Rows that repeat an id are thinned to one where

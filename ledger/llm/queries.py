@@ -54,7 +54,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = minhash.near_duplicates(read_documents(tune(spark), sf_dir))
+    got = minhash.near_duplicates(read_documents(tune(spark), sf_dir), least=85)
     return got.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

@@ -113,3 +113,17 @@ def test_pairs_that_just_reach_the_similarity_share_a_band():
             x = rng.integers(0, 1 << 63, shared + 2 * own, np.uint64)
             a, b = (minhash.minima(s, least) for s in (x[own:], x[:-own]))
             assert (minhash.band_keys(a, least) == minhash.band_keys(b, least)).any()
+
+
+def test_the_pipeline_drops_copies_from_0_80_on(spark, make):
+    """Two of 100 words changed leave 86 of 106 shingles (0.81); three leave 81 of 111 (0.73)."""
+    import corpus_pipeline
+
+    rows = []
+    for i in range(300):
+        words = [f"d{i}w{k}" for k in range(100)]
+        rows.append((3 * i, " ".join(words)))
+        for j, places in enumerate(((30, 60), (20, 50, 80)), 1):
+            rows.append((3 * i + j, " ".join(f"new{i}x{j}" if k in places else w for k, w in enumerate(words))))
+    got = corpus_pipeline.distinct_texts(spark, make(rows), "")
+    assert sorted(r.doc_id for r in got.collect()) == [i for i in range(900) if i % 3 != 1]
