@@ -22,6 +22,7 @@ and rows without an id match nothing; only the named columns are read; empty tab
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,6 +109,8 @@ def tiles(test: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int
     From the longest length that can match downwards by halves: all runs of the length are
     hashed on both sides; equal ones that are unmarked are extended as far as they go, the
     longest are marked first.  A match of twice the length starts the search again there.
+    A match that a longer tile has partly taken is put back with what is left before that
+    tile, so the longest unmarked match always comes next.
     """
     free_a, free_b = np.ones(len(test), bool), np.ones(len(text), bool)
     found: list[tuple[int, int, int]] = []
@@ -131,10 +134,18 @@ def tiles(test: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int
         if longest >= 2 * length:
             length = longest
             continue
-        for n, i, j in sorted(matches):
-            if free_a[i:i - n].all() and free_b[j:j - n].all():
+        heapq.heapify(matches)
+        while matches:
+            n, i, j = heapq.heappop(matches)
+            free = free_a[i:i - n] & free_b[j:j - n]
+            if free.all():
                 free_a[i:i - n] = free_b[j:j - n] = False
                 found.append((i, j, -n))
+                continue
+            # What is left behind the tile begins a match of its own.
+            n = int(free.argmin())
+            if n >= length:
+                heapq.heappush(matches, (-n, i, j))
         if length == least:
             break
         length = max(least, length // 2)

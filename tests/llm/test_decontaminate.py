@@ -78,3 +78,19 @@ def test_all_planted_passages_are_found(spark):
     planted = {(d.doc_id, b.item_id) for d in docs.collect() for b in items.collect() if b.text in d.text}
     got = {(r.doc_id, r.item_id) for r in decontaminate.contamination(docs, items).collect()}
     assert planted and planted <= got
+
+
+def test_equals_brute_force_with_overlapping_passages(spark, make):
+    """Passages of one item that overlap in it: what a longer tile leaves of a match counts."""
+    rng = random.Random(12)
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(20 + k))) for k in range(6)]
+    docs = [(0, " ".join([*(f"i0x{j}" for j in range(8, 17)), *(f"other{j}" for j in range(15)), *(f"i0x{j}" for j in range(2, 10))]))]
+    for i in range(1, 60):
+        w, body = items[rng.randrange(6)][1].split(), []
+        for p in range(rng.randint(2, 4)):
+            a = rng.randrange(len(w) - 6)
+            body += [*w[a:a + rng.randint(6, 14)], f"n{i}x{p}"]
+        docs.append((i, " ".join(body)))
+    got = decontaminate.contamination(make(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.n_tiles, r.covered, r.item_words) for r in got} == brute(docs, items)
+    assert (0, 0) in {(r.doc_id, r.item_id) for r in got}
