@@ -13,10 +13,16 @@ Words that share a prefix share its states, so ``walk walked walking`` costs the
 so the word's own last token is found at the end of its path and the shared prefixes
 stay as they are.
 
+A prefix's state is its last token and the place where that begins; a word's encoding is
+read backwards along its path, so memory is linear in the letters of a word however long.
+
 The trie lives in the Python worker and survives its tasks.  At ``MAX_NODES`` nodes it is
-dropped and grown anew; finished words are kept in two generations of at most ``MAX_WORDS``
-(a word that is met again moves to the younger one, the older one is dropped when the
-younger is full), so memory is bounded whatever the corpus holds.
+dropped and grown anew, also within a batch; pieces of more than ``LONG`` characters, which
+share their prefixes with nothing, keep their states in flat arrays outside it.  Finished
+words are kept in two generations of at most ``MAX_WORDS`` (a word that is met again moves
+to the younger one, the older one is dropped when the younger is full); both are dropped
+where a batch brings the younger one over ``MAX_LETTERS`` characters.  So beside its current
+batch a worker holds a bounded amount whatever the corpus holds.
 
 Defined results: NULL text encodes like the empty text (no ids, empty decoded text);
 repeated rows give repeated results; only the id and text columns are read, so further
@@ -29,7 +35,7 @@ import gc
 import json
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +45,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 MAX_NODES = 600_000
-MAX_WORDS = 250_000
+MAX_WORDS, MAX_LETTERS = 250_000, 8_000_000
+LONG = 1_000
 
 # Splitting rules of the vocabulary's own file (fixed values).
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -68,9 +75,9 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in keep else chr(next(spare)) for b in range(256)]
 
 
-# A trie node: (children by character, encoding of the prefix).  The prefix's last token is
-# the last of its encoding; nodes hold no link upwards, so a dropped trie is freed at once.
-Node = tuple[dict, tuple[int, ...]]
+# A trie node: (children by character, last token of the prefix, where that token begins).
+# Nodes hold no link upwards, so a dropped trie is freed at once.
+Node = tuple[dict, int, int]
 
 
 class TrieEncoder:
@@ -121,7 +128,7 @@ class TrieEncoder:
         return root
 
     def reset(self) -> None:
-        self.root, self.nodes = ({}, ()), 0
+        self.root, self.nodes, self.letters = ({}, -1, 0), 0, 0
         self.words: dict[str, tuple[bytes, str]] = {}
         self.older: dict[str, tuple[bytes, str]] = {}
 
@@ -154,8 +161,9 @@ class TrieEncoder:
 
     # -- trie ------------------------------------------------------------------------
 
-    def _encoding(self, path: list[Node], text: str, end: int, backward: dict) -> tuple[int, ...]:
-        """The encoding of ``text[:end]``: of what precedes its last token, and that token."""
+    def _last(self, tokens: Sequence[int], text: str, end: int, backward: dict) -> tuple[int, int]:
+        """The last token of ``text[:end]`` and where it begins; ``tokens[at]`` is the last
+        token of ``text[:at]``."""
         found, at = [], end
         while at:
             at -= 1
@@ -167,28 +175,48 @@ class TrieEncoder:
         fits = self.fits
         for token, at in reversed(found):
             if at == 0:
-                return (token,)
-            before = path[at][1]
-            pair = (before[-1], token)
+                return token, 0
+            pair = (tokens[at], token)
             ok = fits.get(pair)
             if ok is None:
                 ok = fits[pair] = self.compatible(*pair)
             if ok:
-                return (*before, token)
+                return token, at
         raise ValueError("the vocabulary cannot spell this word")
 
-    def _insert(self, piece: str) -> tuple[int, ...]:
+    def _insert(self, piece: str) -> list[int]:
         """Walk (and where missing build) the trie along ``piece``; its full encoding."""
-        node = self.root
-        path = [node]
-        for k, c in enumerate(piece[:-1], 1):
-            child = node[0].get(c)
-            if child is None:
-                child = node[0][c] = ({}, self._encoding(path, piece, k, self.inner))
-                self.nodes += 1
-            node = child
-            path.append(node)
-        return self._encoding(path, piece, len(piece), self.final)
+        if len(piece) > LONG:
+            tokens, begins = self._long(piece)
+        else:
+            if self.nodes > MAX_NODES:
+                self.root, self.nodes = ({}, -1, 0), 0
+            node = self.root
+            tokens, begins = [-1], [0]
+            for k, c in enumerate(piece[:-1], 1):
+                child = node[0].get(c)
+                if child is None:
+                    child = node[0][c] = ({}, *self._last(tokens, piece, k, self.inner))
+                    self.nodes += 1
+                node = child
+                tokens.append(node[1])
+                begins.append(node[2])
+        token, at = self._last(tokens, piece, len(piece), self.final)
+        out = [token]
+        while at:
+            out.append(tokens[at])
+            at = begins[at]
+        out.reverse()
+        return out
+
+    def _long(self, piece: str) -> tuple[array, array]:
+        """The states of a long piece's prefixes, kept outside the trie."""
+        tokens, begins = array("i", [-1]), array("i", [0])
+        for k in range(1, len(piece)):
+            token, at = self._last(tokens, piece, k, self.inner)
+            tokens.append(token)
+            begins.append(at)
+        return tokens, begins
 
     def learn(self, words: set[str]) -> None:
         """Encode distinct ``words`` not met before, in sorted (depth-first) order."""
@@ -245,17 +273,24 @@ class TrieEncoder:
         for w in set().union(*split).difference(known):
             if w in older:
                 known[w] = older[w]
+                self.letters += len(w)
             else:
                 new.add(w)
         self.learn(new)
+        self.letters += sum(map(len, new))
         out = []
         for words in split:
             got = [*map(known.__getitem__, words)]
             out.append((np.frombuffer(b"".join([g[0] for g in got]), "<i4"), " ".join([g[1] for g in got])))
-        if len(known) > MAX_WORDS:
-            self.words, self.older = {}, known
+        if self.letters > MAX_LETTERS:
+            # The words of one batch may be any size: they are not kept.
+            self.words, self.older, self.letters = {}, {}, 0
+        elif len(known) > MAX_WORDS:
+            self.words, self.older, self.letters = {}, known, 0
         if self.nodes > MAX_NODES:
-            self.root, self.nodes = ({}, ()), 0
+            self.root, self.nodes = ({}, -1, 0), 0
+        if len(self.fits) > MAX_NODES:
+            self.fits = {}
         return out
 
     def encode(self, text: str | None) -> tuple[np.ndarray, str]:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -59,3 +60,29 @@ def test_table(odd, empty, library, odd_rows):
                    library.decode(library.encode(r[1] or "", add_special_tokens=False).ids, skip_special_tokens=False)) for r in odd_rows)
     assert got == want
     assert bpe.encode_documents(empty, PATH).count() == 0
+
+
+def test_memory_is_linear_in_the_letters_of_a_word(library, encoder):
+    """One unbroken run of 200,000 letters, alone and among words that share its beginning."""
+    rng = random.Random(21)
+    run = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    encoder.reset()
+    tracemalloc.start()
+    try:
+        got = [encoder.encode(run)[0].tolist(), encoder.encode(f"{run[:900]} {run[:2000]}")[0].tolist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 200 * len(run)
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in (run, f"{run[:900]} {run[:2000]}")]
+
+
+def test_held_words_and_states_are_bounded_within_and_after_a_batch(library, encoder, monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_NODES", 50)
+    monkeypatch.setattr(bpe, "MAX_LETTERS", 500)
+    encoder.reset()
+    rng = random.Random(22)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(40)) for _ in range(5)]
+    for text, (ids, _) in zip(texts, encoder.encode_batch(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert encoder.nodes <= 50 + 30 and not encoder.words and not encoder.older
