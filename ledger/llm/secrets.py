@@ -1,6 +1,9 @@
 """Secret scan with a random forest against false positives, in Spark expressions only.
 
-Candidates are long tokens of the characters secrets are made of.  Each is described by
+Candidates are tokens of ``LONG`` characters or more, without an upper bound, of those that
+secrets are made of, and values of any length that are assigned to a credential's name.  A
+name before ``=`` or ``:`` is no part of its value; it counts as words around it.  Each is
+described by
 its length, by the transitions between neighbouring characters (letter to digit, case
 changes, hex runs, vowels after consonants), by how much of it dictionary words cover, by
 the path or source it comes from and by the words around it.  A random forest trained on
@@ -36,8 +39,16 @@ LEAST = 0.5
 AROUND = 32
 
 # Fixed values.
-CANDIDATE = r"(?<![A-Za-z0-9_/+=-])[A-Za-z0-9_/+=-]{16,200}+(?![A-Za-z0-9_/+=-])"
+LONG = 16
 CREDENTIAL = r"(?:api[_-]?key|secret|token|passw(?:or)?d|pwd|auth|credential|private[_-]?key|access[_-]?key|bearer)"
+# What stands before a value that is assigned to a credential's name.  The look ahead finds
+# the name in the token once; the token is then taken whole, so long tokens cost linear time.
+NAMED = (r"(?<![A-Za-z0-9_/+.-])(?=[A-Za-z0-9_/+.-]*?(?i:" + CREDENTIAL + r"))[A-Za-z0-9_/+.-]++[\"'`\])]*+\s*+(?:=>|:=|==?|:)\s*+"
+         r"(?:(?i:bearer|basic)\s++)?[\"'`]?")
+# A value: a long token, or all up to a blank, a quote or a delimiter, but not a further name that is assigned to.
+VALUE = (r"(?:[A-Za-z0-9_/+-]{" + str(LONG) + r",}+=*+(?![A-Za-z0-9_/+-])"
+         r"|(?!(?=[A-Za-z0-9_/+.-]*?(?i:" + CREDENTIAL + r"))[A-Za-z0-9_/+.-]++[\"'`\])]*+\s*+[=:])[^\s\"'`,;&<>(){}\[\]|?=:]++=*+)")
+CANDIDATE = NAMED + VALUE + r"|(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{" + str(LONG) + r",}+=*+"
 PROVIDER_FORMS = r"^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_-]{35})$"
 PLAIN_PATHS = r"(?:test|example|sample|fixture|mock|doc)"
 DICTIONARY = ["the", "and", "that", "with", "for", "from", "this", "are", "not", "you", "have", "was", "will", "more", "tion", "ing", "ment", "heit",
@@ -84,7 +95,16 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         x["s"].alias("start"), x["e"].alias("end"), x["m"].alias("found"),
         F.substring("text", F.greatest(x["s"] - AROUND, F.lit(0)) + 1, F.least(x["s"], F.lit(AROUND))).alias("before"),
         F.substring("text", x["e"] + 1, F.lit(AROUND)).alias("after"))
-    rows = rows.select("id", "path", F.explode(F.transform(matches(F.col("text"), CANDIDATE), near)).alias("x")).select("id", "path", "x.*")
+
+    def value(x: Column) -> Column:
+        """The match without the name it is assigned to and without full stops that end it."""
+        bare = F.regexp_replace(x["m"], "^" + NAMED + "(?=" + VALUE + "$)", "")
+        start = x["s"] + F.length(x["m"]) - F.length(bare)
+        bare = F.regexp_replace(bare, r"(?<![.])[.]++$", "")
+        return F.struct(start.alias("s"), (start + F.length(bare)).alias("e"), bare.alias("m"))
+
+    found = F.filter(F.transform(matches(F.col("text"), CANDIDATE), value), lambda x: F.length(x["m"]) > 0)
+    rows = rows.select("id", "path", F.explode(F.transform(found, near)).alias("x")).select("id", "path", "x.*")
     f = described(F.col("found"), F.col("before"), F.col("after"), F.col("path"))
     return rows.select("id", "start", "end", F.sha2("found", 256).alias("sha256"), F.col("found").rlike(PROVIDER_FORMS).alias("known_form"),
                        F.col("found").rlike("^(?:[0-9]+|[A-Za-z]+)$").alias("plain"), *(v.alias(k) for k, v in f.items()))

@@ -95,3 +95,16 @@ def test_the_secret_is_not_returned(make):
     value = "0123456789abcdef" * 2
     got = secrets.scan_secrets(make([(1, f'token = "{value}"')]))
     assert got.collect()[0].is_secret and value not in str(got.collect())
+
+
+def test_candidates_have_no_upper_length_and_assigned_values_no_lower(make):
+    rng = random.Random(14)
+    long = "".join(rng.choice("abcdefXYZ0123456789+/") for _ in range(5000))
+    texts = [(f"blob {long} end", long), (f"API_KEY={long}==", long + "=="), ('db_password = "hunter2"', "hunter2"), ("PWD: p@ss.w0rd!", "p@ss.w0rd!"),
+             ("my_service_access_token_value=abc.", "abc"), ("config['auth'] = 'x9/z'", "x9/z"), ("?auth=token=q1&n=1", "q1"),
+             ("Authorization: Bearer abc123def", "abc123def"), ("password : short", "short"), ("a" * 201, "a" * 201)]
+    got = {r.doc_id: r for r in secrets.scan_secrets(make([(i, t) for i, (t, _) in enumerate(texts)])).collect()
+           if not texts[r.doc_id][0][r.start:r.end].startswith("my_service")}
+    for i, (text, value) in enumerate(texts):
+        assert text[got[i].start:got[i].end] == value
+        assert got[i].sha256 == hashlib.sha256(value.encode()).hexdigest()
