@@ -10,8 +10,11 @@ the path or source it comes from and by the words around it.  A random forest tr
 labelled findings tells real secrets from hashes of words, numbers and long ordinary words.
 
 Labelled findings are a table ``(id, start, label)``.  Where none is given, they are the
-findings that need no judgement: a value of a known provider's form assigned to a
-credential's name is a secret; a plain word, a number or part of an address is not.
+findings that need no judgement, and these keep their label: a key in the form of a known
+issuer is a secret wherever it stands, and so is a bare hexadecimal digest that is assigned
+to a credential's name; a plain word or number that is assigned to nothing is not.  As two
+of the forest's inputs (``LABELLING``) take part in that rule, the forest that learns from
+it is not given them; one that learns from a table is given all.
 
 The secret itself is never returned: findings carry its place and its SHA-256.  Places
 count code points from 0, the end is exclusive.
@@ -49,7 +52,8 @@ NAMED = (r"(?<![A-Za-z0-9_/+.-])(?=[A-Za-z0-9_/+.-]*?(?i:" + CREDENTIAL + r"))[A
 VALUE = (r"(?:[A-Za-z0-9_/+-]{" + str(LONG) + r",}+=*+(?![A-Za-z0-9_/+-])"
          r"|(?!(?=[A-Za-z0-9_/+.-]*?(?i:" + CREDENTIAL + r"))[A-Za-z0-9_/+.-]++[\"'`\])]*+\s*+[=:])[^\s\"'`,;&<>(){}\[\]|?=:]++=*+)")
 CANDIDATE = NAMED + VALUE + r"|(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{" + str(LONG) + r",}+=*+"
-PROVIDER_FORMS = r"^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_-]{35})$"
+ISSUER_FORMS = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_-]{35})$"
+DIGEST_FORMS = r"^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
 PLAIN_PATHS = r"(?:test|example|sample|fixture|mock|doc)"
 DICTIONARY = ["the", "and", "that", "with", "for", "from", "this", "are", "not", "you", "have", "was", "will", "more", "tion", "ing", "ment", "heit",
               "keit", "lich", "ung", "que", "eau", "eux", "elle", "mente", "ción", "ado", "name", "data", "file", "path", "user", "test", "value",
@@ -57,6 +61,8 @@ DICTIONARY = ["the", "and", "that", "with", "for", "from", "this", "are", "not",
 
 FEATURES = ["length", "letter_digit", "case_change", "symbol_share", "digit_share", "hex_share", "upper_share", "vowel_share", "bigram_share",
             "distinct_share", "word_cover", "plain_path", "credential_near", "assigned", "quoted", "prose_before"]
+# Inputs that take part in the labels of findings that need no judgement.
+LABELLING = ["credential_near", "assigned"]
 
 
 def described(found: Column, before: Column, after: Column, path: Column) -> dict[str, Column]:
@@ -106,14 +112,15 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = F.filter(F.transform(matches(F.col("text"), CANDIDATE), value), lambda x: F.length(x["m"]) > 0)
     rows = rows.select("id", "path", F.explode(F.transform(found, near)).alias("x")).select("id", "path", "x.*")
     f = described(F.col("found"), F.col("before"), F.col("after"), F.col("path"))
-    return rows.select("id", "start", "end", F.sha2("found", 256).alias("sha256"), F.col("found").rlike(PROVIDER_FORMS).alias("known_form"),
+    return rows.select("id", "start", "end", F.sha2("found", 256).alias("sha256"), F.col("found").rlike(ISSUER_FORMS).alias("issuer_form"),
+                       F.col("found").rlike(DIGEST_FORMS).alias("digest_form"),
                        F.col("found").rlike("^(?:[0-9]+|[A-Za-z]+)$").alias("plain"), *(v.alias(k) for k, v in f.items()))
 
 
 def sure_label() -> Column:
     """1 and 0 for the findings that need no judgement, else NULL."""
     assigned = (F.col("credential_near") == 1) & (F.col("assigned") == 1)
-    return F.when(F.col("known_form") & assigned, 1).when(F.col("plain") & (F.col("assigned") == 0), 0).otherwise(F.lit(None).cast("int"))
+    return F.when(F.col("issuer_form") | (F.col("digest_form") & assigned), 1).when(F.col("plain") & (F.col("assigned") == 0), 0).otherwise(F.lit(None).cast("int"))
 
 
 def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -126,16 +133,19 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str
         given = findings.where("label is not null and id is not null").groupBy("id", "start").agg(F.min("label").cast("int").alias("y"))
         known = rows.join(given, ["id", "start"])
     counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
-    detector = F.when(F.col("known_form"), "provider-form").otherwise("long-token")
+    detector = F.when(F.col("issuer_form") | F.col("digest_form"), "provider-form").otherwise("long-token")
     if len(counts) == 2:
         # Either label may fill half of the sample; thinned by a hash, in a fixed order.
         share = F.element_at(F.create_map(*(x for y, n in counts.items() for x in (F.lit(y), F.lit(min(1.0, 0.45 * sample_rows / n))))), F.col("y"))
         draw = unit_hash(F.col("id"), F.col("start"), F.col("sha256"), seed=1)
         sample = known.where(draw < share).orderBy(draw, "id", "start").limit(sample_rows).coalesce(1)
-        vectors = VectorAssembler(inputCols=FEATURES, outputCol="x")
+        inputs = [f for f in FEATURES if findings is not None or f not in LABELLING]
+        vectors = VectorAssembler(inputCols=inputs, outputCol="x")
         forest = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=TREES, maxDepth=DEPTH, seed=SEED, minInstancesPerNode=2)
         model = forest.fit(vectors.transform(sample).select("x", "y"))
         scored = model.transform(vectors.transform(rows)).withColumn("score", vector_to_array("probability")[1])
+        if findings is None:
+            scored = scored.withColumn("score", F.coalesce(sure_label().cast("double"), "score"))
     else:
         scored = rows.withColumn("score", F.coalesce(sure_label(), F.lit(0)).cast("double"))
     return scored.select(F.col("id").alias(id_col), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "sha256",

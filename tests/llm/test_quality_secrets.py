@@ -108,3 +108,16 @@ def test_candidates_have_no_upper_length_and_assigned_values_no_lower(make):
     for i, (text, value) in enumerate(texts):
         assert text[got[i].start:got[i].end] == value
         assert got[i].sha256 == hashlib.sha256(value.encode()).hexdigest()
+
+
+def test_keys_glued_to_a_name_and_keys_in_prose_are_secrets(make):
+    """The forest learns from quoted digests and plain words only."""
+    rng = random.Random(15)
+    rows = [(i, f'text before token = "{hexes(rng, 40)}" after' if i % 2 else "text before verylongordinaryword after") for i in range(120)]
+    hub, aws, digest = "ghp_" + "aB3dE6" * 6, "AKIA" + "Q7Z4" * 4, hexes(rng, 40)
+    texts = {200: (f"API_KEY={hub}", hub), 201: (f"token={digest}", digest), 202: (f"https://x.org/a?access_key={aws}&v=1", aws),
+             203: (f"please use {hub} for this", hub), 204: (f"the one we had was {aws}.", aws), 205: (f"some_long_name_of_an_api_key={hub}", hub)}
+    got = secrets.scan_secrets(make(rows + [(i, t) for i, (t, _) in texts.items()])).collect()
+    found = {(r.doc_id, r.start, r.end, r.sha256, r.detector) for r in got if r.is_secret and r.doc_id >= 200}
+    assert {(i, t.index(v), t.index(v) + len(v), hashlib.sha256(v.encode()).hexdigest(), "provider-form") for i, (t, v) in texts.items()} == found
+    assert not any(r.is_secret for r in got if r.doc_id < 200 and r.doc_id % 2 == 0)
