@@ -15,7 +15,8 @@
 Words are compared lower-cased (A-Z) and without ASCII punctuation.
 
 Defined results: NULL and empty texts or items match nothing; an item of fewer words than
-a seed is looked for whole; equal matches are taken in the order of their places; repeated
+a seed is looked for whole (``item_words`` tells such matches, the pipeline drops nothing for
+them); equal matches are taken in the order of their places; repeated
 rows give repeated results, except that rows with the same id are taken as one document
 and rows without an id match nothing; only the named columns are read; empty tables give an empty result.
 """

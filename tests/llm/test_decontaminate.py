@@ -94,3 +94,12 @@ def test_equals_brute_force_with_overlapping_passages(spark, make):
     got = decontaminate.contamination(make(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id): (r.n_tiles, r.covered, r.item_words) for r in got} == brute(docs, items)
     assert (0, 0) in {(r.doc_id, r.item_id) for r in got}
+
+
+def test_the_pipeline_keeps_documents_that_hold_short_items_only(spark, make, tmp_path):
+    import corpus_pipeline
+
+    items = [(1, "Paris"), (2, "yes of course"), (3, "one two three four five")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = make([(1, "We went to Paris in May"), (2, "yes, of course"), (3, "count one two three four five in Paris"), (4, "nothing")])
+    assert sorted(r.doc_id for r in corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect()) == [1, 2, 4]
