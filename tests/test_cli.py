@@ -1,6 +1,6 @@
 """The command line runs the jobs and reports against Parquet source tables."""
 
-from conftest import SMALL
+from helpers import SMALL
 from ledger.__main__ import main
 from ledger.registry import QUERIES, boundary
 from ledger.sources import fixtures

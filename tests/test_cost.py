@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import price_rows, usage_rows
+from helpers import price_rows, usage_rows
 from ledger.params import RunParams
 from ledger.plans import cost, pricing
 

@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from helpers import SMALL
 from ledger.params import RunParams
 from ledger.plans import jobs, pricing, vm
 from ledger.registry import QUERIES

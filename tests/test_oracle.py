@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SMALL
+from helpers import SMALL
 
 KEYS = ["daily_cost_summary", "sku_daily_details", "vm_cost_estimate", "top_skus", "cost_counters",
         "new_alerts", "catalog_price_extract", "upsert_daily_cost"]

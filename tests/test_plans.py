@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SMALL
+from helpers import SMALL
 from ledger.params import RunParams
 from ledger.plans import cost, pricing, reports
 from ledger.registry import QUERIES, Chain

@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import price_rows, usage_rows
+from helpers import price_rows, usage_rows
 from ledger.params import RunParams
 from ledger.plans import pricing
 from ledger.sources.catalog import read_catalog_pages

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from helpers import SMALL
 from ledger.operators.upsert import upsert
 from ledger.params import RunParams
 from ledger.plans import alerts, pricing, vm

@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 
-from conftest import ts
+from helpers import ts
 from ledger.params import RunParams
 from ledger.plans import reports, vm
 
