@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledger.llm import bpe, chat, decontaminate, language, licenses, minhash, pii, quality, rules, secrets, sharding, whitening
+from ledger.llm import bpe, chat, decontaminate, language, licenses, minhash, phrases, pii, quality, rules, secrets, sharding, whitening
 from ledger.llm.common import read_documents, tune
 
 VOCABULARY = "word_bpe_49k.json"
@@ -91,6 +91,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_documents(tune(spark), sf_dir), items)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_documents(tune(spark), sf_dir))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = whitening.whiten(tune(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
     rows = got.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error",
@@ -126,6 +130,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_phrase_mining": op11_phrase_mining,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_chat_formatting": op13_chat_formatting,
 }
@@ -143,4 +148,34 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op13_chat_formatting": CHAT_SQL}
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+sized AS (SELECT lang, w, unnest([1, 2, 3, 4]) AS k FROM words),
+placed AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized),
+counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM placed GROUP BY lang, k, phrase HAVING count(*) >= 30),
+candidates AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (SELECT *, unnest(range(1, k)) AS j FROM candidates),
+parted AS (
+  SELECT c.lang, c.phrase, c.f, c.j, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.f) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.j], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.j + 1:c.k], ' ')),
+weakest AS (SELECT * FROM parted QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_sizes AS (SELECT *, unnest(range(2, k)) AS m FROM candidates),
+inner_places AS (SELECT *, unnest(range(1, k - m + 2)) AS i FROM inner_sizes),
+superfluous AS (
+  SELECT DISTINCT p.lang, p.phrase FROM inner_places c
+  JOIN counts p ON p.lang = c.lang AND p.phrase = array_to_string(c.w[c.i:c.i + c.m - 1], ' ') WHERE 100 * c.f >= 80 * p.f),
+ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank
+  FROM weakest w ANTI JOIN superfluous s USING (lang, phrase))
+SELECT lang, rank, phrase, f AS a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op11_phrase_mining": PHRASE_SQL, "op13_chat_formatting": CHAT_SQL}
