@@ -287,6 +287,8 @@ def shards(docs: DataFrame, tables: list[tuple[bytes, int]], ranges: Ranges) ->
 def _by_range(items, ranges: Ranges) -> Iterator[pa.RecordBatch]:
     """Transducers of the counted keys, one for each range."""
     items = sorted(items)
+    if not items:
+        return
     own = range_of([key for key, _ in items], ranges)
     order = np.argsort(own, kind="stable")
     cuts = np.flatnonzero(np.diff(own[order])) + 1
