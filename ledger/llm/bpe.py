@@ -1,7 +1,8 @@
 """BPE encoding and decoding by prefix-sharing trie traversal.
 
-Spark deals out the documents; inside a task the distinct words of a batch are inserted
-into a trie and every prefix is encoded once, depth first, by its *last token*:
+Spark deals out the documents; inside a task the distinct new words of a batch, put in
+order, are a trie read depth first: a word shares the states on the path of the word before
+it as far as the two begin alike, and every prefix is encoded once, by its *last token*:
 
 * the encoding of a prefix is the encoding of a shorter prefix plus one last token;
 * the last token of a prefix is the one vocabulary token that ends it and is compatible
@@ -16,13 +17,11 @@ stay as they are.
 A prefix's state is its last token and the place where that begins; a word's encoding is
 read backwards along its path, so memory is linear in the letters of a word however long.
 
-The trie lives in the Python worker and survives its tasks.  At ``MAX_NODES`` nodes it is
-dropped and grown anew, also within a batch; pieces of more than ``LONG`` characters, which
-share their prefixes with nothing, keep their states in flat arrays outside it.  Finished
-words are kept in two generations of at most ``MAX_WORDS`` (a word that is met again moves
-to the younger one, the older one is dropped when the younger is full); both are dropped
-where a batch brings the younger one over ``MAX_LETTERS`` characters.  So beside its current
-batch a worker holds a bounded amount whatever the corpus holds.
+Only the path of the current word is held, never the whole trie.  Finished words are kept
+for later batches of the task in two generations of at most ``MAX_WORDS`` (a word that is
+met again moves to the younger one, the older one is dropped when the younger is full);
+both are dropped where a batch brings the younger one over ``MAX_LETTERS`` characters.  When
+the task ends all of it goes (``rest``): an idle worker holds the vocabulary alone.
 
 Defined results: NULL text encodes like the empty text (no ids, empty decoded text);
 repeated rows give repeated results; only the id and text columns are read, so further
@@ -39,32 +38,27 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-MAX_NODES = 600_000
-MAX_WORDS, MAX_LETTERS = 250_000, 8_000_000
-LONG = 1_000
+# Bounds of what a task keeps between batches: words of a generation and their characters
+# (about 200 bytes a word), and pairs of tokens that were compared.
+MAX_WORDS, MAX_LETTERS = 250_000, 4_000_000
+MAX_PAIRS = 150_000
 
 # Splitting rules of the vocabulary's own file (fixed values).
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
 
-def newer_characters() -> regex.Pattern:
-    """Finds characters that Python's own Unicode tables do not know yet: for texts that
-    hold one, the library's tables decide on case and letters."""
+def newer_characters() -> frozenset[str]:
+    """Characters that Python's own Unicode tables do not know yet: for texts that hold one,
+    the library's tables decide on case and letters."""
     known = regex.compile(r"[^\p{Cn}\p{Cs}]")
-    spans: list[list[int]] = []
-    for c in range(0x110000):
-        if unicodedata.category(chr(c)) == "Cn" and known.match(chr(c)):
-            if spans and spans[-1][1] == c - 1:
-                spans[-1][1] = c
-            else:
-                spans.append([c, c])
-    return regex.compile("[" + "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in spans) + "]") if spans else regex.compile(r"(?!)")
+    return frozenset(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn" and known.match(c))
 
 
 def byte_alphabet() -> list[str]:
@@ -75,11 +69,6 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in keep else chr(next(spare)) for b in range(256)]
 
 
-# A trie node: (children by character, last token of the prefix, where that token begins).
-# Nodes hold no link upwards, so a dropped trie is freed at once.
-Node = tuple[dict, int, int]
-
-
 class TrieEncoder:
     """Encodes words against a vocabulary with word ends, prefix by prefix.
 
@@ -104,16 +93,16 @@ class TrieEncoder:
                 names.append(a + b)
         self.names = names
         self.out_ids = [vocab[s] for s in names]
-        self.strings = {i: s for s, i in vocab.items()} | {i: s for s, i in self.specials.items()}
+        strings = {i: s for s, i in vocab.items()} | {i: s for s, i in self.specials.items()}
+        self.strings = pa.array([strings.get(i) for i in range(max(strings, default=-1) + 1)], pa.string())
         self.inner = self._backward({s: k for s, k in number.items() if not s.endswith(WORD_END)})
         self.final = self._backward({s[: -len(WORD_END)]: k for s, k in number.items() if s.endswith(WORD_END)})
         self.alphabet = byte_alphabet()
-        self.fits: dict[tuple[int, int], bool] = {}
         self.piece = regex.compile(PIECE)
         self.newer = newer_characters()
-        self.library = Tokenizer.from_str(vocabulary)
+        self.vocabulary = vocabulary
         self.special = regex.compile("|".join(regex.escape(s) for s in self.specials)) if self.specials else None
-        self.reset()
+        self.rest()
 
     @staticmethod
     def _backward(table: dict[str, int]) -> dict:
@@ -127,10 +116,21 @@ class TrieEncoder:
             at[""] = k
         return root
 
-    def reset(self) -> None:
-        self.root, self.nodes, self.letters = ({}, -1, 0), 0, 0
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+    def rest(self) -> None:
+        """Drop all but the vocabulary."""
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.letters = 0
+        self.fits: dict[int, bool] = {}
+        self.path, self.tokens, self.begins = "", [-1], [0]
+        self._library = None
+
+    @property
+    def library(self) -> Tokenizer:
+        """The library's own normalizer and splitter, built where a text needs them."""
+        if self._library is None:
+            self._library = Tokenizer.from_str(self.vocabulary)
+        return self._library
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two tokens stay as they are side by side.
@@ -176,31 +176,26 @@ class TrieEncoder:
         for token, at in reversed(found):
             if at == 0:
                 return token, 0
-            pair = (tokens[at], token)
+            pair = tokens[at] << 32 | token
             ok = fits.get(pair)
             if ok is None:
-                ok = fits[pair] = self.compatible(*pair)
+                ok = fits[pair] = self.compatible(tokens[at], token)
             if ok:
                 return token, at
         raise ValueError("the vocabulary cannot spell this word")
 
     def _insert(self, piece: str) -> list[int]:
-        """Walk (and where missing build) the trie along ``piece``; its full encoding."""
-        if len(piece) > LONG:
-            tokens, begins = self._long(piece)
-        else:
-            if self.nodes > MAX_NODES:
-                self.root, self.nodes = ({}, -1, 0), 0
-            node = self.root
-            tokens, begins = [-1], [0]
-            for k, c in enumerate(piece[:-1], 1):
-                child = node[0].get(c)
-                if child is None:
-                    child = node[0][c] = ({}, *self._last(tokens, piece, k, self.inner))
-                    self.nodes += 1
-                node = child
-                tokens.append(node[1])
-                begins.append(node[2])
+        """Go from the path of the piece before to that of ``piece``; its full encoding."""
+        path, tokens, begins = self.path, self.tokens, self.begins
+        shared, most = 0, min(len(path), len(piece) - 1)
+        while shared < most and path[shared] == piece[shared]:
+            shared += 1
+        del tokens[shared + 1:], begins[shared + 1:]
+        for k in range(shared + 1, len(piece)):
+            token, at = self._last(tokens, piece, k, self.inner)
+            tokens.append(token)
+            begins.append(at)
+        self.path = piece[:-1]
         token, at = self._last(tokens, piece, len(piece), self.final)
         out = [token]
         while at:
@@ -209,15 +204,6 @@ class TrieEncoder:
         out.reverse()
         return out
 
-    def _long(self, piece: str) -> tuple[array, array]:
-        """The states of a long piece's prefixes, kept outside the trie."""
-        tokens, begins = array("i", [-1]), array("i", [0])
-        for k in range(1, len(piece)):
-            token, at = self._last(tokens, piece, k, self.inner)
-            tokens.append(token)
-            begins.append(at)
-        return tokens, begins
-
     def learn(self, words: set[str]) -> None:
         """Encode distinct ``words`` not met before, in sorted (depth-first) order."""
         split: dict[str, list[str]] = {}
@@ -229,14 +215,16 @@ class TrieEncoder:
             else:
                 letters = self.alphabet
                 split[w] = ["".join([letters[b] for b in p.encode()]) for p in self.piece.findall(w)]
-        ids = {p: self._insert(p) for p in sorted({p for ps in split.values() for p in ps})}
-        names, out = self.names, self.out_ids
+        out = self.out_ids
+        ids = {p: array("i", [out[t] for t in self._insert(p)]).tobytes() for p in sorted({p for ps in split.values() for p in ps})}
+        self.path, self.tokens, self.begins = "", [-1], [0]
         for w, ps in split.items():
-            if not ps and w[0] == " ":
-                self.words[w] = (array("i", [self.specials[w[1:]]]).tobytes(), w[1:])
+            if len(ps) == 1:
+                self.words[w] = ids[ps[0]]
+            elif ps or w[0] != " ":
+                self.words[w] = b"".join([ids[p] for p in ps])
             else:
-                tokens = ids[ps[0]] if len(ps) == 1 else [t for p in ps for t in ids[p]]
-                self.words[w] = (array("i", [out[t] for t in tokens]).tobytes(), " ".join([names[t] for t in tokens]))
+                self.words[w] = array("i", [self.specials[w[1:]]]).tobytes()
 
     # -- texts -----------------------------------------------------------------------
 
@@ -248,7 +236,7 @@ class TrieEncoder:
     def _plain(self, text: str) -> list[str]:
         """The words of a text without special tokens.  A word that begins with a blank is
         one ready piece, cut by the library's own Unicode tables."""
-        if not text.isascii() and self.newer.search(text):
+        if not text.isascii() and not self.newer.isdisjoint(text):
             pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             return [" " + p for p, _ in pieces]
         if ODD.search(text):
@@ -265,9 +253,8 @@ class TrieEncoder:
             at = m.end()
         return words + self._plain(text[at:])
 
-    def encode_batch(self, texts: list[str | None]) -> list[tuple[np.ndarray, str]]:
-        """Ids, and the decoded text (token strings joined by a blank: the vocabulary's file
-        names no decoder), of each text."""
+    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
         split = [self.split(t) for t in texts]
         known, older, new = self.words, self.older, set()
         for w in set().union(*split).difference(known):
@@ -278,26 +265,26 @@ class TrieEncoder:
                 new.add(w)
         self.learn(new)
         self.letters += sum(map(len, new))
-        out = []
-        for words in split:
-            got = [*map(known.__getitem__, words)]
-            out.append((np.frombuffer(b"".join([g[0] for g in got]), "<i4"), " ".join([g[1] for g in got])))
+        out = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4") for words in split]
         if self.letters > MAX_LETTERS:
             # The words of one batch may be any size: they are not kept.
             self.words, self.older, self.letters = {}, {}, 0
         elif len(known) > MAX_WORDS:
             self.words, self.older, self.letters = {}, known, 0
-        if self.nodes > MAX_NODES:
-            self.root, self.nodes = ({}, -1, 0), 0
-        if len(self.fits) > MAX_NODES:
+        if len(self.fits) > MAX_PAIRS:
             self.fits = {}
         return out
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, str]:
+    def encode(self, text: str | None) -> np.ndarray:
         return self.encode_batch([text])[0]
 
+    def decode_batch(self, ids: pa.ListArray) -> pa.Array:
+        """The decoded texts: token strings joined by a blank, as the vocabulary's file names
+        no decoder."""
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.strings.take(ids.values)), " ")
+
     def decode(self, ids) -> str:
-        return " ".join([self.strings[int(i)] for i in ids])
+        return self.decode_batch(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
 
 
 # White space of the splitting rule, where str.split() has a wider idea of it.
@@ -308,7 +295,7 @@ _ENCODERS: dict[int, TrieEncoder] = {}
 
 
 def _encoder(vocabulary: str) -> TrieEncoder:
-    """One encoder a worker: it outlives the task, so later tasks find its trie."""
+    """One encoder a worker: its vocabulary outlives the task."""
     key = hash(vocabulary)
     if key not in _ENCODERS:
         _ENCODERS.clear()
@@ -331,13 +318,14 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
         try:
             for batch in batches:
                 got = encoder.encode_batch(batch.column(1).to_pylist())
-                ends = np.cumsum([0, *(len(g[0]) for g in got)]).astype("i4")
-                flat = np.concatenate([g[0] for g in got]) if got else np.zeros(0, "i4")
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())),
-                     pa.array([g[1] for g in got], pa.string())], ["id", "ids", "decoded"])
+                ends = np.cumsum([0, *map(len, got)]).astype("i4")
+                flat = np.concatenate(got) if got else np.zeros(0, "i4")
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), ids, encoder.decode_batch(ids)], ["id", "ids", "decoded"])
         finally:
+            encoder.rest()
             gc.enable()
+            pa.default_memory_pool().release_unused()
 
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
