@@ -32,8 +32,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledger.llm.common import staged, unit_hash
-from ledger.llm.pii import matches
+from ledger.llm.common import let, staged, unit_hash
+from ledger.llm.pii import chunked, matches, surroundings
 
 # At most this many labelled findings train the forest; more are thinned by a hash.
 SAMPLE_ROWS = 20_000
@@ -97,10 +97,9 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), path.alias("path"))
-    near = lambda x: F.struct(
-        x["s"].alias("start"), x["e"].alias("end"), x["m"].alias("found"),
-        F.substring("text", F.greatest(x["s"] - AROUND, F.lit(0)) + 1, F.least(x["s"], F.lit(AROUND))).alias("before"),
-        F.substring("text", x["e"] + 1, F.lit(AROUND)).alias("after"))
+    def near(chunks: Column, x: Column) -> Column:
+        before, after = surroundings(chunks, x, AROUND)
+        return F.struct(x["s"].alias("start"), x["e"].alias("end"), x["m"].alias("found"), before.alias("before"), after.alias("after"))
 
     def value(x: Column) -> Column:
         """The match without the name it is assigned to and without full stops that end it."""
@@ -109,8 +108,11 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         bare = F.regexp_replace(bare, r"(?<![.])[.]++$", "")
         return F.struct(start.alias("s"), (start + F.length(bare)).alias("e"), bare.alias("m"))
 
-    found = F.filter(F.transform(matches(F.col("text"), CANDIDATE), value), lambda x: F.length(x["m"]) > 0)
-    rows = rows.select("id", "path", F.explode(F.transform(found, near)).alias("x")).select("id", "path", "x.*")
+    def found(t: Column) -> Column:
+        values = F.filter(F.transform(matches(t, CANDIDATE), value), lambda x: F.length(x["m"]) > 0)
+        return let(chunked(t), lambda c: F.transform(values, lambda x: near(c, x)))
+
+    rows = rows.select("id", "path", F.explode(let(F.col("text"), found)).alias("x")).select("id", "path", "x.*")
     f = described(F.col("found"), F.col("before"), F.col("after"), F.col("path"))
     return rows.select("id", "start", "end", F.sha2("found", 256).alias("sha256"), F.col("found").rlike(ISSUER_FORMS).alias("issuer_form"),
                        F.col("found").rlike(DIGEST_FORMS).alias("digest_form"),
