@@ -21,9 +21,10 @@ At 0.85 there are 36 bands of 7, at 0.80 46 bands of 6.
 
 Defined results: NULL, empty and blank texts have no shingles and are linked with nothing;
 a text of fewer words than a shingle is one shingle of all its words; rows that repeat an
-id are one node of the graph and each keep their row; only the id and the text column are
-read, other columns may have any name; a row without an id is linked with nothing and has no component; an empty table gives an
-empty result.
+id with different sets are different nodes of the graph (``node``), each linked by its own
+text, and all rows keep theirs; only the id and the text column are read, other columns may
+have any name; a row without an id is linked with nothing and has no component; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -129,9 +130,20 @@ def band_keys(low: np.ndarray, least: int = LEAST) -> np.ndarray:
     return mix((low[:seeds.size].reshape(seeds.shape) * seeds).sum(axis=1, dtype=np.uint64) + np.arange(len(seeds), dtype=np.uint64))
 
 
+def name_of(own: np.ndarray) -> tuple[int, int]:
+    """A set's 128-bit name."""
+    spread = mix(own + np.uint64(0x51ED270B))
+    return tuple(np.array([spread.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(spread))]).view(np.int64).tolist())
+
+
+def text_hash(text: Column) -> Column:
+    """Tells rows of one id apart that differ in their text."""
+    return F.xxhash64(text.cast("string"))
+
+
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
-    """``id, n, s1, s2, sig, bands`` of every row: size, 128-bit name, signature and band
-    keys of its set (no signature and no bands for an empty set)."""
+    """``id, v, n, s1, s2, sig, bands`` of every row: the text's hash, and size, 128-bit name,
+    signature and band keys of its set (no signature and no bands for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,27 +152,25 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
                 if not len(own):
                     cells.append((0, None, None, None, None))
                     continue
-                low, spread = minima(own, least), mix(own + np.uint64(0x51ED270B))
-                name = np.array([spread.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(spread))]).view(np.int64)
-                cells.append((len(own), int(name[0]), int(name[1]), signature(low).view(np.int64), band_keys(low, least).view(np.int64)))
+                low = minima(own, least)
+                cells.append((len(own), *name_of(own), signature(low).view(np.int64), band_keys(low, least).view(np.int64)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([c[k] for c in cells], t) for k, t in enumerate(kinds))],
-                                             ["id", "n", "s1", "s2", "sig", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array([c[k] for c in cells], t) for k, t in enumerate(kinds))],
+                                             ["id", "v", "n", "s1", "s2", "sig", "bands"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id bigint, n bigint, s1 bigint, s2 bigint, sig array<bigint>, bands array<bigint>")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), text_hash(F.col(text_col)).alias("v"))
+    return rows.mapInArrow(run, "id bigint, v bigint, n bigint, s1 bigint, s2 bigint, sig array<bigint>, bands array<bigint>")
 
 
-def full_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, own``: the whole shingle set of every row of ``docs``."""
+def full_sets(docs: DataFrame) -> DataFrame:
+    """``id, v, own``: the whole shingle set of every row of ``docs(id, v, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [s.view(np.int64) for s in shingle_sets(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], ["id", "own"])
+            own = [s.view(np.int64) for s in shingle_sets(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int64()))], ["id", "v", "own"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id bigint, own array<bigint>")
+    return docs.select("id", "v", "text").mapInArrow(run, "id bigint, v bigint, own array<bigint>")
 
 
 def agreeing_bits(a: Column, b: Column) -> Column:
@@ -266,10 +276,16 @@ def links_of(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, le
     rows = staged(keyed.join(shared, "key"), "buckets")
     active = staged(rows.select("id").distinct(), "active")
     # A list of ids of checked size goes to the tasks, so the other texts are not shuffled.
-    if active.count() <= BROADCAST_IDS:
+    few = active.count() <= BROADCAST_IDS
+    if few:
         active = F.broadcast(active)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(active, "id", "left_semi")
-    sets = staged(full_sets(texts, "id", "text").dropDuplicates(["id"]), "sets")
+    # A class's text is that of the row it was named by: its id and the text's hash.
+    wanted = staged(classes.join(active, "id", "left_semi").select("id", "class_id", "v"), "wanted")
+    if few:
+        wanted = F.broadcast(wanted)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), text_hash(F.col(text_col)).alias("h"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.join(wanted, (F.col("doc") == F.col("class_id")) & (F.col("h") == F.col("v"))).select("id", "v", "text")
+    sets = staged(full_sets(texts).select("id", "own").dropDuplicates(["id"]), "sets")
     near = staged(classes.join(active, "id", "left_semi").select("id", "n", "sig"), "classes")
 
     large = staged(rows.where(F.col("c") > SMALL).select("key", "id"), "large")
@@ -282,32 +298,59 @@ def links_of(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, le
     return staged(links.union(confirmed(_prefix_pairs(sets, members, least), near, sets, least)), "links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
-    """``id_col, n_shingles, class_id, component_id`` of every row."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
+    """``id, v, n, class_id, node, comp, smallest`` of every row: its class, named by the
+    smallest id and that row's text, and its component's number and smallest id (NULL where
+    the class stands alone).
+
+    ``node`` is the class's number in the graph: its smallest id, and where several classes
+    have the same one (an id that repeats with different texts) a hash of id and set."""
     sketch = staged(sketches(docs, id_col, text_col, least), "sketches")
     named = sketch.where("n > 0 and id is not null")
-    classes = named.groupBy("s1", "s2", "n").agg(F.min("id").alias("class_id"))
-    member = sketch.select("id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left")
-    member = member.select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"))
-    chosen = named.join(classes.select("class_id").withColumnRenamed("class_id", "id"), "id", "left_semi").dropDuplicates(["id"])
-    links = links_of(staged(chosen.select("id", "n", "sig", "bands"), "chosen"), docs, id_col, text_col, least)
-    label = components(links)
-    out = member.join(label.withColumnRenamed("id", "class_id"), "class_id", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "class_id",
-                      F.coalesce("comp", "class_id").alias("component_id"))
+    key = ["s1", "s2", "n"]
+    classes = named.groupBy(*key).agg(F.min(F.struct("id", "v")).alias("first")).select(*key, F.col("first.id").alias("class_id"), F.col("first.v").alias("v"))
+    classes = staged(classes, "named")
+    several = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("class_id", F.lit(True).alias("several"))
+    several = staged(several, "several")
+    node = F.when(F.col("several"), F.xxhash64("class_id", *key)).otherwise(F.col("class_id"))
+    classes = staged(classes.join(several, "class_id", "left").select(*key, "class_id", "v", node.alias("node")), "nodes")
+    member = sketch.select("id", "v", *key).join(classes.select(*key, "class_id", "node"), key, "left")
+    alone = F.col("id").isNotNull()
+    member = member.select("id", "v", "n", F.when(alone, F.coalesce("class_id", "id")).alias("class_id"), F.when(alone, F.col("node")).alias("node"))
+    # The row that names a class has its sketch; equal rows give it once.
+    chosen = named.withColumnRenamed("id", "class_id").join(classes, [*key, "class_id", "v"]).dropDuplicates(["node"])
+    chosen = staged(chosen.select(F.col("node").alias("id"), "class_id", "v", "n", "sig", "bands"), "chosen")
+    label = components(links_of(chosen, docs, id_col, text_col, least)).join(chosen.select("id", "class_id"), "id")
+    smallest = label.groupBy("comp").agg(F.min("class_id").alias("smallest"))
+    label = staged(label.select(F.col("id").alias("node"), "comp").join(smallest, "comp"), "components")
+    return member.join(label, "node", "left").select("id", "v", "n", "class_id", "node", "comp", "smallest")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
+    """``id_col, n_shingles, class_id, component_id`` of every row."""
+    return grouped(docs, id_col, text_col, least).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "class_id",
+                      F.coalesce("smallest", "class_id").alias("component_id"))
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_COPY) -> DataFrame:
-    """``docs`` with one row of each component (its smallest id) and every row without an id.
-
-    Only the ids to drop meet the texts.  Rows that repeat an id are thinned to one where
-    there are any."""
-    got = staged(near_duplicates(docs, id_col, text_col, least), "duplicates")
-    drop = staged(got.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "dropped")
-    kept = docs.join(drop, id_col, "left_anti")
-    repeats = got.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(id_col)
-    repeats = staged(repeats, "repeats")
+    """``docs`` with one row of each component (its smallest id, of several texts under that id
+    the one with the smallest hash), every row without a word and every row without an id.
+
+    Only ids and hashes of the rows to drop meet the texts.  Rows equal in id and text are
+    thinned to one where there are any; rows of one id whose texts differ are only dropped
+    for being copies."""
+    got = staged(grouped(docs, id_col, text_col, least).where("id is not null"), "grouped")
+    group = F.coalesce("comp", "node")
+    linked = got.where("node is not null").select("id", "v", group.alias("g"))
+    first = linked.groupBy("g").agg(F.min(F.struct("id", "v")).alias("first"), F.count(F.lit(1)).alias("c"))
+    first = staged(first.where("c > 1"), "first")
+    drop = linked.join(first, "g").where(F.struct("id", "v") != F.col("first")).select("id", "v").distinct()
+    drop = staged(drop.select(F.col("id").alias("__id"), F.col("v").alias("__v")), "dropped")
+    same = (F.col(id_col).cast("long") == F.col("__id")) & (text_hash(F.col(text_col)) == F.col("__v"))
+    kept = docs.join(drop, same, "left_anti")
+    repeats = got.groupBy("id", "v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    repeats = staged(repeats.select(F.col("id").alias("__id"), F.col("v").alias("__v")), "repeats")
     if not repeats.isEmpty():
-        several = kept.join(repeats, id_col, "left_semi").dropDuplicates([id_col])
-        kept = kept.join(repeats, id_col, "left_anti").unionByName(several)
+        several = kept.join(repeats, same, "left_semi").withColumn("__v", text_hash(F.col(text_col))).dropDuplicates([id_col, "__v"]).drop("__v")
+        kept = kept.join(repeats, same, "left_anti").unionByName(several)
     return kept.select(*docs.columns)

@@ -115,6 +115,30 @@ def test_pairs_that_just_reach_the_similarity_share_a_band():
             assert (minhash.band_keys(a, least) == minhash.band_keys(b, least)).any()
 
 
+def repeated_ids(rng):
+    """Ids that stand for several texts: unrelated ones, near copies, equal rows."""
+    text = lambda t: " ".join(f"{t}w{k}" for k in range(60))
+    near = lambda t, j: " ".join(f"x{j}" if k == 30 else f"{t}w{k}" for k in range(60))
+    rows = [(1, text("a")), (1, text("b")), (1, text("a")), (2, near("b", 1)), (3, text("c")), (3, near("c", 2)), (4, near("c", 3)), (5, text("d")), (5, ""),
+            (5, ""), (5, None), (6, near("a", 4)), (6, text("e")), (7, text("e") + " ")]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_no_text_is_lost_where_an_id_repeats(make):
+    rng = random.Random(5)
+    for parts in (1, 7):
+        rows = repeated_ids(rng)
+        docs = make(rows).repartition(parts)
+        got = {}
+        for r in minhash.near_duplicates(docs, least=80).collect():
+            got.setdefault(r.doc_id, set()).add(r.component_id)
+        assert got == {1: {1}, 2: {1}, 3: {3}, 4: {3}, 5: {5}, 6: {1, 6}, 7: {6}}
+        kept = sorted((r.doc_id, (r.text or "")[:2]) for r in minhash.without_copies(docs).collect())
+        assert [(i, t) for i, t in kept if i not in (3, 6)] == [(1, "aw"), (1, "bw"), (5, ""), (5, ""), (5, "dw")]
+        assert [i for i, _ in kept if i == 3] == [3] and [t for i, t in kept if i == 6] == ["ew"]
+
+
 def test_the_pipeline_drops_copies_from_0_80_on(spark, make):
     """Two of 100 words changed leave 86 of 106 shingles (0.81); three leave 81 of 111 (0.73)."""
     import corpus_pipeline
