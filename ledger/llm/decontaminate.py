@@ -16,9 +16,10 @@ Words are compared lower-cased (A-Z) and without ASCII punctuation.
 
 Defined results: NULL and empty texts or items match nothing; an item of fewer words than
 a seed is looked for whole (``item_words`` tells such matches, the pipeline drops nothing for
-them); equal matches are taken in the order of their places; repeated
-rows give repeated results, except that rows with the same id are taken as one document
-and rows without an id match nothing; only the named columns are read; empty tables give an empty result.
+them); equal matches are taken in the order of their places; rows
+that repeat an id with different texts are documents of their own, rows equal in id and text
+are taken once; rows without an id match nothing; of items that repeat an id each text is an
+item of its own; only the named columns are read; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -31,19 +32,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledger.llm.bits import bit_table, held
 from ledger.llm.common import staged
 from ledger.llm.hashing import FOLD_ALNUM, shingles, word_hashes
 
 SEED = 5
 COVERAGE = 0.6
-# Bits of the seed table: 16 a seed, between these bounds (a table of 16 MB at most).
-LEAST_BITS, MOST_BITS = 16, 27
 
 
 def _runs(words: np.ndarray, size: int) -> np.ndarray:
     return shingles(words, min(size, len(words))) if len(words) else np.zeros(0, np.uint64)
 
 
+def keyed(rows: DataFrame, id_col: str, text_col: str, key: str, text: str) -> DataFrame:
+    """``key struct<id, v>, text``: a row is named by its id and its text's hash, so texts that
+    repeat an id stay apart.  Rows without an id are left out."""
+    whole = F.col(text_col).cast("string")
+    return rows.where(F.col(id_col).isNotNull()).select(F.struct(F.col(id_col).alias("id"), F.xxhash64(whole).alias("v")).alias(key), whole.alias(text))
+
+
 def item_seeds(items: DataFrame, id_col: str, text_col: str, size: int = SEED) -> DataFrame:
     """``item, n_words, place, seed``: each run of ``size`` words of each item."""
 
@@ -58,25 +65,8 @@ def item_seeds(items: DataFrame, id_col: str, text_col: str, size: int = SEED) -
                     [pa.array([item] * n, batch.column(0).type), pa.array([int(b - a)] * n, pa.int64()), pa.array(np.arange(n), pa.int64()),
                      pa.array(seeds.view(np.int64))], ["item", "n_words", "place", "seed"])
 
-    kind = items.schema[id_col].dataType.simpleString()
-    rows = items.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"item {kind}, n_words bigint, place bigint, seed bigint")
-
-
-def seed_table(seeds: DataFrame) -> tuple[bytes, int]:
-    """A bit table over the seeds' hashes; its size follows their number up to 16 MB.
-
-    Built where the seeds are: tasks send the bits they set, grouped by byte.
-    """
-    n = seeds.count()
-    bits = min(MOST_BITS, max(LEAST_BITS, int(max(n, 1) * 16 - 1).bit_length()))
-    slot = F.shiftrightunsigned(F.col("seed"), 64 - bits)
-    masks = F.array(*(F.lit(1 << k) for k in range(8)))
-    cells = seeds.groupBy(F.shiftright(slot, 3).alias("at")).agg(F.bit_or(masks[slot.bitwiseAND(F.lit(7)).cast("int")]).alias("set"))
-    table = np.zeros(1 << (bits - 3), np.uint8)
-    for at, value in cells.toLocalIterator():
-        table[at] = value
-    return table.tobytes(), bits
+    rows = keyed(items, id_col, text_col, "item", "text").dropDuplicates(["item"])
+    return rows.mapInArrow(run, f"item {rows.schema['item'].dataType.simpleString()}, n_words bigint, place bigint, seed bigint")
 
 
 def matching_runs(docs: DataFrame, table: bytes, bits: int, short: list[int], id_col: str, text_col: str, size: int = SEED) -> DataFrame:
@@ -86,22 +76,19 @@ def matching_runs(docs: DataFrame, table: bytes, bits: int, short: list[int], id
     sizes = sorted({size, *short})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.frombuffer(shipped.value, np.uint8)
         for batch in batches:
             words, offsets = word_hashes(batch.column(1), FOLD_ALNUM)
             for k in sizes:
                 runs = shingles(words, k)
-                slot = runs >> np.uint64(64 - bits)
-                hits = np.flatnonzero((cells[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
+                hits = np.flatnonzero(held(shipped.value, bits, runs))
                 doc = np.searchsorted(offsets, hits, "right") - 1
                 whole = hits + k <= offsets[doc + 1]
                 both = np.unique(np.stack([doc[whole].astype(np.uint64), runs[hits[whole]]]), axis=1) if whole.any() else np.zeros((2, 0), np.uint64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(both[0].astype(np.int64))), pa.array(both[1].view(np.int64))],
                                                  ["doc", "seed"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc {kind}, seed bigint")
+    rows = keyed(docs, id_col, text_col, "doc", "text")
+    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, seed bigint")
 
 
 def tiles(test: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -153,12 +140,12 @@ def tiles(test: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int
     return found
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text: str = "text", size: int = SEED, coverage: float = COVERAGE) -> DataFrame:
-    """``id_col, item_col, n_tiles, covered, item_words, coverage`` of each pair of a document
-    and an item whose tiles cover at least ``coverage`` of the item."""
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, size: int,
+                 coverage: float) -> DataFrame:
+    """``doc, item, n_tiles, covered, item_words, coverage`` of the pairs, documents and items
+    named by id and text."""
     seeds = staged(item_seeds(items, item_col, item_text, size), "seeds")
-    table, bits = seed_table(seeds)
+    table, bits = bit_table(seeds, "seed", seeds.count())
     short = [r[0] for r in seeds.where(F.col("n_words") < size).select("n_words").distinct().collect()]
     hits = matching_runs(docs, table, bits, short, id_col, text_col, size)
     # An item's words that a shared seed covers: places as intervals, merged per pair.
@@ -168,9 +155,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         "at", F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).cast("bigint").alias("end")),
         lambda s, x: F.struct((s["sum"] + x + step - F.greatest(s["end"], x)).alias("sum"), (x + step).alias("end")), lambda s: s["sum"])
     pairs = staged(pairs.where(bound >= F.col("n_words") * coverage).select("doc", "item"), "pairs")
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).join(pairs.select("doc").distinct(), "doc", "left_semi")
+    texts = keyed(docs, id_col, text_col, "doc", "text").join(pairs.select("doc").distinct(), "doc", "left_semi")
     texts = texts.dropDuplicates(["doc"])
-    tests = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("test")).dropDuplicates(["item"])
+    tests = keyed(items, item_col, item_text, "item", "test").dropDuplicates(["item"])
     joined = pairs.join(tests, "item").join(texts, "doc").select("doc", "item", "test", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,8 +173,25 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                 [batch.column(0), batch.column(1), *(pa.array([o[c] for o in out], pa.int64()) for c in range(3))],
                 ["doc", "item", "n_tiles", "covered", "item_words"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    item_kind = items.schema[item_col].dataType.simpleString()
-    got = joined.mapInArrow(run, f"doc {kind}, item {item_kind}, n_tiles bigint, covered bigint, item_words bigint")
-    got = got.withColumn("coverage", F.col("covered") / F.col("item_words")).where(F.col("coverage") >= coverage)
-    return got.withColumnRenamed("doc", id_col).withColumnRenamed("item", item_col)
+    doc, item = joined.schema["doc"].dataType.simpleString(), joined.schema["item"].dataType.simpleString()
+    got = joined.mapInArrow(run, f"doc {doc}, item {item}, n_tiles bigint, covered bigint, item_words bigint")
+    return got.withColumn("coverage", F.col("covered") / F.col("item_words")).where(F.col("coverage") >= coverage)
+
+
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                  item_text: str = "text", size: int = SEED, coverage: float = COVERAGE) -> DataFrame:
+    """``id_col, item_col, n_tiles, covered, item_words, coverage`` of each pair of a document
+    and an item whose tiles cover at least ``coverage`` of the item."""
+    got = contaminated(docs, items, id_col, text_col, item_col, item_text, size, coverage)
+    return got.select(F.col("doc.id").alias(id_col), F.col("item.id").alias(item_col), "n_tiles", "covered", "item_words", "coverage")
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                         item_text: str = "text", size: int = SEED, coverage: float = COVERAGE) -> DataFrame:
+    """``docs`` without those that hold an item of ``size`` words or more; shorter items stand
+    in clean texts too and drop nothing.  Of rows that repeat an id only those whose own
+    text holds the item go."""
+    found = contaminated(docs, items, id_col, text_col, item_col, item_text, size, coverage).where(F.col("item_words") >= size)
+    found = staged(found.select(F.col("doc.id").alias("__id"), F.col("doc.v").alias("__v")).distinct(), "contaminated")
+    same = (F.col(id_col) == F.col("__id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__v"))
+    return docs.join(found, same, "left_anti").select(*docs.columns)

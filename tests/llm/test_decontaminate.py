@@ -103,3 +103,16 @@ def test_the_pipeline_keeps_documents_that_hold_short_items_only(spark, make, tm
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = make([(1, "We went to Paris in May"), (2, "yes, of course"), (3, "count one two three four five in Paris"), (4, "nothing")])
     assert sorted(r.doc_id for r in corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect()) == [1, 2, 4]
+
+
+def test_texts_that_repeat_an_id_are_judged_each_by_itself(spark, make, tmp_path):
+    import corpus_pipeline
+
+    item = " ".join(f"q{k}" for k in range(12))
+    items = spark.createDataFrame([(1, item), (1, " ".join(f"z{k}" for k in range(9)))], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for parts in (1, 6):
+        docs = make([(1, "clean words only here"), (1, f"before {item} after"), (2, " ".join(f"z{k}" for k in range(9))), (1, "clean words only here")]).repartition(parts)
+        got = decontaminate.contamination(docs, items).collect()
+        assert sorted((r.doc_id, r.item_id, r.item_words) for r in got) == [(1, 1, 12), (2, 1, 9)]
+        assert [(r.doc_id, r.text) for r in corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect()] == [(1, "clean words only here")] * 2
