@@ -8,9 +8,9 @@ punctuation and line ends), counted for each language.
    those that reach ``least`` set bits in a table of bounded size, which goes to the tasks of
    the next pass.  A table lets some others pass as well, but never stops a frequent one.
 2. *Shards.*  A task counts the phrases that pass exactly, by their words, and each time it has
-   ``SHARD`` of them sorts them and builds count transducers from them incrementally, one for
-   each prefix range.
-3. *Union.*  The transducers of a range meet in one task, which adds them up state by state, a
+   about ``SHARD`` of them puts them in order and builds count transducers from them, depth by
+   depth, one for each prefix range.
+3. *Union.*  The transducers of a range meet in one task, which adds them up, a
    few at a time; what stays below ``least`` goes, so sums are exact.
 4. *Parts.*  A phrase's counts are looked up for its parts: a range builds an automaton of the
    parts it needs from every other range, that range composes it with its transducer, and
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledger.llm.automata import Automaton, Key
+from ledger.llm.automata import Automaton, Rows, padded, summed
 from ledger.llm.bits import bit_table, held
 from ledger.llm.common import staged
 from ledger.llm.hashing import _powers, mix, text_bytes
@@ -52,7 +52,7 @@ UNKNOWN = "und"
 # Bytes of text looked at together, hashes counted together, phrases of a shard and of a range.
 BLOCK = 1 << 22
 HASHES = 1 << 20
-SHARD = 200_000
+SHARD = 1_500_000
 RANGE = 200_000
 # Transducers of a range that are added up at a time.
 TOGETHER = 8
@@ -185,28 +185,23 @@ class Ranges(NamedTuple):
     hot: dict[int, tuple[int, int]]
 
 
-def _part(h: np.ndarray, count) -> np.ndarray:
+def _part(h: np.ndarray, count: int | np.ndarray) -> np.ndarray:
     """Which of ``count`` equal ranges of 32 high bits a hash lies in."""
-    return (h >> _U(32)) * count.astype(_U) >> _U(32) if isinstance(count, np.ndarray) else (h >> _U(32)) * _U(count) >> _U(32)
-
-
-def range_of(keys: list[Key], ranges: Ranges) -> np.ndarray:
-    """The range of each key ``(language, word, ...)``."""
-    if not keys:
-        return np.zeros(0, np.int64)
-    labels = {label: k for k, label in enumerate({label for key in keys for label in key[:3]})}
-    hashes = label_hashes(list(labels))
-    of = lambda place: np.array([labels[key[place]] if len(key) > place else 0 for key in keys])
-    lang = hashes[of(0)]
-    size = np.array([len(k) for k in keys])
-    first = np.where(size > 1, mix(hashes[of(1)] + lang), lang)
+    return (h >> _U(32)) * np.asarray(count, _U) >> _U(32)
+
+
+def range_of(labels: Sequence[str], rows: Rows, ranges: Ranges) -> np.ndarray:
+    """The range of each sequence ``(language, word, ...)`` of label numbers."""
+    hashes = np.append(label_hashes(labels), _U(0))
+    size = (rows >= 0).sum(axis=1)
+    lang, word = hashes[rows[:, 0]], hashes[rows[:, 1]] if rows.shape[1] > 1 else _U(0)
+    first = np.where(size > 1, mix(word + lang), lang)
     out = _part(first, ranges.count).astype(np.int64)
-    if ranges.hot:
-        hot = np.isin(first, np.fromiter(ranges.hot, _U, len(ranges.hot))) & (size > 2)
-        second = mix(hashes[of(2)] + first)
-        for k in np.flatnonzero(hot).tolist():
-            base, count = ranges.hot[int(first[k])]
-            out[k] = base + (int(second[k]) >> 32) * count // (1 << 32)
+    if ranges.hot and rows.shape[1] > 2:
+        hot = np.flatnonzero(np.isin(first, np.fromiter(ranges.hot, _U, len(ranges.hot))) & (size > 2))
+        second = mix(hashes[rows[hot, 2]] + first[hot])
+        own = np.array([ranges.hot[h] for h in first[hot].tolist()], np.int64).reshape(-1, 2)
+        out[hot] = own[:, 0] + _part(second, own[:, 1]).astype(np.int64)
     return out
 
 
@@ -223,33 +218,60 @@ def plan_ranges(frequent: DataFrame, phrases: int, partitions: int) -> Ranges:
     return Ranges(count, hot)
 
 
-def count_words(words: Words, langs: list[str], lang: np.ndarray, tables: list[tuple[bytes, int]], counts: dict[Key, int]) -> None:
-    """Add a block's phrases to ``counts``, exactly: a phrase is the number of the phrase before
-    its last word and that word, numbered by their bytes."""
-    for k, c in enumerate(np.bincount(words.texts, minlength=len(langs)).tolist()):
-        if c:
-            counts[langs[k],] = counts.get((langs[k],), 0) + c
-    names = {name: k for k, name in enumerate(dict.fromkeys(langs))}
-    by_text = np.array([names[x] for x in langs], np.int64)
-    number = np.full(len(words.hashes), -1, np.int64)
-    spelled: list[str] = []
-    before: list[Key] = [(name,) for name in names]
-    at_before = by_text[words.texts]
-    for k, (at, hashes) in enumerate(passing(words, lang, tables, LONGEST)):
-        good = held(*tables[k], hashes)
-        at = at[good]
-        if not len(at):
+class Counts:
+    """A task's phrases, counted exactly: sequences of the numbers of their labels (the language
+    and the words by their bytes)."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.rows: list[Rows] = []
+        self.counts: list[np.ndarray] = []
+        self.size = 0
+
+    def number(self, labels: Sequence[str]) -> np.ndarray:
+        known = self.numbers
+        return np.array([known.setdefault(label, len(known)) for label in labels], np.int64)
+
+    def take(self, rows: Rows, counts: np.ndarray) -> None:
+        self.rows.append(padded(rows.astype(np.int32), LONGEST + 1))
+        self.counts.append(counts.astype(np.int64))
+        self.size += len(rows)
+
+    def add(self, words: Words, langs: Sequence[str], lang: np.ndarray, tables: list[tuple[bytes, int]]) -> None:
+        """Count a block's phrases that pass; ``langs`` are its texts' languages."""
+        if not len(words.starts):
+            return
+        text_lang = self.number(langs)
+        head, size = np.unique(text_lang[words.texts], return_counts=True)
+        self.take(head[:, None], size)
+        number, before, heads = np.full(len(words.hashes), -1, np.int64), text_lang[words.texts], np.arange(len(self.numbers))[:, None]
+        for k, (at, hashes) in enumerate(passing(words, lang, tables, LONGEST)):
+            at = at[held(*tables[k], hashes)]
+            if not len(at):
+                return
+            if not k:
+                own, spelled = _spelled(words, at)
+                number[at] = self.number(spelled)[own]
+            width = len(self.numbers)
+            pair, which, times = np.unique(before[at] * width + number[at + k], return_inverse=True, return_counts=True)
+            heads = np.hstack([heads[pair // width], (pair % width)[:, None]])
+            before = np.full(len(words.hashes), -1, np.int64)
+            before[at] = which
+            self.take(heads, times)
+
+    def merge(self) -> None:
+        rows, counts = summed(np.vstack(self.rows), np.concatenate(self.counts))
+        self.rows, self.counts, self.size = [rows], [counts], len(rows)
+
+    def by_range(self, ranges: Ranges) -> Iterator[pa.RecordBatch]:
+        """One transducer for each range."""
+        if not self.size:
             return
-        if not k:
-            number[at], spelled = _spelled(words, at)
-        width = len(spelled)
-        own, which, times = np.unique(at_before[at] * width + number[at + k], return_inverse=True, return_counts=True)
-        keys = [(*before[p], spelled[w]) for p, w in zip((own // width).tolist(), (own % width).tolist())]
-        for key, c in zip(keys, times.tolist()):
-            counts[key] = counts.get(key, 0) + c
-        at_before = np.full(len(words.hashes), -1, np.int64)
-        at_before[at] = which
-        before = keys
+        labels = sorted(self.numbers)
+        place = np.full(len(labels) + 1, -1, np.int32)
+        place[self.number(labels)] = np.arange(len(labels))
+        rows, counts = summed(place[np.vstack(self.rows)], np.concatenate(self.counts))
+        yield from _by_range(labels, rows, counts, ranges)
 
 
 def _spelled(words: Words, at: np.ndarray) -> tuple[np.ndarray, list[str]]:
@@ -264,36 +286,35 @@ def _spelled(words: Words, at: np.ndarray) -> tuple[np.ndarray, list[str]]:
 
 def shards(docs: DataFrame, tables: list[tuple[bytes, int]], ranges: Ranges) -> DataFrame:
     """``range, blob``: count transducers of the phrases that pass, shard by shard."""
-    shared = docs.sparkSession.sparkContext.broadcast((tables, ranges))
+    shared, full = docs.sparkSession.sparkContext.broadcast((tables, ranges)), SHARD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, ranges = shared.value
-        counts: dict[Key, int] = {}
+        counts = Counts()
         for batch in batches:
             langs = batch.column(0).to_pylist()
             hashes = label_hashes(langs)
             for words, first in blocks(batch.column(1)):
-                held_langs = langs[first:first + int(words.texts[-1]) + 1] if len(words.texts) else []
-                count_words(words, held_langs, hashes[words.texts + first], tables, counts)
-                if len(counts) >= SHARD:
-                    yield from _by_range(counts.items(), ranges)
-                    counts = {}
-        if counts:
-            yield from _by_range(counts.items(), ranges)
+                last = first + int(words.texts[-1]) + 1 if len(words.texts) else first
+                counts.add(words, langs[first:last], hashes[words.texts + first], tables)
+                if counts.size >= full:
+                    counts.merge()
+                    if 2 * counts.size >= full:
+                        yield from counts.by_range(ranges)
+                        counts = Counts()
+        yield from counts.by_range(ranges)
 
     return docs.mapInArrow(run, "range int, blob binary")
 
 
-def _by_range(items, ranges: Ranges) -> Iterator[pa.RecordBatch]:
-    """Transducers of the counted keys, one for each range."""
-    items = sorted(items)
-    if not items:
+def _by_range(labels: list[str], rows: Rows, counts: np.ndarray, ranges: Ranges) -> Iterator[pa.RecordBatch]:
+    """Transducers of sorted sequences, one for each range."""
+    if not len(rows):
         return
-    own = range_of([key for key, _ in items], ranges)
+    own = range_of(labels, rows, ranges)
     order = np.argsort(own, kind="stable")
-    cuts = np.flatnonzero(np.diff(own[order])) + 1
-    for group in np.split(order, cuts):
-        blob = Automaton.of_sorted(items[k] for k in group.tolist()).dumps()
+    for group in np.split(order, np.flatnonzero(np.diff(own[order])) + 1):
+        blob = Automaton.of_sorted(labels, rows[group], counts[group]).dumps()
         yield pa.RecordBatch.from_arrays([pa.array([int(own[group[0]])], pa.int32()), pa.array([blob], pa.binary())], ["range", "blob"])
 
 
@@ -315,8 +336,8 @@ def united(parts: DataFrame, least: int) -> DataFrame:
         at, waiting = None, []
 
         def whole() -> pa.RecordBatch:
-            # The first label is the language, whose count is that of all its words.
-            blob = Automaton.union(waiting, least, lambda depth: depth == 0).dumps()
+            # Sequences of one label, the language, count all its words: they always stay.
+            blob = Automaton.union(waiting, least).dumps()
             return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([blob], pa.binary())], ["range", "blob"])
 
         for where, blob in _rows(batches):
@@ -333,27 +354,35 @@ def united(parts: DataFrame, least: int) -> DataFrame:
     return _grouped(parts.select("range", "blob")).mapInArrow(run, "range int, blob binary")
 
 
-def parts_of(phrase: Key) -> list[Key]:
-    """What a phrase (with its language) needs the counts of: its parts of every cut, and of
-    four words the two in the middle, which it may make superfluous."""
-    lang, words = phrase[:1], phrase[1:]
-    out = [lang + x for k in range(1, len(words)) for x in (words[:k], words[k:])]
-    return out + [lang + words[1:3]] if len(words) == 4 else out
+def cut_out(rows: Rows, start: int, end: int) -> Rows:
+    """The language and words ``start`` to ``end`` (from 0, exclusive) of each phrase."""
+    return padded(np.hstack([rows[:, :1], rows[:, 1 + start:1 + end]]), LONGEST + 1)
 
 
-def candidates(counts: Automaton) -> Iterator[tuple[Key, int]]:
-    return ((key, c) for key, c in counts.items() if len(key) > 2)
+def phrases_by_size(rows: Rows, counts: np.ndarray) -> Iterator[tuple[int, Rows, np.ndarray]]:
+    """The phrases of 2, 3, ... words."""
+    size = (rows >= 0).sum(axis=1) - 1
+    for k in range(2, LONGEST + 1):
+        own = np.flatnonzero(size == k)
+        if len(own):
+            yield k, padded(rows[own], LONGEST + 1), counts[own]
 
 
 def asked(whole: DataFrame, ranges: Ranges) -> DataFrame:
-    """``range, source, blob``: the parts that the phrases of range ``source`` need from ``range``."""
+    """``range, source, blob``: the parts that the phrases of range ``source`` need from ``range``:
+    those of every cut, and every run of words within a phrase."""
     shared = whole.sparkSession.sparkContext.broadcast(ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for source, blob in _rows(batches):
-            need = sorted({part for key, _ in candidates(Automaton.loads(blob)) for part in parts_of(key)})
-            for batch in _by_range(((part, 1) for part in need), shared.value):
-                yield batch.append_column("source", pa.array([source], pa.int32()))
+            counts = Automaton.loads(blob)
+            parts = [cut_out(rows, i, j) for k, rows, _ in phrases_by_size(*counts.rows()) for i in range(k) for j in range(i + 1, k + 1)
+                     if j - i < k and (i == 0 or j == k or j - i > 1)]
+            if parts:
+                rows = np.vstack(parts)
+                rows, ones = summed(rows, np.ones(len(rows), np.int64))
+                for batch in _by_range(counts.labels, rows, np.ones_like(ones), shared.value):
+                    yield batch.append_column("source", pa.array([source], pa.int32()))
 
     return whole.select("range", "blob").mapInArrow(run, "range int, blob binary, source int")
 
@@ -366,23 +395,22 @@ def answered(whole: DataFrame, questions: DataFrame) -> DataFrame:
             if source < 0:
                 at, counts = where, Automaton.loads(blob)
             elif where == at:
-                found = Automaton.of_sorted(counts.compose(Automaton.loads(blob)))
+                found = counts.compose(Automaton.loads(blob))
                 yield pa.RecordBatch.from_arrays([pa.array([source], pa.int32()), pa.array([found.dumps()], pa.binary())], ["range", "blob"])
 
     rows = whole.select("range", F.lit(-1).alias("source"), "blob").union(questions.select("range", "source", "blob"))
     return _grouped(rows, "source").select("range", "source", "blob").mapInArrow(run, "range int, blob binary")
 
 
-def weakest_cut(phrase: Key, a: int, counts: dict[Key, int]) -> tuple[int, int, int]:
-    """``score, l, r`` of the cut with the lowest score, the first of equal ones."""
-    lang, words = phrase[:1], phrase[1:]
-    best = None
-    for k in range(1, len(words)):
-        left, right = counts[lang + words[:k]], counts[lang + words[k:]]
-        score = SCALE * a // (left + right)
-        if best is None or score < best[0]:
-            best = score, left, right
-    return best
+def weakest_cut(rows: Rows, a: np.ndarray, size: int, labels: list[str], parts: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``score, l, r`` of each phrase's cut with the lowest score, the first of equal ones."""
+    left = np.stack([parts.look_up(labels, cut_out(rows, 0, k)) for k in range(1, size)])
+    right = np.stack([parts.look_up(labels, cut_out(rows, k, size)) for k in range(1, size)])
+    # Products beyond 64 bits are taken with Python's integers.
+    exact = a if int(a.max()) < 1 << 42 else a.astype(object)
+    scores = SCALE * exact[None] // (left + right)
+    best, own = np.argmin(scores.astype(np.int64), axis=0), np.arange(len(a))
+    return scores[best, own], left[best, own], right[best, own]
 
 
 ROW = "lang string, phrase string, a bigint, l bigint, r bigint, score bigint, kind string"
@@ -406,17 +434,19 @@ def scored(whole: DataFrame, answers: DataFrame) -> DataFrame:
                 waiting.append(blob)
                 continue
             own = Automaton.loads(blob)
-            parts = dict(Automaton.union([Automaton.loads(b) for b in waiting]).items())
-            waiting = []
-            for key, a in own.items():
-                if len(key) == 1:
-                    out.append((key[0], None, a, None, None, None, "total"))
-                elif len(key) > 2:
-                    score, left, right = weakest_cut(key, a, parts)
-                    out.append((key[0], " ".join(key[1:]), a, left, right, score, "phrase"))
-                    for part in parts_of(key):
-                        if len(part) > 2 and 100 * a >= SWALLOWED * parts[part]:
-                            out.append((part[0], " ".join(part[1:]), None, None, None, None, "part"))
+            parts = Automaton.union([Automaton.loads(b) for b in waiting])
+            waiting, names = [], own.labels
+            rows, counts = own.rows()
+            told = lambda part: (names[part[0]], " ".join(names[w] for w in part[1:] if w >= 0))
+            single = (rows >= 0).sum(axis=1) == 1
+            out += [(names[k], None, c, None, None, None, "total") for k, c in zip(rows[single, 0].tolist(), counts[single].tolist())]
+            for size, phrases, a in phrases_by_size(rows, counts):
+                score, left, right = (x.tolist() for x in weakest_cut(phrases, a, size, names, parts))
+                out += [(*told(p), *x, "phrase") for p, *x in zip(phrases.tolist(), a.tolist(), left, right, score)]
+                for i, j in ((i, j) for i in range(size) for j in range(i + 2, size + 1) if j - i < size):
+                    part = cut_out(phrases, i, j)
+                    over = 100 * a >= SWALLOWED * parts.look_up(names, part)
+                    out += [(*told(p), None, None, None, None, "part") for p in np.unique(part[over], axis=0).tolist()]
                 if len(out) >= 10_000:
                     yield full()
                     out = []

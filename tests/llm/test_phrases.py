@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from ledger.llm import bits, phrases, queries
-from ledger.llm.automata import Automaton
+from ledger.llm.automata import Automaton, in_order
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -45,30 +45,40 @@ def items(rng, n, letters="abcd", most=5):
     return sorted({tuple(rng.choice(letters) for _ in range(rng.randint(1, 5))): rng.randint(1, most) for _ in range(n)}.items())
 
 
+def built(own):
+    """The automaton of sorted ``(labels, count)`` items."""
+    labels = sorted({x for key, _ in own for x in key})
+    depth = max((len(key) for key, _ in own), default=1)
+    rows = np.array([[*(labels.index(x) for x in key), *[-1] * (depth - len(key))] for key, _ in own], np.int32).reshape(-1, depth)
+    return Automaton.of_sorted(labels, rows, np.array([c for _, c in own], np.int64))
+
+
 def test_automata_keep_and_add_counts():
     rng = random.Random(1)
-    for _ in range(30):
+    for _ in range(40):
         own = [items(rng, rng.choice([0, 1, 5, 200])) for _ in range(rng.randint(1, 5))]
-        parts = [Automaton.loads(Automaton.of_sorted(x).dumps()) for x in own]
+        parts = [Automaton.loads(built(x).dumps()) for x in own]
         assert [list(p.items()) for p in parts] == own
         total = Counter()
         for x in own:
             total.update(dict(x))
         whole = Automaton.union(parts)
         assert list(whole.items()) == sorted(total.items())
-        asked = Automaton.of_sorted((k, 1) for k, _ in items(rng, 60))
-        assert list(whole.compose(asked)) == [(k, total[k]) for k, _ in asked.items() if k in total]
+        assert list(Automaton.union(parts, 4).items()) == sorted((k, c) for k, c in total.items() if c >= 4 or len(k) == 1)
+        asked = built(items(rng, 60, "abcdé"))
+        assert list(whole.compose(asked).items()) == [(k, total[k]) for k, _ in asked.items() if k in total]
+    assert list(Automaton.union([]).items()) == []
 
 
-def test_union_drops_what_stays_rare_but_not_what_leads_to_more():
-    a = Automaton.of_sorted([(("x",), 3), (("x", "y"), 2), (("x", "y", "z"), 9), (("x", "z"), 1)])
-    got = Automaton.union([a, a], 10, lambda depth: depth == 0)
-    assert list(got.items()) == [(("x",), 6), (("x", "y", "z"), 18)]
+def test_many_labels_are_ordered_too():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(-1, 1 << 22, (3000, 3)).astype(np.int32)
+    assert rows[in_order(rows)].tolist() == sorted(rows.tolist())
 
 
 def test_equal_states_are_shared():
-    a = Automaton.of_sorted(sorted(((x, y, z), 7) for x in "abcdefgh" for y in "mn" for z in "pqr"))
-    assert len(a.states) == 4  # the end, one state for each length
+    a = built(sorted(((x, y, z), 7) for x in "abcdefgh" for y in "mn" for z in "pqr"))
+    assert len(a.first) - 1 == 4  # the end, one state for each length
 
 
 def test_words_and_blocks(monkeypatch):
@@ -119,7 +129,7 @@ def listed(df):
     return sorted((r["lang"], r["rank"], r["phrase"], r.a, r.l, r.r, r.n, r.score) for r in df.collect())
 
 
-@pytest.mark.parametrize("parts", [(200_000, 200_000, 8, 1), (40, 20, 2, 6)])
+@pytest.mark.parametrize("parts", [(1_500_000, 200_000, 8, 1), (300, 20, 2, 6)])
 def test_equals_brute_force(spark, monkeypatch, parts):
     """With one shard and one range, and with many shards, ranges and words of ranges of their own."""
     for name, value in zip(("SHARD", "RANGE", "TOGETHER"), parts):
