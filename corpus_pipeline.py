@@ -32,9 +32,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that hold no benchmark item of ``SEED`` words or more; shorter items stand in
     clean texts too, so their matches (``item_words`` tells them) drop nothing."""
     items = tune(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(docs, items).where(F.col("item_words") >= decontaminate.SEED)
-    found = staged(found.select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.without_contaminated(docs, items)
 
 
 def private_data_replaced(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
