@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledger.functions.expressions import active_price, dec, money
-from ledger.operators.temporal_join import scd2_left_join
+from ledger.operators.temporal_join import overlapping_stretches, scd2_left_join
 from ledger.operators.upsert import upsert
 from ledger.params import RunParams
 from ledger.sources.schemas import VM_REFERENCE_PRICES, VM_REFERENCE_PRICES_KEYS, conform
@@ -81,7 +82,9 @@ def price_usage(usage: DataFrame, list_prices: DataFrame, p: RunParams) -> DataF
     prices = list_prices.where(F.col("cloud") == p.cloud).select(
         "sku_name", "cloud", "price_start_time", "price_end_time", active_price().alias("unit_price")
     )
-    j = scd2_left_join(u, prices, ["sku_name", "cloud"], "usage_start_time", "price_start_time", "price_end_time")
+    # The run's window is the facts' span where it has both ends.
+    span = (F.lit(p.window_start).cast("timestamp"), F.lit(p.until).cast("timestamp") + F.expr("INTERVAL 1 DAY")) if p.window_start and p.until else None
+    j = scd2_left_join(u, prices, ["sku_name", "cloud"], "usage_start_time", "price_start_time", "price_end_time", span)
     unit = F.coalesce(F.col("unit_price"), F.lit(0))
     return j.withColumn("unit_price", unit).withColumn(
         "exact_cost", F.col("usage_quantity") * F.col("unit_price")
@@ -90,16 +93,20 @@ def price_usage(usage: DataFrame, list_prices: DataFrame, p: RunParams) -> DataF
 
 def price_overlap_check(usage: DataFrame, list_prices: DataFrame, p: RunParams) -> DataFrame:
     """(sku, cloud, usage_start_time) matched by more than one price version; empty when
-    clean.  Versions are counted distinct (several usage rows may share a start time)."""
-    u = usage_window(usage, p).select("sku_name", "cloud", "usage_start_time")
-    prices = list_prices.select("sku_name", "cloud", "price_start_time", "price_end_time")
-    j = scd2_left_join(u, prices, ["sku_name", "cloud"], "usage_start_time", "price_start_time", "price_end_time")
-    return (
-        j.where(F.col("price_start_time").isNotNull())
-        .groupBy("sku_name", "cloud", "usage_start_time")
-        .agg(F.count_distinct(F.struct("price_start_time", "price_end_time")).alias("active_prices"))
-        .where(F.col("active_prices") > 1)
-    )
+    clean.  Versions are counted distinct (several usage rows may share a start time).
+
+    The price list is swept first, by itself; only usage that lies in a stretch of time with
+    several active versions is looked for, and where there is none usage is not read."""
+    keys = ["sku_name", "cloud"]
+    stretches = overlapping_stretches(list_prices.where(F.col("cloud") == p.cloud), keys, "price_start_time", "price_end_time", "active_prices")
+    u = usage_window(usage, p).select(*keys, "usage_start_time")
+    if stretches.isEmpty():
+        return usage.sparkSession.createDataFrame([], T.StructType([*u.schema.fields, T.StructField("active_prices", T.LongType())]))
+    at = F.col("u.usage_start_time")
+    inside = (at >= F.col("s.price_start_time")) & (F.col("s.price_end_time").isNull() | (at < F.col("s.price_end_time")))
+    same = [F.col(f"u.{k}") == F.col(f"s.{k}") for k in keys]
+    hit = u.alias("u").join(stretches.alias("s"), [*same, inside]).select(*(f"u.{k}" for k in keys), at, F.col("s.active_prices"))
+    return hit.groupBy(*keys, "usage_start_time").agg(F.max("active_prices").cast("long").alias("active_prices"))
 
 
 def price_coverage(node_types: DataFrame, prices: DataFrame, region: str) -> DataFrame:

@@ -95,16 +95,20 @@ def test_building_a_read_query_starts_no_job(spark):
         assert jobs_of(name, lambda n=name: QUERIES[n](spark, SMALL)) == schemas
 
 
-def test_hot_sku_is_dealt_over_tasks_when_the_price_list_is_not_broadcast(spark):
-    """Without a broadcast the join shuffles on the keys and the part, and the group keys get
-    an exchange of their own after the map-side combine; the result is the same."""
+def no_broadcast(spark):
+    return {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+def test_hot_sku_is_dealt_over_all_partitions_when_the_price_list_is_not_broadcast(spark):
+    """Without a broadcast the join shuffles on the keys and the time bucket, and the group keys
+    get an exchange of their own after the map-side combine; the result is the same."""
     c = Chain(spark, SMALL)
     want = cost.usage_rollup(pricing.price_usage(c.src.usage, c.src.list_prices, P)).collect()
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    for k, v in conf.items():
+    for k, v in no_broadcast(spark).items():
         spark.conf.set(k, v)
     try:
-        got = cost.usage_rollup(pricing.price_usage(c.src.usage, c.src.list_prices, P))
+        priced = pricing.price_usage(c.src.usage, c.src.list_prices, P)
+        got = cost.usage_rollup(priced)
         text = plan(got)
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
         above = text[:text.index("SortMergeJoin")]
@@ -112,10 +116,56 @@ def test_hot_sku_is_dealt_over_tasks_when_the_price_list_is_not_broadcast(spark)
         assert "__part" in text[text.index("SortMergeJoin"):]
         assert sorted(map(str, got.collect())) == sorted(map(str, want))
     finally:
-        for k in conf:
+        for k in no_broadcast(spark):
             spark.conf.unset(k)
 
 
+def test_broadcast_versions_are_not_repeated(spark):
+    assert "Generate explode" not in plan(Chain(spark, SMALL).priced).split("BroadcastHashJoin")[1].split("Exchange")[0]
+    assert "__v_part" not in plan(Chain(spark, SMALL).priced)
+
+
+def test_time_buckets_join_equals_brute_force(spark):
+    """One hot key over many buckets; open, empty and reversed intervals, overlaps, times out of the span, NULLs."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from ledger.operators.temporal_join import scd2_left_join
+
+    rng = random.Random(7)
+    day = lambda n: None if n is None else dt.datetime(2000, 1, 1) + dt.timedelta(hours=n)
+    facts = [(k, "hot" if k % 3 else f"k{k % 5}", rng.choice([None, *range(-50, 300)])) for k in range(400)]
+    versions = [(rng.choice(["hot", "k0", "k1", "k9"]), s, rng.choice([None, s, s - 5, s + 1, s + 40, s + 500]), v) for v, s in enumerate(rng.choices(range(-100, 320), k=60))]
+    versions.append(("hot", None, None, 99))
+    want = sorted((i, v) for i, k, t in facts for v in ([n for key, s, e, n in versions if key == k and t is not None and s is not None and s <= t and (e is None or t < e)] or [-1]))
+    f = spark.createDataFrame([(i, k, day(t)) for i, k, t in facts], "id int, key string, at timestamp_ntz")
+    v = spark.createDataFrame([(k, day(s), day(e), n) for k, s, e, n in versions], "key string, a timestamp_ntz, b timestamp_ntz, n int")
+    spans = [None, (F.lit("2000-01-02").cast("timestamp"), F.lit("2000-01-05").cast("timestamp")), (F.lit("2000-01-02").cast("timestamp"),) * 2]
+    for conf in ({}, no_broadcast(spark)):
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        try:
+            for span in spans:
+                joined = scd2_left_join(f, v, ["key"], "at", "a", "b", span)
+                assert joined.columns == ["id", "key", "at", "a", "b", "n"]
+                assert sorted((r.id, -1 if r.n is None else r.n) for r in joined.collect()) == want
+                if conf and span is None:
+                    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+                    assert joined.where("key = 'hot'").select(F.spark_partition_id()).distinct().count() >= 5  # of 8, by hash of the bucket
+                    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        finally:
+            for name in conf:
+                spark.conf.unset(name)
+
+
+def test_a_clean_price_list_is_checked_without_reading_usage(spark):
+    c = Chain(spark, SMALL)
+    got = pricing.price_overlap_check(c.src.usage, c.src.list_prices, P)
+    assert "parquet" not in plan(got).lower() and got.count() == 0
+    assert [f.name for f in got.schema] == ["sku_name", "cloud", "usage_start_time", "active_prices"]
+
+
 def test_alert_chain_reads_each_source_once(spark):
     c = Chain(spark, SMALL)
     assert plan(c.crossed).count("Join") <= plan(c.today).count("Join")
