@@ -213,9 +213,28 @@ def _touched(target: DataFrame, src: DataFrame, col: str) -> DataFrame:
     return target.where(inside).join(touched, F.col(col).eqNullSafe(F.col("__touched")), "left_semi")
 
 
+def changed_partitions(target: DataFrame, src: DataFrame, col: str, keys: Sequence[str], null_safe: bool = False,
+                       aside: Sequence[str] = ()) -> list:
+    """The values of ``col`` whose partitions the upsert of ``src`` really changes: those with a
+    source row that the target does not hold already, columns in ``aside`` left out of account.
+
+    Rows meet by a hash of all their values, then the values themselves decide, so nothing
+    rests on the hash.  Where keys compare with ``=`` a row with a NULL key matches nothing,
+    so it always counts as new.  The list has one value a partition of the batch."""
+    content = [c for c in target.columns if c not in aside]
+    name = F.xxhash64(*content)
+    a = src.select(*content, name.alias("__row")).alias("a")
+    b = _touched(target, src, col).select(*content, name.alias("__row")).alias("b")
+    same = F.col("a.__row") == F.col("b.__row")
+    for c in content:
+        x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
+        same = same & ((x == y) if c in keys and not null_safe else x.eqNullSafe(y))
+    return [r[0] for r in a.join(b, same, "left_anti").select(f"a.{col}").distinct().collect()]
+
+
 def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  partition_col: str | None, staging_root: str, null_safe: bool = False,
-                 unique_source: bool = False, target_schema=None) -> None:
+                 unique_source: bool = False, target_schema=None, aside: Sequence[str] = ()) -> None:
     """Persist ``upsert(existing, source)`` into the Parquet table at ``path``.
 
     * The source batch is computed once and staged under ``staging_root`` (shared
@@ -229,6 +248,8 @@ def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
       Spark writes aside and moves the finished partitions in when the job commits, one
       partition after the other - a failed write changes nothing, a failure during the
       commit can leave some partitions new and some old, and running again mends that.
+    * Only partitions that really change are rewritten (``changed_partitions``); a batch
+      that repeats what is stored, columns in ``aside`` (audit) not counted, writes nothing.
     * An unpartitioned table is replaced as a whole (``replace_table``).
     """
     exists = table_exists(spark, path)
@@ -249,6 +270,12 @@ def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     if not unique_source:
         assert_unique_keys(src, keys, target, null_safe)
     if partition_col:
+        values = changed_partitions(target, src, partition_col, keys, null_safe, aside)
+        if not values:
+            remove(spark, root)
+            return
+        known, column = [v for v in values if v is not None], F.col(partition_col)
+        src = src.where(column.isin(known) | column.isNull() if len(known) < len(values) else column.isin(known))
         merged = upsert(_touched(target, src, partition_col), src, keys, null_safe=null_safe, check=False)
         (merged.select(*target.columns).hint("rebalance", partition_col).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))

@@ -57,8 +57,20 @@ def daily_cost_summary(priced: DataFrame, loaded_at=None) -> DataFrame:
     return conform(out, DAILY_COST_SUMMARY)
 
 
+# Rows of a SKU are in this order; a frame of 30 rows reaches 29 rows back.
+ROW_ORDER = ["usage_date", "billing_origin_product", "is_serverless"]
+CARRIED_ROWS = 29
+
+
+def _carried(stored: DataFrame, start) -> DataFrame:
+    """The last rows of each SKU before ``start`` (a limit by group on both sides of the shuffle)."""
+    back = Window.partitionBy("sku_name").orderBy(*(F.col(c).desc_nulls_last() for c in ROW_ORDER))
+    before = stored.where(F.col("usage_date") < F.lit(start))
+    return before.withColumn("__back", F.row_number().over(back)).where(F.col("__back") <= CARRIED_ROWS).drop("__back")
+
+
 def sku_daily_details(summary: DataFrame, p: RunParams, warmup_days: int = 0, frame: str = "rows",
-                      loaded_at=None) -> DataFrame:
+                      loaded_at=None, stored: DataFrame | None = None) -> DataFrame:
     """Per (date, sku, product, serverless): totals over all clouds/workspaces (T10), the
     mean of the last 7 and 30 *rows* of the SKU (T11: rows, not calendar days; ties on
     the date are broken by product and serverless flag so the result is deterministic),
@@ -66,7 +78,10 @@ def sku_daily_details(summary: DataFrame, p: RunParams, warmup_days: int = 0, fr
 
     ``warmup_days`` reads further back so the first rows of the window get full frames,
     then filters (T12; 0 = the reference's behaviour).  ``frame="range"`` uses calendar
-    days (``rangeBetween``) instead of rows.
+    days (``rangeBetween``) instead of rows.  ``stored``, the details table as it stands,
+    carries over the last 29 *rows* of each SKU before the window, however many days back
+    they lie, so a rerun of the window gives what one computation of the whole history would
+    (rows beyond the run's ``as_of`` are left alone either way).
 
     The window partitions by SKU after aggregation: its input has at most one row per
     (date, product, serverless) per SKU, so no partition grows with usage volume.
@@ -76,16 +91,16 @@ def sku_daily_details(summary: DataFrame, p: RunParams, warmup_days: int = 0, fr
     if start is not None:
         read_from = F.lit(start) if not warmup_days else F.date_sub(F.lit(start), warmup_days)
         base = on_or_after(base, "usage_date", read_from)
+    if p.until is not None:
+        base = base.where(F.col("usage_date") <= F.lit(p.until))
     agg = base.groupBy("usage_date", "sku_name", "billing_origin_product", "is_serverless").agg(
         F.sum("total_dbus").alias("total_dbus"), F.sum("total_cost_usd").alias("total_cost_usd")
     )
+    if start is not None and stored is not None:
+        agg = agg.unionByName(_carried(stored, start).select(*agg.columns))
     agg = agg.withColumn("product_category", product_category()).withColumn("is_photon", is_photon())
     if frame == "rows":
-        w = Window.partitionBy("sku_name").orderBy(
-            F.col("usage_date").asc_nulls_first(),
-            F.col("billing_origin_product").asc_nulls_first(),
-            F.col("is_serverless").asc_nulls_first(),
-        )
+        w = Window.partitionBy("sku_name").orderBy(*(F.col(c).asc_nulls_first() for c in ROW_ORDER))
         w7, w30 = w.rowsBetween(-6, 0), w.rowsBetween(-29, 0)
     elif frame == "range":
         w = Window.partitionBy("sku_name").orderBy(F.unix_date("usage_date"))
@@ -102,7 +117,7 @@ def sku_daily_details(summary: DataFrame, p: RunParams, warmup_days: int = 0, fr
     out = t.withColumn("cost_pct_change_7d", pct).withColumn(
         "_etl_updated_at", loaded_at if loaded_at is not None else F.current_timestamp()
     )
-    if start is not None and warmup_days:
+    if start is not None and (warmup_days or stored is not None):
         out = out.where(F.col("usage_date") >= F.lit(start))
     return conform(out, SKU_DAILY_DETAILS)
 

@@ -135,10 +135,18 @@ def _both(first, second):
         return a.result(), b.result()
 
 
+# Columns that tell when a row was written: a change in them alone rewrites nothing.
+AUDIT = ("_etl_updated_at",)
+
+
 def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
-              live_pages: DataFrame | None = None, now: Column | None = None) -> DataFrame:
+              live_pages: DataFrame | None = None, now: Column | None = None, carry_rows: bool = False) -> DataFrame:
     """The daily cost job; returns the load statistics of the three fact tables.
 
+    ``carry_rows`` computes the rolling means of the first rows of the window with the rows
+    stored before it; without it their frames begin with the window (the reference's way).
+    Months in which nothing changed but the time of the run are not written again.
+
     Dependency order (independent branches run as concurrent jobs):
 
         price refresh  ||  usage rollup (one pass over raw usage, persisted)
@@ -159,13 +167,15 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
     summary_path = wh.path("daily_cost_summary")
     # one cloud per run and a GROUP BY on a superset of the merge key: unique by construction
     write_upsert(spark, summary_path, with_month(cost.daily_cost_summary(rollup, now)), DAILY_COST_SUMMARY_KEYS,
-                 PARTITION_COL, ckpt, unique_source=True, target_schema=table_schema("daily_cost_summary"))
+                 PARTITION_COL, ckpt, unique_source=True, target_schema=table_schema("daily_cost_summary"), aside=AUDIT)
     summary = read_table(spark, wh, "daily_cost_summary")
 
     def details_step():
-        write_upsert(spark, wh.path("sku_daily_details"), with_month(cost.sku_daily_details(summary, p, loaded_at=now)),
+        path = wh.path("sku_daily_details")
+        stored = read_table(spark, wh, "sku_daily_details") if carry_rows and table_exists(spark, path) else None
+        write_upsert(spark, path, with_month(cost.sku_daily_details(summary, p, loaded_at=now, stored=stored)),
                      SKU_DAILY_DETAILS_KEYS, PARTITION_COL, ckpt, unique_source=True,
-                     target_schema=table_schema("sku_daily_details"))
+                     target_schema=table_schema("sku_daily_details"), aside=AUDIT)
 
     def vm_step():
         estimate = vm.vm_cost_estimate(
@@ -174,7 +184,7 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
         )
         write_upsert(spark, wh.path("daily_cost_with_vm_estimate"), with_month(estimate),
                      DAILY_COST_WITH_VM_ESTIMATE_KEYS, PARTITION_COL, ckpt,
-                     target_schema=table_schema("daily_cost_with_vm_estimate"))
+                     target_schema=table_schema("daily_cost_with_vm_estimate"), aside=AUDIT)
 
     _both(details_step, vm_step)
     remove(spark, rollup_path)
