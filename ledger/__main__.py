@@ -82,6 +82,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--catalog-pages")
     d.add_argument("--lookback-days", type=int, default=90, help="negative = whole history")
     d.add_argument("--carry-rows", action="store_true", help="rolling means of the window's first rows use the rows stored before it")
+    d.add_argument("--split-days", action="store_true", help="node hours count on the days they fall on, not on the day they start")
     s = sub.add_parser("setup", parents=[common])
     s.add_argument("--threshold", help="daily threshold in dollars; omit to only create tables")
     s.add_argument("--recipients", default="")
@@ -134,7 +135,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
             node_types=_read(spark, args.node_types), catalog_pages=None, alert_config=None, alert_history=None,
         )
         pages = read_catalog_pages(spark, args.catalog_pages) if args.catalog_pages else None
-        out = jobs.run_daily(spark, src, wh, p, live_pages=pages, carry_rows=args.carry_rows)
+        out = jobs.run_daily(spark, src, wh, p, live_pages=pages, carry_rows=args.carry_rows, split_days=args.split_days)
     elif args.cmd == "config":
         out = jobs.update_config(spark, wh, args.id, **{n: F.lit(v).cast(SETTINGS[n]) for n, v in args.set})
     elif args.cmd == "alerts":

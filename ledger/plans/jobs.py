@@ -140,11 +140,12 @@ AUDIT = ("_etl_updated_at",)
 
 
 def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
-              live_pages: DataFrame | None = None, now: Column | None = None, carry_rows: bool = False) -> DataFrame:
+              live_pages: DataFrame | None = None, now: Column | None = None, carry_rows: bool = False, split_days: bool = False) -> DataFrame:
     """The daily cost job; returns the load statistics of the three fact tables.
 
     ``carry_rows`` computes the rolling means of the first rows of the window with the rows
     stored before it; without it their frames begin with the window (the reference's way).
+    ``split_days`` charges node hours to the days they fall on, not to the day they start.
     Months in which nothing changed but the time of the run are not written again.
 
     Dependency order (independent branches run as concurrent jobs):
@@ -179,7 +180,7 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
 
     def vm_step():
         estimate = vm.vm_cost_estimate(
-            vm.cluster_usage(rollup), vm.node_hours(src.node_timeline, p), vm.latest_cluster_config(src.clusters),
+            vm.cluster_usage(rollup), vm.node_hours(src.node_timeline, p, split_days), vm.latest_cluster_config(src.clusters),
             prices, p, loaded_at=now,
         )
         write_upsert(spark, wh.path("daily_cost_with_vm_estimate"), with_month(estimate),

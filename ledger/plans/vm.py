@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledger.functions.expressions import hours_between, is_bundled
+from ledger.functions.expressions import dec, hours_between, is_bundled
 from ledger.params import RunParams
 from ledger.sources.schemas import DAILY_COST_WITH_VM_ESTIMATE, conform
 
@@ -40,11 +40,44 @@ def cluster_usage(priced: DataFrame) -> DataFrame:
     )
 
 
-def node_hours(node_timeline: DataFrame, p: RunParams) -> DataFrame:
+def split_at_midnight(node_timeline: DataFrame, p: RunParams) -> DataFrame:
+    """``usage_date, cluster_id, driver, node_type, seconds``: one row for each day that an
+    interval touches within the run's window.
+
+    Seconds are counted from the interval's start on both ends of a day, so the days of an
+    interval add up to its whole seconds exactly, fractions included.  An open interval
+    lasts until the end of the run's last day; where the run has no last day its length is
+    unknown and its start day's seconds are NULL.  An interval that ends where it starts, or
+    before, keeps its start day.
+    """
+    def midnight(day) -> Column:
+        return F.lit(day).cast("timestamp_ntz")
+
+    nt = node_timeline
+    if p.until is not None:
+        last = midnight(p.until + dt.timedelta(days=1))
+        nt = nt.where(F.col("start_time") < last).withColumn("end_time", F.coalesce("end_time", last))
+    if p.window_start is not None:
+        nt = nt.where((F.col("end_time") > midnight(p.window_start)) | (F.col("start_time") >= midnight(p.window_start)))
+    first = F.to_date("start_time")
+    final = F.when(F.col("end_time") > F.col("start_time"), F.to_date(F.col("end_time") - F.expr("INTERVAL 1 MICROSECOND"))).otherwise(first)
+    days = nt.select("cluster_id", "driver", "node_type", "start_time", "end_time", F.explode(F.sequence(first, F.coalesce(final, first))).alias("usage_date"))
+    if p.window_start is not None:
+        days = days.where(F.col("usage_date") >= F.lit(p.window_start))
+    if p.until is not None:
+        days = days.where(F.col("usage_date") <= F.lit(p.until))
+    begin, day = F.col("start_time"), F.col("usage_date").cast("timestamp_ntz")
+    since = lambda t: F.timestamp_diff("SECOND", begin, t)
+    until = F.when(F.to_date("end_time") > F.col("usage_date"), F.date_add("usage_date", 1).cast("timestamp_ntz")).otherwise(F.col("end_time"))
+    return days.select("usage_date", "cluster_id", "driver", "node_type", (since(until) - since(F.greatest(begin, day))).alias("seconds"))
+
+
+def node_hours(node_timeline: DataFrame, p: RunParams, split_days: bool = False) -> DataFrame:
     """Per (start date, cluster): node hours by role and the (max) node type by role.
 
     An interval is charged wholly to the date it starts (T16); an open interval adds
-    nothing; ``driver`` NULL counts for neither role (T17).
+    nothing; ``driver`` NULL counts for neither role (T17).  ``split_days`` charges each
+    day with its own part of the interval instead (``split_at_midnight``).
 
     Two phases: the raw timeline is first reduced by a hash aggregate to one row per
     (day, cluster, role, node type) with summed hours — string keys, numeric buffer, map-
@@ -53,13 +86,16 @@ def node_hours(node_timeline: DataFrame, p: RunParams) -> DataFrame:
     all-open group stays NULL, so the result equals the one-step formulation.
     """
     nt = node_timeline
-    if p.window_start is not None:
-        nt = nt.where(F.col("start_time") >= F.lit(p.window_start).cast("timestamp_ntz"))
-    if p.until is not None:
-        nt = nt.where(F.col("start_time") < F.lit(p.until + dt.timedelta(days=1)).cast("timestamp_ntz"))
-    typed = nt.groupBy(F.to_date("start_time").alias("usage_date"), "cluster_id", "driver", "node_type").agg(
-        F.sum(hours_between("start_time", "end_time")).alias("hours")
-    )
+    if split_days:
+        typed = split_at_midnight(nt, p).groupBy("usage_date", "cluster_id", "driver", "node_type").agg((F.sum("seconds") / dec("3600.0")).alias("hours"))
+    else:
+        if p.window_start is not None:
+            nt = nt.where(F.col("start_time") >= F.lit(p.window_start).cast("timestamp_ntz"))
+        if p.until is not None:
+            nt = nt.where(F.col("start_time") < F.lit(p.until + dt.timedelta(days=1)).cast("timestamp_ntz"))
+        typed = nt.groupBy(F.to_date("start_time").alias("usage_date"), "cluster_id", "driver", "node_type").agg(
+            F.sum(hours_between("start_time", "end_time")).alias("hours")
+        )
     h = F.col("hours")
     drv, wrk = F.col("driver"), ~F.col("driver")
     return typed.groupBy("usage_date", "cluster_id").agg(

@@ -26,6 +26,25 @@ def test_t16_interval_charged_to_start_day_open_adds_nothing(spark):
     assert len(nh) == 1 and str(nh[0].usage_date) == "2000-01-01" and float(nh[0].driver_hours) == 1.0
 
 
+def test_split_days_charges_each_day_its_own_seconds(spark):
+    """Hours per day add up to the interval's; fractions of a second, open ends and the window's edges."""
+    rows = [("a", True, "x", "2000-01-01 22:00:00", "2000-01-04 03:30:00"), ("b", False, "y", "2000-01-01 23:59:59.5", "2000-01-02 00:00:00.5"),
+            ("c", True, "x", "2000-01-02 00:00:00", "2000-01-03 00:00:00"), ("d", True, "x", "2000-01-03 18:00:00", None),
+            ("e", False, "y", "2000-01-02 05:00:00", "2000-01-02 05:00:00"), ("f", None, "z", "2000-01-01 12:00:00", "2000-01-02 12:00:00")]
+    nt = _nt(spark, rows)
+    seconds = {}
+    for r in vm.split_at_midnight(nt, RunParams(as_of=dt.date(2000, 1, 31), lookback_days=None)).collect():
+        seconds.setdefault(r.cluster_id, {})[r.usage_date.day] = r.seconds
+    assert seconds["a"] == {1: 7200, 2: 86400, 3: 86400, 4: 12600} and seconds["c"] == {2: 86400} and seconds["e"] == {2: 0}
+    assert sum(seconds["b"].values()) == 1 and set(seconds["b"]) == {1, 2} and seconds["f"] == {1: 43200, 2: 43200}
+    assert len(seconds["d"]) == 29 and sum(seconds["d"].values()) == 29 * 86400 - 18 * 3600  # open: until the run's day ends
+    short = RunParams(as_of=dt.date(2000, 1, 3), lookback_days=1)
+    got = {(r.cluster_id, r.usage_date.day): (r.driver_hours, r.worker_hours) for r in vm.node_hours(nt, short, split_days=True).collect()}
+    assert got["a", 2] == (24, 0) and got["a", 3] == (24, 0) and got["d", 3] == (6, 0) and ("a", 1) not in got and ("a", 4) not in got
+    unbounded = RunParams(as_of=dt.date(2000, 1, 3), lookback_days=None, bounded=False)
+    assert [r.seconds for r in vm.split_at_midnight(nt.where("cluster_id = 'd'"), unbounded).collect()] == [None]
+
+
 def test_t17_driver_null_counts_for_no_role(spark):
     rows = vm.node_hours(_nt(spark, [("c", None, "a", "2000-01-01 01:00:00", "2000-01-01 02:00:00")]), P).collect()
     assert float(rows[0].driver_hours) == 0 and float(rows[0].worker_hours) == 0
