@@ -83,10 +83,14 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--lookback-days", type=int, default=90, help="negative = whole history")
     d.add_argument("--carry-rows", action="store_true", help="rolling means of the window's first rows use the rows stored before it")
     d.add_argument("--split-days", action="store_true", help="node hours count on the days they fall on, not on the day they start")
+    d.add_argument("--touched-days", action="store_true", help="read only usage of days whose files or prices changed (usage is a path of files)")
+    d.add_argument("--whole-catalog", action="store_true", help="refuse price pages that are no unbroken chain from the first to the last")
+    d.add_argument("--config-as-of", action="store_true", help="a day's cluster configuration is that of the day, not the newest one")
     s = sub.add_parser("setup", parents=[common])
     s.add_argument("--threshold", help="daily threshold in dollars; omit to only create tables")
     s.add_argument("--recipients", default="")
     s.add_argument("--tiers", default="25,50,75,90,100")
+    s.add_argument("--database", help="also enter the tables, with their comments, in this database of the session's catalog")
     c = sub.add_parser("config", parents=[common])
     c.add_argument("--id", type=int, default=1)
     c.add_argument("--set", action="append", required=True, metavar="NAME=VALUE", type=_setting)
@@ -125,6 +129,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
                 F.current_timestamp().alias("updated_at"),
             )
         jobs.setup(spark, wh, row)
+        if args.database:
+            jobs.register_tables(spark, wh, args.database)
         out = jobs.read_table(spark, wh, "alert_config")
     elif args.cmd == "daily":
         lookback = None if args.lookback_days < 0 else args.lookback_days
@@ -135,7 +141,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
             node_types=_read(spark, args.node_types), catalog_pages=None, alert_config=None, alert_history=None,
         )
         pages = read_catalog_pages(spark, args.catalog_pages) if args.catalog_pages else None
-        out = jobs.run_daily(spark, src, wh, p, live_pages=pages, carry_rows=args.carry_rows, split_days=args.split_days)
+        out = jobs.run_daily(spark, src, wh, p, live_pages=pages, carry_rows=args.carry_rows, split_days=args.split_days,
+                             touched_days=args.touched_days, whole_catalog=args.whole_catalog, config_as_of=args.config_as_of)
     elif args.cmd == "config":
         out = jobs.update_config(spark, wh, args.id, **{n: F.lit(v).cast(SETTINGS[n]) for n, v in args.set})
     elif args.cmd == "alerts":

@@ -7,6 +7,7 @@ reference's DML is rebuilt from DataFrame operations:
 * ``upsert_columns``  MERGE with a per-column update list (keeps e.g. ``created_at``)
 * ``update_where``    UPDATE t SET a = x WHERE cond
 * ``with_new_ids``    an identity-like dense surrogate key for rows to append
+* ``with_dense_ids``  the same for batches of any size, numbered by ranges
 * ``write_upsert``    persist an upsert, rewriting only the touched partitions
 * ``replace_table``   replace an unpartitioned table without a moment in which it is gone
 """
@@ -118,8 +119,9 @@ def update_where(df: DataFrame, cond: Column, assignments: Mapping[str, Column])
 def with_new_ids(existing: DataFrame, new: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFrame:
     """``new`` with ids ``max(existing id) + 1, + 2, ...`` in ``order_by`` order.
 
-    The window runs over ``new`` only, which callers keep bounded (one row per alert
-    tier); ``max(id)`` over the existing table is a distributed aggregate used as a
+    The window runs over ``new`` only and in one task: it is for callers whose batch is
+    bounded (one row per alert tier; ``with_dense_ids`` takes any number).
+    ``max(id)`` over the existing table is a distributed aggregate used as a
     scalar subquery.
     """
     base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long"))
@@ -129,6 +131,39 @@ def with_new_ids(existing: DataFrame, new: DataFrame, id_col: str, order_by: Seq
     ).drop("__base")
 
 
+def with_dense_ids(existing: DataFrame, new: DataFrame, id_col: str, order_by: Sequence[str], parts: int | None = None) -> DataFrame:
+    """``with_new_ids`` for any number of new rows: the same ids, without one task for all rows.
+
+    The rows are cut into ``parts`` ranges of the order (default: the session's shuffle
+    partitions), counted by range, and numbered within their range on top of the counts of
+    the ranges before.  The cuts are rows of ``new`` picked by a hash of their values, eight
+    for each range, so they depend on the rows alone and every pass over them finds the same
+    ranges, also after a lost executor.  Rows that tie in ``order_by`` are ordered by a hash
+    of all their values, so a value that a third of all rows share is cut like any other;
+    only rows equal in every column stay together.  NULLs come first, as in ``ORDER BY``.
+    What is held as one value has an entry for each range."""
+    spark = new.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = new.withColumn("__tie", F.xxhash64(*new.columns))
+    place = F.struct(*order_by, "__tie")
+    picked = (
+        rows.select(place.alias("at"), F.xxhash64(F.col("__tie"), F.lit(1)).alias("draw"))
+        .groupBy(F.pmod("draw", F.lit(8 * parts)).alias("cell")).agg(F.min(F.struct("draw", "at"))["at"].alias("at"))
+        .agg(F.sort_array(F.collect_list("at")).alias("at"))
+        .select(F.filter("at", lambda x, i: i % 8 == 4).alias("cuts"))
+    )
+    ranged = rows.withColumn("__cuts", picked.scalar()).withColumn("__place", place)
+    ranged = ranged.withColumn("__range", F.size(F.filter("__cuts", lambda cut: cut <= F.col("__place")))).drop("__cuts", "__place")
+    counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).agg(F.collect_list(F.struct("__range", "n")).alias("all"))
+    before = counts.select(F.transform(F.sequence(F.lit(0), F.lit(parts)), lambda k: F.aggregate(
+        F.filter("all", lambda x: x["__range"] < k), F.lit(0).cast("long"), lambda total, x: total + x["n"])).alias("before"))
+    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(*order_by, "__tie"))
+    numbered = ranged.withColumn("__n", within).withColumn("__before", before.scalar()).withColumn("__base", base.scalar())
+    new_id = F.col("__base") + F.get("__before", F.col("__range")) + F.col("__n")
+    return numbered.withColumn(id_col, new_id.cast("long")).drop("__n", "__before", "__base", "__range", "__tie")
+
+
 # ----------------------------------------------------------------------- persistence
 
 
@@ -200,7 +235,7 @@ def write_snapshot(df: DataFrame, path: str, partition_col: str | None = None) -
         df.write.mode("overwrite").parquet(path)
 
 
-def _touched(target: DataFrame, src: DataFrame, col: str) -> DataFrame:
+def touched_rows(target: DataFrame, src: DataFrame, col: str) -> DataFrame:
     """The target's rows of the partitions that ``src`` writes to, NULL being one of them.
 
     The smallest and the largest value become literals, so the scan lists and reads those
@@ -224,7 +259,7 @@ def changed_partitions(target: DataFrame, src: DataFrame, col: str, keys: Sequen
     content = [c for c in target.columns if c not in aside]
     name = F.xxhash64(*content)
     a = src.select(*content, name.alias("__row")).alias("a")
-    b = _touched(target, src, col).select(*content, name.alias("__row")).alias("b")
+    b = touched_rows(target, src, col).select(*content, name.alias("__row")).alias("b")
     same = F.col("a.__row") == F.col("b.__row")
     for c in content:
         x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
@@ -276,7 +311,7 @@ def write_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
             return
         known, column = [v for v in values if v is not None], F.col(partition_col)
         src = src.where(column.isin(known) | column.isNull() if len(known) < len(values) else column.isin(known))
-        merged = upsert(_touched(target, src, partition_col), src, keys, null_safe=null_safe, check=False)
+        merged = upsert(touched_rows(target, src, partition_col), src, keys, null_safe=null_safe, check=False)
         (merged.select(*target.columns).hint("rebalance", partition_col).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
         spark.catalog.refreshByPath(path)

@@ -26,8 +26,9 @@ from pyspark.sql import types as T
 from ledger.functions.expressions import PARTITION_COL
 from ledger.operators.upsert import remove, replace_table, table_exists, write_snapshot, write_upsert
 from ledger.params import RunParams
-from ledger.plans import alerts, cost, pricing, vm
+from ledger.plans import alerts, cost, late, pricing, vm
 from ledger.session import checkpoint_dir
+from ledger.sources.catalog import require_whole_catalog
 from ledger.sources.fixtures import Sources
 from ledger.sources.schemas import (
     ALERT_HISTORY,
@@ -36,6 +37,7 @@ from ledger.sources.schemas import (
     DAILY_COST_SUMMARY_KEYS,
     DAILY_COST_WITH_VM_ESTIMATE_KEYS,
     SKU_DAILY_DETAILS_KEYS,
+    TABLE_COMMENTS,
     VM_REFERENCE_PRICES,
     VM_REFERENCE_PRICES_KEYS,
     conform,
@@ -72,6 +74,23 @@ def read_table(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame:
     return spark.read.schema(table_schema(name)).parquet(wh.path(name))
 
 
+def register_tables(spark: SparkSession, wh: Warehouse, database: str) -> None:
+    """Enter the stored gold tables in the session's catalog under ``database``, with the
+    comments of tables and columns and the fact tables' partitions.  The files stay where they
+    are (external tables); a table that is entered already is entered anew."""
+    quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name in GOLD:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {quoted(f.metadata['comment'])}" if "comment" in f.metadata else "")
+                            for f in table_schema(name).fields)
+        parted = f" PARTITIONED BY (`{PARTITION_COL}`)" if name in FACT_TABLES else ""
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet{parted} "
+                  f"COMMENT {quoted(TABLE_COMMENTS[name])} LOCATION {quoted(wh.path(name))}")
+        if parted:
+            spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
+
+
 def setup(spark: SparkSession, wh: Warehouse, config_row: DataFrame | None = None,
           now: Column | None = None) -> None:
     """Create missing gold tables (empty, declared schema) and upsert the deploy-time alert
@@ -103,13 +122,19 @@ def _scratch(spark: SparkSession, label: str) -> str:
 
 
 def refresh_vm_prices(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
-                      live_pages: DataFrame | None = None, now: Column | None = None) -> DataFrame:
+                      live_pages: DataFrame | None = None, now: Column | None = None,
+                      whole_catalog: bool = False) -> DataFrame:
     """Upsert the day's price rows (live catalogue when it yields rows, else seeds), then
-    append component estimates for node types still unpriced in the region."""
+    append component estimates for node types still unpriced in the region.
+
+    ``whole_catalog`` refuses pages that are no unbroken chain (``IncompleteCatalogError``)
+    before any price is replaced."""
     path = wh.path("gcp_vm_reference_prices")
     new_rows = None
     # The catalogue prices GCP machines only.
     if live_pages is not None and p.cloud == "GCP":
+        if whole_catalog:
+            require_whole_catalog(live_pages)
         live = pricing.catalog_price_extract(live_pages, p.region, now)
         if not live.isEmpty():
             new_rows = live
@@ -140,12 +165,17 @@ AUDIT = ("_etl_updated_at",)
 
 
 def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
-              live_pages: DataFrame | None = None, now: Column | None = None, carry_rows: bool = False, split_days: bool = False) -> DataFrame:
+              live_pages: DataFrame | None = None, now: Column | None = None, carry_rows: bool = False, split_days: bool = False,
+              touched_days: bool = False, whole_catalog: bool = False, config_as_of: bool = False) -> DataFrame:
     """The daily cost job; returns the load statistics of the three fact tables.
 
     ``carry_rows`` computes the rolling means of the first rows of the window with the rows
     stored before it; without it their frames begin with the window (the reference's way).
     ``split_days`` charges node hours to the days they fall on, not to the day they start.
+    ``touched_days`` keeps the usage rollup in the warehouse (``usage_state``) and reads only
+    usage of days whose files or prices changed (``plans.late``); usage must then come from files.
+    ``whole_catalog`` checks the price pages' chain first; ``config_as_of`` estimates a day by the
+    cluster configuration of that day, not by the newest one.
     Months in which nothing changed but the time of the run are not written again.
 
     Dependency order (independent branches run as concurrent jobs):
@@ -155,15 +185,17 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
         sku_daily_details upsert  ||  VM estimate upsert  <- summary / rollup + prices
     """
     now = now if now is not None else F.current_timestamp()
-    src = src.conformed()
+    raw, src = src, src.conformed()
     ckpt = checkpoint_dir(spark)
     rollup_path = _scratch(spark, "usage-rollup")
 
-    def rollup_step():
+    def rollup_step() -> DataFrame:
+        if touched_days:
+            return late.refresh_rollup(spark, raw.usage, raw.list_prices, p, wh.path("usage_state"))[0]
         cost.usage_rollup(pricing.price_usage(src.usage, src.list_prices, p)).write.parquet(rollup_path)
+        return spark.read.parquet(rollup_path)
 
-    prices, _ = _both(lambda: refresh_vm_prices(spark, src, wh, p, live_pages, now), rollup_step)
-    rollup = spark.read.parquet(rollup_path)
+    prices, rollup = _both(lambda: refresh_vm_prices(spark, src, wh, p, live_pages, now, whole_catalog), rollup_step)
 
     summary_path = wh.path("daily_cost_summary")
     # one cloud per run and a GROUP BY on a superset of the merge key: unique by construction
@@ -179,9 +211,10 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
                      target_schema=table_schema("sku_daily_details"), aside=AUDIT)
 
     def vm_step():
+        used = vm.cluster_usage(rollup)
+        config = vm.cluster_config_as_of(src.clusters, used) if config_as_of else vm.latest_cluster_config(src.clusters)
         estimate = vm.vm_cost_estimate(
-            vm.cluster_usage(rollup), vm.node_hours(src.node_timeline, p, split_days), vm.latest_cluster_config(src.clusters),
-            prices, p, loaded_at=now,
+            used, vm.node_hours(src.node_timeline, p, split_days), config, prices, p, loaded_at=now,
         )
         write_upsert(spark, wh.path("daily_cost_with_vm_estimate"), with_month(estimate),
                      DAILY_COST_WITH_VM_ESTIMATE_KEYS, PARTITION_COL, ckpt,

@@ -3,6 +3,7 @@
 * ``cluster_usage``          DBUs, billed hours, exact DBU cost per (date, cluster, sku) (P11)
 * ``node_hours``             driver / worker node hours and types per (date, cluster) (P12)
 * ``latest_cluster_config``  newest config per cluster, effective worker count (P13)
+* ``cluster_config_as_of``   config in force at the end of each day of use
 * ``vm_cost_estimate``       VM cost, total, lineage (P14)
 * ``vm_cost_by_source``      rows and costs per lineage value (P15)
 """
@@ -106,6 +107,22 @@ def node_hours(node_timeline: DataFrame, p: RunParams, split_days: bool = False)
     )
 
 
+CONFIG_ORDER = ("change_time", "cluster_name", "driver_node_type", "worker_node_type", "worker_count", "max_autoscale_workers")
+
+
+def _newest_first() -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in CONFIG_ORDER]
+
+
+def _config_columns() -> list[Column]:
+    return [
+        F.col("cluster_name"),
+        F.col("driver_node_type").alias("cc_driver_type"),
+        F.col("worker_node_type").alias("cc_worker_type"),
+        F.coalesce(F.col("worker_count"), F.col("max_autoscale_workers"), F.lit(1)).alias("cc_num_workers"),
+    ]
+
+
 def latest_cluster_config(clusters: DataFrame) -> DataFrame:
     """Newest change per cluster (T19: applied to all history).  Ties on ``change_time``
     are broken by the remaining columns so the pick is deterministic.
@@ -113,25 +130,31 @@ def latest_cluster_config(clusters: DataFrame) -> DataFrame:
     ``row_number() ... = 1`` plans as a WindowGroupLimit before and after the shuffle,
     so each map task forwards one row per cluster however long its change log is.
     """
-    w = Window.partitionBy("cluster_id").orderBy(
-        F.col("change_time").desc_nulls_last(),
-        F.col("cluster_name").desc_nulls_last(),
-        F.col("driver_node_type").desc_nulls_last(),
-        F.col("worker_node_type").desc_nulls_last(),
-        F.col("worker_count").desc_nulls_last(),
-        F.col("max_autoscale_workers").desc_nulls_last(),
-    )
-    return (
-        clusters.withColumn("rn", F.row_number().over(w))
-        .where(F.col("rn") == 1)
-        .select(
-            "cluster_id",
-            "cluster_name",
-            F.col("driver_node_type").alias("cc_driver_type"),
-            F.col("worker_node_type").alias("cc_worker_type"),
-            F.coalesce(F.col("worker_count"), F.col("max_autoscale_workers"), F.lit(1)).alias("cc_num_workers"),
-        )
+    w = Window.partitionBy("cluster_id").orderBy(*_newest_first())
+    return clusters.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1).select("cluster_id", *_config_columns())
+
+
+def cluster_config_as_of(clusters: DataFrame, used: DataFrame) -> DataFrame:
+    """``usage_date, cluster_id`` and the config of the last change up to the end of that day,
+    for each cluster-day of ``used`` that has one (T19 the other way: no later change reaches
+    back).  Ties on ``change_time`` are broken as in ``latest_cluster_config``.
+
+    An as-of join by union and last value: changes and days of a cluster stand in one order
+    and each day takes the last change before it.  The log is first cut to the last change of
+    each cluster and day (a limit by group on both sides of the shuffle), so a partition of
+    the window holds two rows a day at most, however long a cluster's log is."""
+    w = Window.partitionBy("cluster_id", "usage_date").orderBy(*_newest_first())
+    changes = (
+        clusters.where(F.col("change_time").isNotNull() & F.col("cluster_id").isNotNull())
+        .withColumn("usage_date", F.to_date("change_time"))
+        .withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1)
+        .select("usage_date", "cluster_id", F.struct(*_config_columns()).alias("config"))
     )
+    days = used.select("usage_date", "cluster_id").distinct().withColumn("config", F.lit(None).cast(changes.schema["config"].dataType))
+    both = changes.withColumn("day", F.lit(False)).unionByName(days.withColumn("day", F.lit(True)))
+    order = Window.partitionBy("cluster_id").orderBy("usage_date", "day").rowsBetween(Window.unboundedPreceding, 0)
+    last = both.withColumn("config", F.last("config", ignorenulls=True).over(order))
+    return last.where(F.col("day") & F.col("config").isNotNull()).select("usage_date", "cluster_id", "config.*")
 
 
 def vm_cost_estimate(cu: DataFrame, nh: DataFrame, cfg: DataFrame, vm_prices: DataFrame, p: RunParams,
@@ -147,6 +170,9 @@ def vm_cost_estimate(cu: DataFrame, nh: DataFrame, cfg: DataFrame, vm_prices: Da
     ``allocate="per_sku"`` (reference) gives every SKU row of a cluster-day the full VM
     cost (T20); ``"dbu_share"`` splits node-timeline cost by each SKU's DBU cost share.
 
+    ``cfg`` holds one config for a cluster (``latest_cluster_config``, the reference's way) or
+    one for each cluster-day (``cluster_config_as_of``).
+
     Plan: cluster usage and node hours are both per cluster-day aggregates and meet in one
     shuffle join on (date, cluster); the config side (one row per cluster) and the price
     table (one row per node type) are broadcast where the planner or AQE knows them small.
@@ -166,7 +192,7 @@ def vm_cost_estimate(cu: DataFrame, nh: DataFrame, cfg: DataFrame, vm_prices: Da
     )
     j = (
         cu.join(nh, ["usage_date", "cluster_id"], "left")
-        .join(cfg, "cluster_id", "left")
+        .join(cfg, ["usage_date", "cluster_id"] if "usage_date" in cfg.columns else ["cluster_id"], "left")
         .withColumn("driver_node_type", F.coalesce("nt_driver_type", "cc_driver_type"))
         .withColumn("worker_node_type", F.coalesce("nt_worker_type", "cc_worker_type"))
     )

@@ -237,6 +237,12 @@ def q_latest_cluster_config(spark, d):
     return boundary(Chain(spark, d).latest_config)
 
 
+def q_cluster_config_as_of(spark, d):
+    """The config in force on each cluster-day with usage."""
+    c = Chain(spark, d)
+    return boundary(vm.cluster_config_as_of(c.src.clusters, c.cluster_usage))
+
+
 def q_vm_cost_estimate(spark, d):
     return boundary(Chain(spark, d).vm)
 

@@ -164,6 +164,14 @@ GOLD = {
     "alert_config": (ALERT_CONFIG, ALERT_CONFIG_KEYS),
     "alert_history": (ALERT_HISTORY, ["alert_id"]),
 }
+TABLE_COMMENTS = {
+    "daily_cost_summary": "Usage and cost of a day by product variant, cloud and workspace; list price of the day's dearest version",
+    "sku_daily_details": "Cost of a day by product variant with its category, rolling means and change against the 7-row mean",
+    "gcp_vm_reference_prices": "Hourly machine prices by region, with the place each price comes from",
+    "daily_cost_with_vm_estimate": "Usage cost and estimated machine cost of a cluster's day, with the evidence that was used",
+    "alert_config": "Budget thresholds and their recipients",
+    "alert_history": "Alerts that were raised, one row for each tier and day",
+}
 # Stored partitioned by ``usage_month``, the first day of the month of ``usage_date``.
 FACT_TABLES = ("daily_cost_summary", "sku_daily_details", "daily_cost_with_vm_estimate")
 

@@ -423,6 +423,16 @@ SELECT usage_date, cluster_id, sku_name, total_dbus, {D('bh6', 6)} AS billing_ho
 SELECT usage_date, cluster_id, {D('dh6', 6)} AS driver_hours, {D('wh6', 6)} AS worker_hours,
   nt_driver_type, nt_worker_type FROM nh"""),
     "latest_cluster_config": q(["cfg"], "SELECT * FROM cfg"),
+    "cluster_config_as_of": q(["clusters", "cu"], """
+SELECT days.usage_date, days.cluster_id, changes.cluster_name, changes.driver_node_type AS cc_driver_type,
+  changes.worker_node_type AS cc_worker_type, COALESCE(changes.worker_count, changes.max_autoscale_workers, 1) AS cc_num_workers
+FROM (SELECT DISTINCT usage_date, cluster_id FROM cu) days
+ASOF JOIN (
+  SELECT *, CAST(change_time AS DATE) AS day FROM clusters WHERE change_time IS NOT NULL
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY cluster_id, CAST(change_time AS DATE) ORDER BY change_time DESC, cluster_name DESC NULLS LAST,
+    driver_node_type DESC NULLS LAST, worker_node_type DESC NULLS LAST, worker_count DESC NULLS LAST,
+    max_autoscale_workers DESC NULLS LAST) = 1) changes
+ON days.cluster_id = changes.cluster_id AND days.usage_date >= changes.day"""),
     "vm_cost_estimate": q(["vm"], "SELECT * FROM vm"),
     "vm_cost_by_source": q(["vm"], """
 SELECT vm_cost_source, COUNT(*) AS "rows", ROUND(SUM(dbu_cost_usd), 2) AS dbu_cost,

@@ -19,6 +19,11 @@ def test_cli_daily_alerts_report(spark, tmp_path):
     main(["daily", *common, "--usage", paths["usage"], "--list-prices", paths["list_prices"],
           "--node-timeline", paths["node_timeline"], "--clusters", paths["clusters"],
           "--node-types", paths["node_types"], "--lookback-days", "-1"], spark)
+    before = spark.read.parquet(f"{wh}/daily_cost_summary").collect()
+    main(["daily", *common, "--usage", paths["usage"], "--list-prices", paths["list_prices"],
+          "--node-timeline", paths["node_timeline"], "--clusters", paths["clusters"],
+          "--node-types", paths["node_types"], "--touched-days", "--config-as-of"], spark)
+    assert sorted(map(str, spark.read.parquet(f"{wh}/daily_cost_summary").collect())) == sorted(map(str, before))
     gate = main(["alerts", *common, "--alert-config", paths["alert_config"]], spark).collect()[0]
     assert gate.alerts_sent == 0                                   # sf0.001 stays below the first tier
     own = main(["alerts", *common], spark).collect()[0]            # the warehouse's own config (setup)

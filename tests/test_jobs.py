@@ -14,7 +14,8 @@ from ledger.plans import jobs, pricing, vm
 from ledger.registry import QUERIES
 from ledger.session import checkpoint_dir
 from ledger.sources import fixtures
-from ledger.sources.schemas import FACT_TABLES, GOLD
+from ledger.sources.catalog import IncompleteCatalogError
+from ledger.sources.schemas import FACT_TABLES, GOLD, TABLE_COMMENTS
 
 AS_OF = dt.date(2000, 6, 30)
 def NOW():
@@ -205,3 +206,27 @@ def test_details_of_a_past_day_leave_later_days_alone(spark):
     day = dt.date(2000, 5, 31)
     got = cost.sku_daily_details(summary, RunParams(as_of=day, lookback_days=30))
     assert got.agg(F.max("usage_date")).first()[0] <= day
+
+
+def test_tables_are_registered_with_their_comments(spark, tmp_path):
+    wh = jobs.Warehouse(str(tmp_path / "it's a warehouse"))
+    jobs.setup(spark, wh)
+    for _ in range(2):
+        jobs.register_tables(spark, wh, "ledger_gold")
+    try:
+        for name in GOLD:
+            assert spark.catalog.getTable(f"ledger_gold.{name}").description == TABLE_COMMENTS[name]
+            told = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE ledger_gold.{name}").collect()}
+            assert all(told[f.name] == f.metadata["comment"] for f in GOLD[name][0].fields)
+            assert spark.table(f"ledger_gold.{name}").count() == 0
+    finally:
+        spark.sql("DROP DATABASE ledger_gold CASCADE")
+
+
+def test_broken_page_chain_replaces_no_price(spark, tmp_path):
+    src = fixtures.load(spark, SMALL)
+    wh = jobs.Warehouse(str(tmp_path / "wh"))
+    torn = src.catalog_pages.drop("nextPageToken").withColumn("nextPageToken", F.lit("more"))
+    with pytest.raises(IncompleteCatalogError):
+        jobs.refresh_vm_prices(spark, src, wh, RunParams(as_of=AS_OF), torn, NOW(), whole_catalog=True)
+    assert not pathlib.Path(wh.path("gcp_vm_reference_prices")).exists()

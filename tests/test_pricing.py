@@ -3,12 +3,13 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import price_rows, usage_rows
 from ledger.params import RunParams
 from ledger.plans import pricing
-from ledger.sources.catalog import read_catalog_pages
+from ledger.sources.catalog import PAGE_SCHEMA, IncompleteCatalogError, page_chain, read_catalog_pages, require_whole_catalog
 
 P = RunParams(as_of=dt.date(2000, 6, 30), lookback_days=None)
 
@@ -122,3 +123,30 @@ def test_estimates_only_for_unpriced_node_types(spark):
     assert len(est) == 1 and est[0].node_type_id == "x-9"
     assert est[0].memory_gb == 33.8   # 34560 / 1024 = 33.75 -> half up
     assert float(est[0].hourly_price_usd) == round(9 * 0.04749 + 33.75 * 0.006383, 6)
+
+
+def _pages(spark, links):
+    return spark.createDataFrame(links, "pageToken string, nextPageToken string").withColumn("skus", F.lit(None).cast(PAGE_SCHEMA["skus"].dataType))
+
+
+@pytest.mark.parametrize("links, problems", [
+    ([(None, None)], []),
+    ([("", "t1"), ("t1", "t2"), ("t2", "")], []),
+    ([(None if i == 0 else f"t{i}", f"t{i + 1}" if i < 36 else None) for i in range(37)], []),
+    ([], [("missing", "", 0)]),
+    ([(None, "t1"), ("t1", "t2"), ("t3", None)], [("missing", "t2", 0), ("not reached", "t3", 1)]),
+    ([(None, "t1"), ("t1", None), ("t1", None)], [("repeated", "t1", 2)]),
+    ([(None, "t1"), ("t1", "t2"), ("t2", "t1")], [("no end", "", 0)]),
+    ([(None, None), ("t1", "t2"), ("t2", "t1")], [("not reached", "t1", 1), ("not reached", "t2", 1)]),
+    ([("t1", None)], [("missing", "", 0), ("not reached", "t1", 1)]),
+    ([(None, None), (None, None)], [("repeated", "", 2)]),
+    ([(None, "t1"), (None, "t2"), ("t1", None), ("t2", None)], [("repeated", "", 2)]),
+])
+def test_page_chain_finds_what_breaks_it(spark, links, problems):
+    pages = _pages(spark, links)
+    assert sorted((r.problem, r.token, r.pages) for r in page_chain(pages).collect()) == problems
+    if problems:
+        with pytest.raises(IncompleteCatalogError, match=problems[0][0]):
+            require_whole_catalog(pages)
+    else:
+        require_whole_catalog(pages)

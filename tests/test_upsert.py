@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledger.operators.upsert import (
-    DuplicateSourceKeyError, replace_table, table_exists, update_where, upsert, upsert_columns, with_new_ids, write_upsert,
+    DuplicateSourceKeyError, replace_table, table_exists, update_where, upsert, upsert_columns, with_dense_ids, with_new_ids, write_upsert,
 )
 
 S = "k string, p string, v int"
@@ -68,6 +68,38 @@ def test_new_ids_continue_after_max(spark):
     assert got == [(8, "2000-01-02", 25), (9, "2000-01-02", 50)]
 
 
+def test_dense_ids_equal_a_single_numbering_for_a_million_rows(spark):
+    """A third of the rows tie, NULLs come first; no window without a partition in the plan."""
+    old = spark.createDataFrame([(41,)], "id long")
+    k = F.when(F.col("n") % 3 == 0, 5).when(F.col("n") % 1000 != 1, F.pmod(F.xxhash64("n"), F.lit(10**9))).cast("long")
+    new = spark.range(1_000_000).withColumnRenamed("id", "n").withColumn("k", k)
+    got = with_dense_ids(old, new, "id", ["k", "n"], parts=16)
+    assert "__range" in (text := got._jdf.queryExecution().optimizedPlan().toString()) and "Window [row_number()" in text
+    assert all("__range" in line for line in text.splitlines() if "Window [" in line)
+    place = got.toPandas().sort_values("id").reset_index(drop=True)
+    assert list(place["id"]) == list(range(42, 1_000_042)) and got.columns == ["n", "k", "id"]
+    want = new.toPandas().sort_values(["k", "n"], na_position="first").reset_index(drop=True)
+    assert list(place["n"]) == list(want["n"])
+
+
+def test_dense_ids_without_rows_ties_and_repeats(spark):
+    old = spark.createDataFrame([], "id long")
+    assert with_dense_ids(old, spark.createDataFrame([], "k int"), "id", ["k"]).collect() == []
+    new = spark.createDataFrame([(1, "x"), (1, "x"), (None, "y"), (1, "a")], "k int, v string")
+    got = with_dense_ids(old, new, "id", ["k"], parts=3).orderBy("id").collect()
+    assert [r.id for r in got] == [1, 2, 3, 4] and (got[0].k, got[0].v) == (None, "y")
+    assert sorted(map(str, with_dense_ids(old, new.repartition(4), "id", ["k"], parts=3).collect())) == sorted(map(str, got))
+
+
+def test_dense_ids_spread_a_value_that_a_third_of_all_rows_share(spark):
+    new = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")).withColumnRenamed("id", "n")
+    plan = with_dense_ids(spark.createDataFrame([], "id long"), new, "id", ["k"], parts=10)
+    sizes = {}
+    for r in plan.where("k = 7").withColumn("part", F.spark_partition_id()).groupBy("part").count().collect():
+        sizes[r.part] = r["count"]
+    assert [r.id for r in plan.orderBy("id").collect()] == list(range(1, 30_001)) and sum(sizes.values()) >= 10_000
+
+
 def test_write_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     sch = "m string, k string, v int"
     path, stage = str(tmp_path / "t"), str(tmp_path / "stage")

@@ -45,6 +45,29 @@ def test_split_days_charges_each_day_its_own_seconds(spark):
     assert [r.seconds for r in vm.split_at_midnight(nt.where("cluster_id = 'd'"), unbounded).collect()] == [None]
 
 
+def test_config_as_of_the_day_takes_no_later_change(spark):
+    cl = spark.createDataFrame([("a", "old", ts("2000-01-02 08:00:00"), "d1", "w1", 2, None), ("a", "noon", ts("2000-01-05 12:00:00"), "d2", "w2", None, 4),
+                                ("a", "night", ts("2000-01-05 23:59:59"), "d3", "w3", None, None), ("a", "tie", ts("2000-01-05 23:59:59"), "d3", "w3", None, None),
+                                ("b", "b", None, "d", "w", 1, None), (None, "n", ts("2000-01-01 00:00:00"), "d", "w", 1, None)], CL)
+    days = [("a", day) for day in (1, 2, 3, 4, 5, 6, 6)] + [("b", 2), (None, 3), ("c", 3)]
+    used = spark.createDataFrame([(dt.date(2000, 1, x), c) for c, x in days], "usage_date date, cluster_id string")
+    got = {(r.cluster_id, r.usage_date.day): (r.cluster_name, r.cc_driver_type, r.cc_num_workers) for r in vm.cluster_config_as_of(cl, used).collect()}
+    assert got == {("a", 2): ("old", "d1", 2), ("a", 3): ("old", "d1", 2), ("a", 4): ("old", "d1", 2), ("a", 5): ("tie", "d3", 1), ("a", 6): ("tie", "d3", 1)}
+    assert vm.cluster_config_as_of(cl.limit(0), used).count() == 0 and vm.cluster_config_as_of(cl, used.limit(0)).count() == 0
+
+
+def test_estimate_by_the_config_of_the_day(spark):
+    cl = spark.createDataFrame([("a", "then", ts("2000-01-02 08:00:00"), "d1", "w1", 2, None), ("a", "now", ts("2000-03-01 00:00:00"), "d2", "w1", 3, None)], CL)
+    cu = spark.createDataFrame([(dt.date(2000, 1, x), "a", "S", Decimal(1), Decimal(2), Decimal(1)) for x in (1, 5)], CU)
+    prices = spark.createDataFrame([("d1", Decimal(1), "m1", P.region), ("d2", Decimal(5), "m2", P.region), ("w1", Decimal(2), "m3", P.region)], PR)
+    nh = vm.node_hours(_nt(spark, []), P)
+    got = {r.usage_date.day: r for r in vm.vm_cost_estimate(cu, nh, vm.cluster_config_as_of(cl, cu), prices, P).collect()}
+    assert (got[5].cluster_name, float(got[5].estimated_vm_cost_usd), got[5].vm_cost_source) == ("then", 10.0, "cluster_config")
+    assert got[1].cluster_name is None and got[1].vm_cost_source == "unknown"     # before the first change
+    latest = {r.usage_date.day: float(r.estimated_vm_cost_usd) for r in vm.vm_cost_estimate(cu, nh, vm.latest_cluster_config(cl), prices, P).collect()}
+    assert latest == {1: 22.0, 5: 22.0}
+
+
 def test_t17_driver_null_counts_for_no_role(spark):
     rows = vm.node_hours(_nt(spark, [("c", None, "a", "2000-01-01 01:00:00", "2000-01-01 02:00:00")]), P).collect()
     assert float(rows[0].driver_hours) == 0 and float(rows[0].worker_hours) == 0
