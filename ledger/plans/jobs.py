@@ -15,6 +15,7 @@ storage on a cluster) and is removed when its step has succeeded.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from ledger.functions.expressions import PARTITION_COL
 from ledger.operators.upsert import remove, replace_table, table_exists, write_snapshot, write_upsert
 from ledger.params import RunParams
-from ledger.plans import alerts, cost, late, pricing, vm
+from ledger.plans import alerts, cost, distinct, late, pricing, vm
 from ledger.session import checkpoint_dir
 from ledger.sources.catalog import require_whole_catalog
 from ledger.sources.fixtures import Sources
@@ -225,6 +226,16 @@ def run_daily(spark: SparkSession, src: Sources, wh: Warehouse, p: RunParams,
     return load_stats(spark, wh)
 
 
+def refresh_month_states(spark: SparkSession, wh: Warehouse, p: RunParams) -> None:
+    """Day masks and cluster bitmaps of the months of the run's window (``plans.distinct``)."""
+    distinct.refresh_months(spark, read_table(spark, wh, "daily_cost_with_vm_estimate"), wh.path("month_states"), p.window_start)
+
+
+def range_counts(spark: SparkSession, wh: Warehouse, first: dt.date, last: dt.date) -> DataFrame:
+    """Distinct days and clusters of a range of months, from the states alone."""
+    return distinct.range_counts(spark, wh.path("month_states"), first, last)
+
+
 def load_stats(spark: SparkSession, wh: Warehouse) -> DataFrame:
     """Row count, date range and total cost of the three fact tables."""
     vm_table = read_table(spark, wh, "daily_cost_with_vm_estimate")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledger.params import RunParams
-from ledger.plans import alerts, cost, pricing, reports, vm
+from ledger.plans import alerts, cost, distinct, pricing, reports, vm
 from ledger.operators.upsert import upsert
 from ledger.sources import fixtures
 from ledger.sources.schemas import DAILY_COST_SUMMARY_KEYS, DAILY_COST_WITH_VM_ESTIMATE, conform
@@ -251,6 +251,13 @@ def q_vm_cost_by_source(spark, d):
     return boundary(vm.vm_cost_by_source(Chain(spark, d).vm))
 
 
+def q_trailing_clusters(spark, d):
+    """Distinct clusters of each month and of the 12 months up to it, from bitmaps."""
+    c = Chain(spark, d)
+    none = spark.createDataFrame([], distinct.NUMBERS)
+    return boundary(distinct.trailing_clusters(distinct.cluster_bitmaps(c.cluster_usage, distinct.numbered_clusters(c.cluster_usage, none))))
+
+
 def q_schema_conform(spark, d):
     """Rows written before the lineage column existed, read through the current schema."""
     old = Chain(spark, d).vm.drop("vm_cost_source")

@@ -434,6 +434,12 @@ ASOF JOIN (
     max_autoscale_workers DESC NULLS LAST) = 1) changes
 ON days.cluster_id = changes.cluster_id AND days.usage_date >= changes.day"""),
     "vm_cost_estimate": q(["vm"], "SELECT * FROM vm"),
+    "trailing_clusters": q(["cu"], """
+SELECT m.usage_month, COUNT(DISTINCT CASE WHEN date_trunc('month', u.usage_date) = m.usage_month THEN u.cluster_id END) AS clusters,
+  COUNT(DISTINCT u.cluster_id) AS trailing_clusters
+FROM (SELECT DISTINCT CAST(date_trunc('month', usage_date) AS DATE) AS usage_month FROM cu WHERE usage_date IS NOT NULL) m
+JOIN cu u ON u.usage_date >= m.usage_month - INTERVAL 11 MONTH AND u.usage_date < m.usage_month + INTERVAL 1 MONTH
+GROUP BY m.usage_month"""),
     "vm_cost_by_source": q(["vm"], """
 SELECT vm_cost_source, COUNT(*) AS "rows", ROUND(SUM(dbu_cost_usd), 2) AS dbu_cost,
   ROUND(SUM(estimated_vm_cost_usd), 2) AS vm_cost FROM vm GROUP BY vm_cost_source"""),

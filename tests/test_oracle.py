@@ -7,7 +7,7 @@ import pytest
 
 from helpers import SMALL
 
-KEYS = ["daily_cost_summary", "sku_daily_details", "vm_cost_estimate", "cluster_config_as_of", "top_skus", "cost_counters",
+KEYS = ["daily_cost_summary", "sku_daily_details", "vm_cost_estimate", "cluster_config_as_of", "trailing_clusters", "top_skus", "cost_counters",
         "new_alerts", "catalog_price_extract", "upsert_daily_cost"]
 
 
