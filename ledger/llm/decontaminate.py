@@ -5,7 +5,10 @@
    leave the scan and meet the real seeds in a join.
 2. A document and an item are a candidate pair where the item's words that shared seeds
    cover reach the wanted share of the item.  Tiles consist of shared seeds, so this bound
-   loses no pair.
+   loses no pair.  Pairs are looked for by an item's deciding seeds alone: its seeds that most
+   documents hold are left aside as long as they cannot reach that share by themselves, so a
+   pair that reaches it shares one of the others.  A line that many items and documents
+   have in common so makes no pairs; the common seeds only meet pairs that a rarer one found.
 3. For each candidate pair running Karp-Rabin finds the longest common runs of words: the
    longest non-overlapping matches are marked, the search length is lowered, and so on
    down to ``SEED``.  Marked words are not used again, so passages that were reordered are
@@ -69,6 +72,30 @@ def item_seeds(items: DataFrame, id_col: str, text_col: str, size: int = SEED) -
     return rows.mapInArrow(run, f"item {rows.schema['item'].dataType.simpleString()}, n_words bigint, place bigint, seed bigint")
 
 
+def deciding_seeds(seeds: DataFrame, found: DataFrame, size: int = SEED, coverage: float = COVERAGE) -> DataFrame:
+    """``item, seed``: of each item's seeds that documents hold (``found(seed, c)``, ``c`` how many)
+    the rarest, such that the others together cover less than ``coverage`` of the item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, decide = [], []
+            for row, (n, uses) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                covered, step = set(), min(size, n)
+                for use in uses:
+                    more = {p for place in use["places"] for p in range(place, place + step)} - covered
+                    if len(covered) + len(more) < n * coverage:
+                        covered |= more
+                    else:
+                        own.append(row)
+                        decide.append(use["seed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), pa.array(decide, pa.int64())], ["item", "seed"])
+
+    uses = seeds.join(found, "seed").groupBy("item", "n_words", "seed", "c").agg(F.collect_list("place").alias("places"))
+    # One item's seeds, those of most documents first.
+    rows = uses.groupBy("item", "n_words").agg(F.sort_array(F.collect_list(F.struct("c", "seed", "places")), asc=False).alias("uses"))
+    return rows.mapInArrow(run, f"item {seeds.schema['item'].dataType.simpleString()}, seed bigint")
+
+
 def matching_runs(docs: DataFrame, table: bytes, bits: int, short: list[int], id_col: str, text_col: str, size: int = SEED) -> DataFrame:
     """``doc, seed``: the distinct runs of each document that the bit table lets pass.
     ``short``: lengths below ``size`` that items have as a whole."""
@@ -147,9 +174,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str, text_col: str,
     seeds = staged(item_seeds(items, item_col, item_text, size), "seeds")
     table, bits = bit_table(seeds, "seed", seeds.count())
     short = [r[0] for r in seeds.where(F.col("n_words") < size).select("n_words").distinct().collect()]
-    hits = matching_runs(docs, table, bits, short, id_col, text_col, size)
+    hits = matching_runs(docs, table, bits, short, id_col, text_col, size).join(seeds.select("seed").distinct(), "seed", "left_semi")
+    hits = staged(hits, "hits")
+    found = staged(hits.groupBy("seed").agg(F.count(F.lit(1)).alias("c")), "found")
+    deciding = staged(deciding_seeds(seeds, found, size, coverage), "deciding")
+    first = staged(hits.join(deciding, "seed").select("doc", "item").distinct(), "first")
+    # The pair's shared seeds are looked up from the item's side: an item's length of rows a pair.
+    shared = first.join(seeds, "item").join(hits, ["doc", "seed"], "left_semi")
     # An item's words that a shared seed covers: places as intervals, merged per pair.
-    pairs = hits.join(seeds, "seed").groupBy("doc", "item", "n_words").agg(F.array_sort(F.collect_set("place")).alias("at"))
+    pairs = shared.groupBy("doc", "item", "n_words").agg(F.array_sort(F.collect_set("place")).alias("at"))
     step = F.least(F.lit(size), F.col("n_words"))
     bound = F.aggregate(
         "at", F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).cast("bigint").alias("end")),

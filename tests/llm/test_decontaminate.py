@@ -64,6 +64,32 @@ def test_equals_brute_force_with_reordered_passages(spark, make, case):
     assert {(r.doc_id, r.item_id): (r.n_tiles, r.covered, r.item_words) for r in got} == brute(docs, items)
 
 
+def test_a_line_of_many_items_and_documents_makes_no_pairs(spark, make):
+    line = [f"instruction{k}" for k in range(8)]
+    own = [[f"w{i}x{k}" for k in range(20)] for i in range(30)]
+    items = [(i, " ".join(line + own[i])) for i in range(30)] + [(90, " ".join(line + own[0][:3])), (91, " ".join(line + line))]
+    docs = [(i, " ".join(line + [f"d{i}n{k}" for k in range(9)])) for i in range(100)]
+    docs += [(200 + i, " ".join(own[i][9:] + ["x"] + own[i][:9])) for i in range(0, 30, 3)]
+    docs += [(300 + i, " ".join(line + ["x"] + own[i][:6])) for i in range(0, 30, 3)] + [(400, " ".join(line + ["x"] + own[7][:10]))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(make(docs), table).collect()
+    want = brute(docs, items)
+    assert {(r.doc_id, r.item_id): (r.n_tiles, r.covered, r.item_words) for r in got} == want
+    assert {(200, 0), (400, 7), (0, 90)} <= set(want) and not {(300, 0), (0, 91)} & set(want)
+    # The line's seeds decide for the two items that mostly consist of it and for no other.
+    seeds = decontaminate.item_seeds(table, "item_id", "text")
+    held = {}
+    for i, t in docs:
+        for s in {tuple(words(t)[k:k + 5]) for k in range(len(words(t)) - 4)}:
+            held[s] = held.get(s, 0) + 1
+    places = {(r["item"]["id"], r["place"]): r["seed"] for r in seeds.collect()}
+    counts = {places[i, k]: held[tuple(words(t)[k:k + 5])] for i, t in items for k in range(len(words(t)) - 4) if tuple(words(t)[k:k + 5]) in held}
+    decide = decontaminate.deciding_seeds(seeds, spark.createDataFrame(list(counts.items()), "seed long, c long")).collect()
+    common = {places[0, k] for k in range(4)}
+    assert {r["item"]["id"] for r in decide if r["seed"] in common} == {90, 91}
+    assert {r["item"]["id"] for r in decide} >= {0, 3, 7}
+
+
 def test_odd_rows_and_empty_tables(spark, odd, empty, odd_rows):
     items = spark.createDataFrame([(1, odd_rows[0][1], "x"), (None, "a b c d e f", "y"), (2, None, "z")], "item_id long, text string, doc string")
     got = decontaminate.contamination(odd, items).collect()
