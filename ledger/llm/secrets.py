@@ -5,7 +5,8 @@ secrets are made of, and values of any length that are assigned to a credential'
 name before ``=`` or ``:`` is no part of its value; it counts as words around it.  Each is
 described by
 its length, by the transitions between neighbouring characters (letter to digit, case
-changes, hex runs, vowels after consonants), by how much of it dictionary words cover, by
+changes, hex runs, vowels after consonants), by how much of it dictionary words cover
+(frequent words of the corpus itself, counted over all documents), by
 the path or source it comes from and by the words around it.  A random forest trained on
 labelled findings tells real secrets from hashes of words, numbers and long ordinary words.
 
@@ -55,12 +56,18 @@ CANDIDATE = NAMED + VALUE + r"|(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{" + str(LONG)
 ISSUER_FORMS = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_-]{35})$"
 DIGEST_FORMS = r"^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
 PLAIN_PATHS = r"(?:test|example|sample|fixture|mock|doc)"
-DICTIONARY = ["the", "and", "that", "with", "for", "from", "this", "are", "not", "you", "have", "was", "will", "more", "tion", "ing", "ment", "heit",
+FRAGMENTS = ["the", "and", "that", "with", "for", "from", "this", "are", "not", "you", "have", "was", "will", "more", "tion", "ing", "ment", "heit",
               "keit", "lich", "ung", "que", "eau", "eux", "elle", "mente", "ción", "ado", "name", "data", "file", "path", "user", "test", "value",
               "type", "list", "config", "index", "class", "function", "return", "http", "www", "com", "org", "html", "image", "page", "ation", "able"]
 
+# Words that stand alone in a text, shorter than a candidate, and the words that a candidate is put together from.
+ALONE = r"(?<![\p{L}0-9_/+=-])[A-Za-z]{4,15}(?![\p{L}0-9_/+=-])"
+WITHIN = r"[A-Z]?[a-z]{3,14}|[A-Z]{4,15}"
+# A dictionary word occurs so many times at least, and once in so many words of the corpus.
+LEAST_TIMES, ONE_IN = 5, 1_000_000
+
 FEATURES = ["length", "letter_digit", "case_change", "symbol_share", "digit_share", "hex_share", "upper_share", "vowel_share", "bigram_share",
-            "distinct_share", "word_cover", "plain_path", "credential_near", "assigned", "quoted", "prose_before"]
+            "distinct_share", "fragment_cover", "word_cover", "plain_path", "credential_near", "assigned", "quoted", "prose_before"]
 # Inputs that take part in the labels of findings that need no judgement.
 LABELLING = ["credential_near", "assigned"]
 
@@ -71,7 +78,7 @@ def described(found: Column, before: Column, after: Column, path: Column) -> dic
     count = lambda pattern: F.regexp_count(found, F.lit(pattern)).cast("double")
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     lower = F.lower(found)
-    uncovered = F.length(F.regexp_replace(lower, "|".join(sorted(DICTIONARY, key=len, reverse=True)), ""))
+    uncovered = F.length(F.regexp_replace(lower, "|".join(sorted(FRAGMENTS, key=len, reverse=True)), ""))
     return {
         "length": size,
         "letter_digit": count("(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])") / size,
@@ -83,7 +90,7 @@ def described(found: Column, before: Column, after: Column, path: Column) -> dic
         "vowel_share": count("(?i)[aeiouy]") / size,
         "bigram_share": count("(?i)(?:th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|ou|it|is|st|de|le|ch|qu)") / size,
         "distinct_share": F.size(F.array_distinct(F.split(found, ""))) / size,
-        "word_cover": 1.0 - uncovered / size,
+        "fragment_cover": 1.0 - uncovered / size,
         "plain_path": flag(F.lower(path).rlike(PLAIN_PATHS)),
         "credential_near": flag(F.lower(before).rlike(CREDENTIAL)),
         "assigned": flag(before.rlike(r"(?:=|:|=>)\s*[\"']?$")),
@@ -114,11 +121,38 @@ def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = rows.select("id", "path", F.explode(let(F.col("text"), found)).alias("x")).select("id", "path", "x.*")
     f = described(F.col("found"), F.col("before"), F.col("after"), F.col("path"))
-    return rows.select("id", "start", "end", F.sha2("found", 256).alias("sha256"), F.col("found").rlike(ISSUER_FORMS).alias("issuer_form"),
+    # Words within a candidate are kept as hashes, so no part of a secret is written anywhere.
+    parts = F.transform(F.regexp_extract_all("found", F.lit(WITHIN), F.lit(0)), lambda w: F.struct(F.xxhash64(F.lower(w)).alias("h"), F.length(w).alias("n")))
+    return rows.select("id", "start", "end", F.sha2("found", 256).alias("sha256"), parts.alias("parts"), F.col("found").rlike(ISSUER_FORMS).alias("issuer_form"),
                        F.col("found").rlike(DIGEST_FORMS).alias("digest_form"),
                        F.col("found").rlike("^(?:[0-9]+|[A-Za-z]+)$").alias("plain"), *(v.alias(k) for k, v in f.items()))
 
 
+def with_word_cover(rows: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``rows`` with ``word_cover``: the share of a candidate's characters that lie in frequent words of ``docs``.
+
+    Words are counted in parts before they are shuffled; a token that many documents hold is looked up once."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(ALONE), F.lit(0))).alias("w"))
+    counts = staged(words.groupBy(F.xxhash64(F.lower("w")).alias("h")).agg(F.count(F.lit(1)).alias("c")), "words")
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    dictionary = counts.where((F.col("c") >= LEAST_TIMES) & (F.col("c") * ONE_IN >= total)).select("h")
+    tokens = rows.groupBy("sha256").agg(F.first("parts").alias("parts")).select("sha256", F.explode("parts").alias("x"))
+    covered = tokens.select("sha256", "x.h", "x.n").join(dictionary, "h").groupBy("sha256").agg(F.sum("n").alias("covered"))
+    return rows.join(covered, "sha256", "left").withColumn("word_cover", F.coalesce("covered", F.lit(0)) / F.col("length")).drop("covered", "parts")
+
+
+def precision_recall(found: DataFrame, findings: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row ``hits, false_alarms, missed, precision, recall`` of ``found`` (``scan_secrets``) against labelled
+    findings ``(id, start, label)``; a labelled secret that is no candidate is missed, shares of nothing are NULL."""
+    given = findings.where("label is not null and id is not null").groupBy("id", "start").agg(F.min("label").cast("int").alias("y"))
+    told = found.groupBy(F.col(id_col).alias("id"), "start").agg(F.max("is_secret").alias("told"))
+    judged = given.join(told, ["id", "start"], "left").select((F.col("y") == 1).alias("y"), F.coalesce("told", F.lit(False)).alias("told"))
+    got = judged.agg(F.count_if(F.col("y") & F.col("told")).alias("hits"), F.count_if(~F.col("y") & F.col("told")).alias("false_alarms"),
+                     F.count_if(F.col("y") & ~F.col("told")).alias("missed"))
+    share = lambda other: F.try_divide(F.col("hits"), F.col("hits") + F.col(other))
+    return got.select("*", share("false_alarms").alias("precision"), share("missed").alias("recall"))
+
+
 def sure_label() -> Column:
     """1 and 0 for the findings that need no judgement, else NULL."""
     assigned = (F.col("credential_near") == 1) & (F.col("assigned") == 1)
@@ -129,6 +163,7 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str
                  path_col: str | None = "source", sample_rows: int = SAMPLE_ROWS, least: float = LEAST) -> DataFrame:
     """``id_col, start, end, sha256, detector, score, is_secret``: one row per candidate."""
     rows = staged(find_candidates(docs, id_col, text_col, path_col), "candidates")
+    rows = staged(with_word_cover(rows, docs, text_col), "described")
     if findings is None:
         known = rows.withColumn("y", sure_label()).where("y is not null")
     else:

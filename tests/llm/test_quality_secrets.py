@@ -121,3 +121,30 @@ def test_keys_glued_to_a_name_and_keys_in_prose_are_secrets(make):
     found = {(r.doc_id, r.start, r.end, r.sha256, r.detector) for r in got if r.is_secret and r.doc_id >= 200}
     assert {(i, t.index(v), t.index(v) + len(v), hashlib.sha256(v.encode()).hexdigest(), "provider-form") for i, (t, v) in texts.items()} == found
     assert not any(r.is_secret for r in got if r.doc_id < 200 and r.doc_id % 2 == 0)
+
+
+def test_dictionary_is_learned_and_held_out_findings_are_told_apart(make, spark):
+    rng = random.Random(31)
+    vocabulary = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(60)]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, findings = [], []
+    for i in range(240):
+        secret = i % 3 == 0
+        token = "".join(rng.choice(letters) for _ in range(24)) if secret else rng.choice(["_", "/", "-"]).join(rng.choice(vocabulary) for _ in range(5))
+        before = " ".join(rng.choice(vocabulary) for _ in range(30)) + " "
+        rows.append((i, before + token + " " + " ".join(rng.choice(vocabulary) for _ in range(10))))
+        if len(token) >= secrets.LONG:
+            findings.append((i, len(before), int(secret)))
+    docs = make(rows)
+    cover = secrets.with_word_cover(secrets.find_candidates(docs), docs).collect()
+    assert len(cover) == len(findings)
+    by_kind = [[r.word_cover for r in cover if (r.id % 3 == 0) == kind] for kind in (False, True)]
+    assert min(by_kind[0]) > 0.6 and max(by_kind[1]) < 0.2
+    labelled = spark.createDataFrame(findings, "id long, start long, label int")
+    train, held_out = labelled.where("id % 2 = 0"), labelled.where("id % 2 = 1")
+    got = secrets.precision_recall(secrets.scan_secrets(docs, train), held_out).first()
+    assert got.precision >= 0.95 and got.recall >= 0.95
+    assert got.hits + got.missed == sum(y for i, _, y in findings if i % 2)
+    missing = spark.createDataFrame([(0, 999_999, 1)], "id long, start long, label int")
+    none = secrets.precision_recall(secrets.scan_secrets(docs, train), missing).first()
+    assert (none.hits, none.missed, none.precision, none.recall) == (0, 1, None, 0.0)
