@@ -18,11 +18,13 @@ used here; it marks turns by control strings and escapes these inside roles and
 backslash more, which ``unescaped`` takes away again, so a text that holds control strings
 can neither end its turn nor begin another.
 
-A conversation is one row of the result, so it is put together in one task; a conversation
-of more than ``WINDOW`` turns is rendered in windows of so many, each beginning with the last
-turn of the one before.  That turn must be rendered alike in both, else the template looks
-farther back and whole prefixes are rendered after all; so long conversations take linear
-time with templates that treat each turn by itself.
+A conversation is one row of the result, so it is put together in one task.  Whole prefixes
+are rendered whatever its length, so its time grows with the square of its turns; a template
+that says by ``by_turn`` that it renders each turn by itself, as ``chatml`` does, is rendered
+in windows of ``WINDOW`` turns, each beginning with the last turn of the one before, and so
+in linear time.  The windows' output must be the template's own for the whole conversation,
+else the template does more than it says and whole prefixes are rendered after all.  The way
+follows from the template alone, never from the size of the input.
 
 Defined results: NULL roles and texts are empty; turns that tie are ordered by role, then
 text; repeated rows are turns of their own; a row without a conversation's id is a
@@ -66,6 +68,13 @@ def unescaped_role(role: str) -> str:
     return unescaped(role.replace("%0A", "\n").replace("%25", "%"))
 
 
+def by_turn(template: Template) -> Template:
+    """Marks a template as one that renders each turn by itself, whatever stands around it."""
+    template.by_turn = True
+    return template
+
+
+@by_turn
 def chatml(turns: Sequence[Turn]) -> str:
     return "".join(f"{START}{escaped_role(role)}\n{escaped(text)}{END}\n" for role, text in turns)
 
@@ -148,8 +157,9 @@ def _in_windows(template: Template, turns: Sequence[Turn]) -> tuple[str, list[Sp
 
 def render(template: Template, turns: Sequence[Turn]) -> Rendered:
     """The conversation's output and where its turns and their texts stand in it."""
-    got = _in_windows(template, turns) if len(turns) > WINDOW else None
-    got = got or _grown(template, turns)
+    got = _in_windows(template, turns) if getattr(template, "by_turn", False) else None
+    if got is None or got[0] != template(turns):
+        got = _grown(template, turns)
     if got:
         return Rendered(*got, rewrites=False)
     out = template(turns)

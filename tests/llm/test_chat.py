@@ -59,6 +59,30 @@ def test_windows_fall_back_to_prefixes_where_the_template_looks_farther(monkeypa
     assert not got.rewrites and [got.text[a:b] for a, b in got.bodies] == [t for _, t in turns]
 
 
+@pytest.mark.parametrize("window", [64, 3])
+def test_the_length_of_a_conversation_does_not_change_the_way(monkeypatch, window):
+    """Templates that look farther than a window, each turn of which looks alike in two windows."""
+    monkeypatch.setattr(chat, "WINDOW", window)
+    turns = [("user", f"t{k}") for k in range(200)]
+    marks = lambda ts: "".join(f"{'#' * (k % 70 == 69)}[{t}]" for k, (_, t) in enumerate(ts))
+    drops = lambda ts: "".join(f"[{t}]" for _, t in ts[-70:])
+    shuts = lambda ts: "".join(f"[{t}]" for _, t in ts) + "</s>" * (len(ts) == 70)  # noqa: E731  in one prefix only
+    for n in (2, 69, 71, 200):
+        got = spans_hold(marks, turns[:n])
+        assert not got.rewrites and [got.text[a:b] for a, b in got.bodies] == [t for _, t in turns[:n]]
+        assert "".join(got.text[a:b] for a, b in got.turns) == got.text
+        got = spans_hold(drops, turns[:n])
+        assert got.rewrites == (n > 70) and [b and got.text[b[0]:b[1]] for b in got.bodies] == [None] * (n - 70) + [t for _, t in turns[:n][-70:]]
+        assert spans_hold(shuts, turns[:n]).rewrites == (n > 70)
+
+
+def test_a_template_that_wrongly_claims_to_render_each_turn_by_itself():
+    turns = [("user", f"t{k}") for k in range(200)]
+    marks = chat.by_turn(lambda ts: "".join(f"{'#' * (k % 70 == 69)}[{t}]" for k, (_, t) in enumerate(ts)))
+    got = spans_hold(marks, turns)
+    assert not got.rewrites and [got.text[a:b] for a, b in got.bodies] == [t for _, t in turns]
+
+
 def test_a_long_conversation_takes_linear_time():
     turns = [("user" if k % 2 else "assistant", f"text {k} " * 20) for k in range(4000)]
     got = spans_hold(chat.chatml, turns)
