@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bits of the table: 16 a hash, between these bounds (a table of 16 MB at most); of a block: 64 KB.
@@ -44,3 +45,18 @@ def held(table: bytes, bits: int, hashes: np.ndarray) -> np.ndarray:
     """Which of the hashes the table lets pass."""
     cells, slot = np.frombuffer(table, np.uint8), hashes >> np.uint64(64 - bits)
     return (cells[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def passing(hashes: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test that every hash in ``hashes`` passes and few others do, for columns of hashes.
+
+    Only the hashes go to the tasks' Python, so rows that fail it need not be shuffled to
+    learn that they have no partner in a join."""
+    table, bits = bit_table(hashes, column, hashes.count())
+    shipped = hashes.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def test(found: pd.Series) -> pd.Series:
+        return pd.Series(held(shipped.value, bits, found.to_numpy().view(np.uint64)))
+
+    return test

@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledger.llm.bits import passing
 from ledger.llm.common import staged
 from ledger.llm.hashing import FOLD_SPACE, mix, shingles, word_hashes
 
@@ -275,15 +276,17 @@ def links_of(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, le
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     rows = staged(keyed.join(shared, "key"), "buckets")
     active = staged(rows.select("id").distinct(), "active")
-    # A list of ids of checked size goes to the tasks, so the other texts are not shuffled.
+    # A list of ids of checked size goes to the tasks, or a bit table, so the other texts are not shuffled.
     few = active.count() <= BROADCAST_IDS
     if few:
         active = F.broadcast(active)
     # A class's text is that of the row it was named by: its id and the text's hash.
     wanted = staged(classes.join(active, "id", "left_semi").select("id", "class_id", "v"), "wanted")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), text_hash(F.col(text_col)).alias("h"), F.col(text_col).cast("string").alias("text"))
     if few:
         wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), text_hash(F.col(text_col)).alias("h"), F.col(text_col).cast("string").alias("text"))
+    else:
+        texts = texts.where(passing(wanted.select(F.xxhash64("class_id", "v").alias("row")), "row")(F.xxhash64("doc", "h")))
     texts = texts.join(wanted, (F.col("doc") == F.col("class_id")) & (F.col("h") == F.col("v"))).select("id", "v", "text")
     sets = staged(full_sets(texts).select("id", "own").dropDuplicates(["id"]), "sets")
     near = staged(classes.join(active, "id", "left_semi").select("id", "n", "sig"), "classes")
@@ -336,9 +339,10 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with one row of each component (its smallest id, of several texts under that id
     the one with the smallest hash), every row without a word and every row without an id.
 
-    Only ids and hashes of the rows to drop meet the texts.  Rows equal in id and text are
-    thinned to one where there are any; rows of one id whose texts differ are only dropped
-    for being copies."""
+    Only ids and hashes of the rows to drop meet the texts, and only texts that a bit table of
+    these rows lets pass: the others, most of a corpus, are not shuffled.  Rows equal in id and
+    text are thinned to one where there are any; rows of one id whose texts differ are only
+    dropped for being copies."""
     got = staged(grouped(docs, id_col, text_col, least).where("id is not null"), "grouped")
     group = F.coalesce("comp", "node")
     linked = got.where("node is not null").select("id", "v", group.alias("g"))
@@ -346,11 +350,13 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = staged(first.where("c > 1"), "first")
     drop = linked.join(first, "g").where(F.struct("id", "v") != F.col("first")).select("id", "v").distinct()
     drop = staged(drop.select(F.col("id").alias("__id"), F.col("v").alias("__v")), "dropped")
-    same = (F.col(id_col).cast("long") == F.col("__id")) & (text_hash(F.col(text_col)) == F.col("__v"))
-    kept = docs.join(drop, same, "left_anti")
     repeats = got.groupBy("id", "v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     repeats = staged(repeats.select(F.col("id").alias("__id"), F.col("v").alias("__v")), "repeats")
+    row = F.col(id_col).cast("long"), text_hash(F.col(text_col))
+    met = passing(drop.union(repeats).select(F.xxhash64("__id", "__v").alias("row")), "row")(F.xxhash64(*row))
+    same = (row[0] == F.col("__id")) & (row[1] == F.col("__v"))
+    kept = docs.where(met).join(drop, same, "left_anti")
     if not repeats.isEmpty():
-        several = kept.join(repeats, same, "left_semi").withColumn("__v", text_hash(F.col(text_col))).dropDuplicates([id_col, "__v"]).drop("__v")
+        several = kept.join(repeats, same, "left_semi").withColumn("__v", row[1]).dropDuplicates([id_col, "__v"]).drop("__v")
         kept = kept.join(repeats, same, "left_anti").unionByName(several)
-    return kept.select(*docs.columns)
+    return docs.where(~met).unionByName(kept).select(*docs.columns)

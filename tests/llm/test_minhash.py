@@ -151,3 +151,41 @@ def test_the_pipeline_drops_copies_from_0_80_on(spark, make):
             rows.append((3 * i + j, " ".join(f"new{i}x{j}" if k in places else w for k, w in enumerate(words))))
     got = corpus_pipeline.distinct_texts(spark, make(rows), "")
     assert sorted(r.doc_id for r in got.collect()) == [i for i in range(900) if i % 3 != 1]
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a collected DataFrame wrote."""
+    def walk(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        children = plan.children()
+        return own + sum(walk(children.apply(k)) for k in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_texts_that_stay_are_not_shuffled(spark, make):
+    """2000 texts, 50 of them with a copy and 20 rows twice, where no table is small enough to be broadcast."""
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(12))) for i in range(2000)]
+    rows += [(5000 + i, t) for i, t in rows[:50]] + rows[100:120]
+    with_threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = minhash.without_copies(make(rows))
+        assert sorted(r.doc_id for r in got.collect()) == list(range(2000))
+        assert 70 <= shuffled_rows(got) < 1000  # the copies and repeats at least
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_threshold)
+
+
+def test_more_ids_than_may_be_broadcast_give_the_same(make, monkeypatch):
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", 0)
+    rng = random.Random(13)
+    base = [f"b{k}" for k in range(120)]
+    rows = [(i, " ".join(edited(rng, base, rng.randint(0, 6)))) for i in range(1, 60)]
+    rows += [(i, " ".join(f"x{i}w{k}" for k in range(30))) for i in range(100, 200)]
+    check(minhash.near_duplicates(make(rows)).collect(), rows)
